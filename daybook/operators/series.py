@@ -21,6 +21,9 @@ YEAR_SESSIONS = 252
 # Rows one task may hold for one ticker, about 100 MB of bars.
 ROWS_PER_SLICE = 1_000_000
 
+# Names of the measures, in mart order.
+MEASURES = ("prior_close", "moving_avg_20d", "high_52w", "low_52w")
+
 # Total order of a series. The lineage columns decide between copies of a day.
 SERIES_ORDER = ("trade_date", "loaded_at", "source_file", "file_row_number")
 
@@ -29,23 +32,65 @@ def _ascending(columns: tuple[str, ...]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def full_window(
-    value: Column, window: WindowSpec, sessions: int, aggregate, check: Column | None = None
-) -> Column:
-    """An aggregate over the last ``sessions`` rows, null until that many hold a value."""
-    frame = window.rowsBetween(1 - sessions, 0)
-    complete = F.count(value if check is None else check).over(frame) == sessions
-    return F.when(complete, aggregate(value).over(frame))
+def with_measures(bars: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Adds the neighbour measures to every series, in one shuffle on ``keys``."""
+    series = Window.partitionBy(*keys).orderBy(*order)
+    recent = series.rowsBetween(1 - AVERAGE_SESSIONS, 0)
+    complete = F.count("close").over(recent) == AVERAGE_SESSIONS
+    near = bars.withColumns(
+        {
+            "prior_close": F.lag("close").over(series),
+            "moving_avg_20d": F.when(complete, F.avg("close").over(recent)),
+        }
+    )
+    return with_year_range(near, keys, series).select(*bars.columns, *MEASURES)
+
 
+def with_year_range(bars: DataFrame, keys: list[str], series: WindowSpec) -> DataFrame:
+    """Adds the highest high and lowest low of a full trading year.
 
-def with_measures(bars: DataFrame, window: WindowSpec) -> DataFrame:
-    """Adds the four neighbour measures; all frames share one partitioning and sort."""
-    return bars.withColumns(
+    A frame of 252 rows would be re-read for every row. Here a series is cut into
+    blocks of 252 rows: any 252 rows in a row are the end of one block and the
+    start of the next, so the extreme is that of a running extreme to the end of
+    the block, read 251 rows back, and one from the start of the block. Each
+    running value costs one step per row. How many values the year holds is the
+    difference of two running counts. All windows share the hash partitioning of
+    the first and only sort within it.
+    """
+    so_far = series.rowsBetween(Window.unboundedPreceding, 0)
+    placed = bars.withColumns(
         {
-            "prior_close": F.lag("close").over(window),
-            "moving_avg_20d": full_window(F.col("close"), window, AVERAGE_SESSIONS, F.avg),
-            "high_52w": full_window(F.col("high"), window, YEAR_SESSIONS, F.max),
-            "low_52w": full_window(F.col("low"), window, YEAR_SESSIONS, F.min),
+            "place": F.row_number().over(series),
+            "highs": F.count("high").over(so_far),
+            "lows": F.count("low").over(so_far),
+        }
+    ).withColumn("block", F.floor((F.col("place") - 1) / YEAR_SESSIONS))
+
+    block = Window.partitionBy(*keys, "block")
+    up_to_end = block.orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, 0)
+    from_start = block.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    running = placed.withColumns(
+        {"high_to_end": F.max("high").over(up_to_end), "low_to_end": F.min("low").over(up_to_end)}
+    ).withColumns(
+        {"high_so_far": F.max("high").over(from_start), "low_so_far": F.min("low").over(from_start)}
+    )
+
+    # Blocks are in series order, so this asks for the order the rows are already in.
+    rows = Window.partitionBy(*keys).orderBy("block", "place")
+
+    def back(column: str, steps: int) -> Column:
+        return F.lag(column, steps).over(rows)
+
+    def full_year(count: str) -> Column:
+        return F.col(count) - F.coalesce(back(count, YEAR_SESSIONS), F.lit(0)) == YEAR_SESSIONS
+
+    reach = YEAR_SESSIONS - 1
+    highest = F.greatest(back("high_to_end", reach), F.col("high_so_far"))
+    lowest = F.least(back("low_to_end", reach), F.col("low_so_far"))
+    return running.withColumns(
+        {
+            "high_52w": F.when(full_year("highs"), highest),
+            "low_52w": F.when(full_year("lows"), lowest),
         }
     )
 
@@ -55,23 +100,18 @@ def session_measures(bars: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> D
 
     ``bars`` is read twice and should be a table. Needs the series order columns.
     """
-    long_tickers = settle(
-        bars.groupBy("ticker").count().filter(F.col("count") > rows_per_slice).select("ticker"),
-        "long-tickers",
-    )
-    by_ticker = Window.partitionBy("ticker").orderBy(*_ascending(SERIES_ORDER))
+    lengths = bars.groupBy("ticker").agg(F.count("*").alias("rows"))
+    long_tickers = lengths.filter(F.col("rows") > rows_per_slice).select("ticker")
     if long_tickers.isEmpty():
-        return with_measures(bars, by_ticker)
+        return with_measures(bars, ["ticker"], _ascending(SERIES_ORDER))
+    long_tickers = settle(long_tickers, "long-tickers")
     short = null_safe_filter(bars, long_tickers, ["ticker"], "left_anti")
     long = null_safe_filter(bars, long_tickers, ["ticker"], "left_semi")
-    return with_measures(short, by_ticker).unionByName(
-        sliced_measures(long, rows_per_slice).select(*short.columns, *MEASURES)
+    return with_measures(short, ["ticker"], _ascending(SERIES_ORDER)).unionByName(
+        sliced_measures(long, rows_per_slice)
     )
 
 
-MEASURES = ("prior_close", "moving_avg_20d", "high_52w", "low_52w")
-
-
 def sliced_measures(bars: DataFrame, rows_per_slice: int) -> DataFrame:
     """The same measures for series too long for one task.
 
@@ -89,8 +129,7 @@ def sliced_measures(bars: DataFrame, rows_per_slice: int) -> DataFrame:
     feeds_next = F.col("position") % rows_per_slice >= rows_per_slice - reach
     targets = F.when(feeds_next, F.array("home", F.col("home") + 1)).otherwise(F.array("home"))
     copies = placed.withColumn("home", home).withColumn("slice", F.explode(targets))
-    by_slice = Window.partitionBy("ticker", "slice").orderBy("position")
-    measured = with_measures(copies, by_slice)
+    measured = with_measures(copies, ["ticker", "slice"], [F.col("position").asc()])
     return measured.filter(F.col("home") == F.col("slice")).drop("home", "slice", "position")
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.plans.staging import keyed_bars, typed_bars
+from daybook.functions.bars import utc_ntz
+from daybook.plans.staging import keyed_bars
 from daybook.schemas import STG_PRICES
 from daybook.scratch import scratch_path, settle
 from daybook.sources.day_files import json_line
@@ -89,14 +90,17 @@ def _at(instant: datetime.datetime) -> Column:
     return F.lit(instant).cast(T.TimestampNTZType())
 
 
+def brand_rank() -> Column:
+    """A brand's line in a day file. There are 25 brands, whatever the data's size."""
+    return F.array_position(F.lit(BRANDS), F.col("ticker")).cast("bigint")
+
+
 def raw_rows(bars: DataFrame, loaded_at: Column) -> DataFrame:
-    """Bars as rows of the raw table. Brands rank by name within a day; there are
-    25 of them, whatever the amount of data."""
-    place = F.array_position(F.lit(BRANDS), F.col("ticker"))
+    """Bars as rows of the raw table."""
     return landed(bars).select(
         F.parse_json(json_line()).alias("payload"),
         day_file(F.col("trade_date")).alias("source_file"),
-        place.cast("bigint").alias("file_row_number"),
+        brand_rank().alias("file_row_number"),
         loaded_at.alias("loaded_at"),
     )
 
@@ -128,8 +132,14 @@ def raw_loads(bars: DataFrame) -> DataFrame:
 
 def staged_once(spark: SparkSession, sf: str) -> DataFrame:
     """Staging rows of the single load, as a table."""
-    raw = raw_single(daily_bars(spark, sf))
-    return settle(keyed_bars(typed_bars(raw)).select(*STG_PRICES), "staged")
+    rows = daily_bars(spark, sf).select(
+        "*",
+        utc_ntz(ingest_stamp(F.col("trade_date"))).alias("ingested_at_utc"),
+        day_file(F.col("trade_date")).alias("source_file"),
+        brand_rank().alias("file_row_number"),
+        _at(FIRST_LOAD).alias("loaded_at"),
+    )
+    return settle(keyed_bars(rows).select(*STG_PRICES), "staged")
 
 
 def raw_table(spark: SparkSession, sf: str) -> DataFrame:
