@@ -1,0 +1,65 @@
+"""Small hand-made tables."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+LOADED = datetime.datetime(2024, 1, 1)
+DAY = datetime.date(2024, 1, 2)
+
+
+def day(n: int) -> datetime.date:
+    return DAY + datetime.timedelta(days=n)
+
+
+def load(n: int) -> datetime.datetime:
+    return LOADED + datetime.timedelta(days=n)
+
+
+STAGED = (
+    "price_key string, bar_hash bigint, ticker string, trade_date date, open double, high double, "
+    "low double, close double, volume double, vwap double, transaction_count bigint, "
+    "ingested_at_utc timestamp_ntz, source_file string, file_row_number bigint, loaded_at timestamp_ntz"
+)
+
+
+def staged_row(ticker, trade_date, close=10.0, **over):
+    row = {
+        "price_key": None if ticker is None or trade_date is None else f"{ticker}|{trade_date}",
+        "bar_hash": 0,
+        "ticker": ticker,
+        "trade_date": trade_date,
+        "open": close,
+        "high": None if close is None else close + 1,
+        "low": None if close is None else close - 1,
+        "close": close,
+        "volume": 100.0,
+        "vwap": close,
+        "transaction_count": 5,
+        "ingested_at_utc": LOADED,
+        "source_file": f"date={trade_date}/prices.jsonl",
+        "file_row_number": 1,
+        "loaded_at": LOADED,
+    }
+    row.update(over)
+    return tuple(row.values())
+
+
+def staged(spark, rows):
+    return spark.createDataFrame(rows, STAGED)
+
+
+def raw(spark, rows):
+    """Raw rows from (json text, source_file, file_row_number, loaded_at)."""
+    lines = spark.createDataFrame(
+        rows, "value string, source_file string, file_row_number bigint, loaded_at timestamp_ntz"
+    )
+    return lines.select(F.parse_json("value").alias("payload"), "source_file", "file_row_number", "loaded_at")
+
+
+def rows_of(df, *columns):
+    """Sorted tuples of a small result."""
+    picked = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((x is not None, str(x)) for x in r))
