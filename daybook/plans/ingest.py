@@ -12,7 +12,7 @@ from daybook.plans.manifests import append_manifest, ingest_manifest, run_name,
 from daybook.schemas import LANDED_FIELDS
 from daybook.scratch import settle
 from daybook.sources.ledger import path_exists
-from daybook.sources.day_files import date_bounds, read_days, write_days
+from daybook.sources.day_files import among_days, read_days, write_days
 from daybook.sources.responses import (
     bars_to_rows,
     envelope_bars,
@@ -39,12 +39,12 @@ def usable_rows(rows: DataFrame, universe: DataFrame) -> DataFrame:
 
 def upsert_days(spark: SparkSession, root: str, rows: DataFrame) -> dict[str, int]:
     """Merge received rows into the day partitions and rewrite the changed days."""
-    bounds = date_bounds(rows)
-    if bounds is None:
+    days = rows.select("trade_date").distinct()
+    touched = among_days(days, "trade_date")
+    if touched is None:
         return {"dates_touched": 0, "dates_rewritten": 0}
     if path_exists(spark, root):
-        days = rows.select("trade_date").distinct()
-        old = read_days(spark, root, bounds).join(days, "trade_date", "left_semi")
+        old = read_days(spark, root, touched).join(days, "trade_date", "left_semi")
     else:
         old = rows.select(*LANDED_FIELDS).limit(0)
     # Settled, because the partitions it was read from are about to be replaced.

@@ -16,16 +16,20 @@ from daybook.plans.manifests import append_manifest, load_manifest, run_name
 from daybook.plans.staging import typed_bars
 from daybook.schemas import BAR_NUMBERS, LOAD_LEDGER, RAW
 from daybook.scratch import settle
+from daybook.sources.day_files import among_days
 from daybook.sources.ledger import append_ledger, path_exists, read_ledger, within_history
-from daybook.sources.lines import as_payload, number_lines, object_digests, scan_lines
+from daybook.sources.lines import (
+    as_payload,
+    day_of_object,
+    number_lines,
+    object_digests,
+    scan_lines,
+)
 from daybook.sources.listing import list_objects, stage_summary
 
 # Fixed value: days a load history is kept where that behaviour is asked for.
 EXPIRING_HISTORY_DAYS = 64
 
-# Days that are listed one by one in the scan's filter; beyond, their range is.
-LISTED_DAYS = 1_000
-
 
 def files_to_load(staged: DataFrame, ledger: DataFrame) -> DataFrame:
     """Staged objects whose path and content were not loaded before."""
@@ -92,22 +96,9 @@ def load_new_files(
 
 
 def _lines_of(spark: SparkSession, stage: str, objects: DataFrame) -> DataFrame:
-    """Lines of the given objects; their days prune the scan.
-
-    The days are fetched as literals for that. There are at most as many as
-    calendar days, and past a limit only their range is used.
-    """
-    lines = scan_lines(spark, stage)
-    if "date" in lines.columns:
-        days = objects.select(
-            F.regexp_extract("source_file", r"date=([0-9-]+)/", 1).alias("day")
-        ).distinct()
-        first, last, count = days.agg(F.min("day"), F.max("day"), F.count("*")).first()
-        if count <= LISTED_DAYS:
-            wanted = [datetime.date.fromisoformat(r.day) for r in days.collect()]
-            lines = lines.filter(F.col("date").isin(wanted))
-        else:
-            lines = lines.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    """Lines of the given objects, read from the partitions of their days only."""
+    days = objects.select(day_of_object(F.col("source_file")).alias("day"))
+    lines = scan_lines(spark, stage, among_days(days, "day"))
     return lines.join(objects.select("source_file"), "source_file", "left_semi")
 
 

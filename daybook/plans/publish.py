@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from daybook.plans.manifests import append_manifest, publish_manifest, run_name
 from daybook.schemas import PUBLISH_LEDGER
 from daybook.scratch import settle
+from daybook.sources.day_files import among_days
 from daybook.sources.ledger import append_ledger, latest_entries, path_exists, read_ledger
-from daybook.sources.lines import object_digests, scan_lines
+from daybook.sources.lines import day_of_object, object_digests, scan_lines
 from daybook.sources.listing import list_objects
 
 # Fixed value: where published days live under the stage.
@@ -102,8 +103,8 @@ _MANIFEST = (
 
 def _copy_days(spark: SparkSession, sent: DataFrame, root: str, target: str) -> None:
     """Copy the lines of whole days, in order, over the partitions they replace."""
-    days = sent.select(F.regexp_extract("object_key", r"date=([0-9-]+)/", 1).cast("date").alias("date"))
-    lines = scan_lines(spark, root).join(days, "date", "left_semi")
+    days = sent.select(day_of_object(F.col("object_key")).alias("date")).distinct()
+    lines = scan_lines(spark, root, among_days(days, "date")).join(days, "date", "left_semi")
     (
         lines.repartitionByRange("date", "path", "block", "rid")
         .sortWithinPartitions("date", "path", "block", "rid")

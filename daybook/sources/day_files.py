@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +13,9 @@ TEXTS = ("ticker", "trade_date", "ingested_at_utc")
 # A day is one file until it outgrows this many rows, then several.
 ROWS_PER_FILE = 1_000_000
 
+# Days listed one by one in a scan's condition; beyond that, their range is.
+LISTED_DAYS = 1_000
+
 # Whole doubles below this are written as JSON integers, like any serializer does.
 EXACT_INTEGER = 1e15
 
@@ -54,18 +55,25 @@ def parse_landed(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_days(spark: SparkSession, root: str, days: tuple | None = None) -> DataFrame:
-    """Rows of the day files between two dates, or of all of them."""
-    lines = scan_lines(spark, root)
-    if days is not None:
-        lines = lines.filter(F.col("date").between(*[F.lit(d) for d in days]))
-    return parse_landed(lines)
+def read_days(spark: SparkSession, root: str, where: Column | None = None) -> DataFrame:
+    """Rows of the day files, of all days or those a condition on ``date`` selects."""
+    return parse_landed(scan_lines(spark, root, where))
 
 
-def date_bounds(rows: DataFrame) -> tuple[datetime.date, datetime.date] | None:
-    """First and last trade date, fetched as one row."""
-    first, last = rows.agg(F.min("trade_date"), F.max("trade_date")).first()
-    return None if first is None else (first, last)
+def among_days(days: DataFrame, column: str) -> Column | None:
+    """A condition on ``date`` that prunes a scan to the days of a small table.
+
+    Literals prune where a join might not. There are at most as many days as the
+    calendar has; past a limit their range is used, so a caller still joins.
+    ``None`` when there are no days.
+    """
+    days = days.select(F.col(column).cast("date").alias("day")).distinct()
+    first, last, count = days.agg(F.min("day"), F.max("day"), F.count("day")).first()
+    if not count:
+        return None
+    if count <= LISTED_DAYS:
+        return F.col("date").isin([r.day for r in days.filter("day IS NOT NULL").collect()])
+    return F.col("date").between(F.lit(first), F.lit(last))
 
 
 def write_days(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:

@@ -19,22 +19,27 @@ def day_object(path: Column) -> Column:
     return F.regexp_replace(path, r"(/date=[^/]+)/[^/]+$", "$1/prices.jsonl")
 
 
+def day_of_object(source_file: Column) -> Column:
+    """The day in an object's path; null for an object outside the day layout."""
+    return F.nullif(F.regexp_extract(source_file, r"date=([0-9-]+)/", 1), F.lit("")).cast("date")
+
+
 def relative_object(path: Column, root: str) -> Column:
     """``day_object`` relative to the directory that was scanned."""
     base = re.escape(root.rstrip("/").rsplit("/", 1)[-1])
     return F.regexp_replace(day_object(path), f"^.*/{base}/", "")
 
 
-def scan_lines(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Non-blank lines of all files under ``root`` with where each was read.
+def scan_lines(spark: SparkSession, root: str, where: Column | None = None) -> DataFrame:
+    """Non-blank lines of the files under ``root`` with where each was read.
 
-    ``date`` directories become a partition column, so a filter on it prunes
-    files before anything is read.
+    ``date`` directories become a partition column. A condition on it belongs in
+    ``where``: it then prunes files before the listing is scanned, which a later
+    filter cannot do, since it does not pass the row numbering.
     """
-    reader = spark.read
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(root)
+    lines = spark.read.text(root).filter(F.trim("value") != "")
+    if where is not None:
+        lines = lines.filter(where)
     kept = [c for c in lines.columns if c != "value"]
     return lines.select(
         "value",
@@ -43,7 +48,7 @@ def scan_lines(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("rid"),
-    ).filter(F.trim("value") != "")
+    )
 
 
 def number_lines(lines: DataFrame) -> DataFrame:

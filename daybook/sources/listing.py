@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.sources.lines import relative_object
+from daybook.sources.lines import day_of_object, relative_object
 
 # Whole-file MD5 needs the file in one record; larger files use line digests.
 MD5_LIMIT_BYTES = 256 * 1024 * 1024
@@ -63,10 +63,6 @@ def file_md5(spark: SparkSession, root: str, glob: str | None = None) -> DataFra
 def day_partitions(spark: SparkSession, root: str) -> DataFrame:
     """The days present under ``root``, sorted, taken from the directory names."""
     days = list_objects(spark, root).select(
-        F.regexp_extract("source_file", r"date=([0-9-]+)/", 1).alias("day"), "source_file", "bytes"
-    )
-    return (
-        days.filter(F.col("day") != "")
-        .select(F.col("day").cast("date").alias("date"), "source_file", "bytes")
-        .orderBy("date")
+        day_of_object(F.col("source_file")).alias("date"), "source_file", "bytes"
     )
+    return days.filter(F.col("date").isNotNull()).orderBy("date")

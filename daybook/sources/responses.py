@@ -35,9 +35,8 @@ def read_responses(spark: SparkSession, root: str) -> DataFrame:
     """
     files = (
         spark.read.schema("value string, run string")
-        .option("wholetext", True)
         .option("pathGlobFilter", "*.json")
-        .text(root)
+        .text(root, wholetext=True)
         .select("run", "value", F.col("_metadata.file_name").alias("file_name"))
     )
     return files.select(
