@@ -101,29 +101,28 @@ def session_measures(bars: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> D
     ``bars`` is read twice and should be a table. Needs the series order columns.
     """
     lengths = bars.groupBy("ticker").agg(F.count("*").alias("rows"))
-    long_tickers = lengths.filter(F.col("rows") > rows_per_slice).select("ticker")
+    long_tickers = lengths.filter(F.col("rows") > rows_per_slice)
     if long_tickers.isEmpty():
         return with_measures(bars, ["ticker"], _ascending(SERIES_ORDER))
     long_tickers = settle(long_tickers, "long-tickers")
-    short = null_safe_filter(bars, long_tickers, ["ticker"], "left_anti")
-    long = null_safe_filter(bars, long_tickers, ["ticker"], "left_semi")
+    rows = long_tickers.agg(F.sum("rows")).first()[0]
+    names = long_tickers.select("ticker")
+    short = null_safe_filter(bars, names, ["ticker"], "left_anti")
+    long = null_safe_filter(bars, names, ["ticker"], "left_semi")
     return with_measures(short, ["ticker"], _ascending(SERIES_ORDER)).unionByName(
-        sliced_measures(long, rows_per_slice)
+        sliced_measures(long, rows, rows_per_slice)
     )
 
 
-def sliced_measures(bars: DataFrame, rows_per_slice: int) -> DataFrame:
-    """The same measures for series too long for one task.
+def sliced_measures(bars: DataFrame, rows: int, rows_per_slice: int) -> DataFrame:
+    """The same measures for ``rows`` bars of series too long for one task.
 
-    Rows get their exact position in the series without gathering it: a range
-    partitioning over the whole sort key cuts anywhere, even inside one day's
-    copies; counts per partition (a table of one row per partition and ticker)
-    turn the place inside a partition into a position. Slices then have a known
-    size, and only the last rows of a slice are copied into the next.
+    Slices have a fixed number of rows, and only the last rows of a slice are
+    copied into the next, as far as the longest frame reaches back.
     """
     if rows_per_slice < YEAR_SESSIONS:
         raise ValueError(f"a slice must hold at least {YEAR_SESSIONS} rows")
-    placed = positioned(bars, rows_per_slice)
+    placed = positioned(bars, max(2, math.ceil(rows / rows_per_slice)))
     reach = YEAR_SESSIONS - 1
     home = F.floor(F.col("position") / rows_per_slice)
     feeds_next = F.col("position") % rows_per_slice >= rows_per_slice - reach
@@ -133,11 +132,16 @@ def sliced_measures(bars: DataFrame, rows_per_slice: int) -> DataFrame:
     return measured.filter(F.col("home") == F.col("slice")).drop("home", "slice", "position")
 
 
-def positioned(bars: DataFrame, rows_per_slice: int) -> DataFrame:
-    """Adds ``position``, 0-based in each ticker's series order."""
-    bars = settle(bars, "long-series")
+def positioned(bars: DataFrame, parts: int) -> DataFrame:
+    """Adds ``position``, 0-based in each ticker's series order.
+
+    No series is gathered for that: a range partitioning over the whole sort key
+    cuts anywhere, even between the copies of one day, and the rows counted per
+    partition and ticker (a table of that size) turn the place inside a partition
+    into a position. The ranges are written down, as a second run of the sampling
+    behind them could cut elsewhere.
+    """
     key = _ascending(("ticker", *SERIES_ORDER))
-    parts = max(2, math.ceil(bars.count() / rows_per_slice))
     ranged = settle(
         bars.repartitionByRange(parts, *key)
         .sortWithinPartitions(*key)

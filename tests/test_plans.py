@@ -90,6 +90,6 @@ def test_hot_series_is_spread_over_tasks(spark, staged):
     from daybook.operators.series import sliced_measures
 
     one = staged.withColumn("ticker", F.lit("hot"))
-    measured = sliced_measures(one, 300)
+    measured = sliced_measures(one, one.count(), 300)
     assert "hashpartitioning(ticker" in plan(measured) and "slice" in plan(measured)
     assert measured.count() == staged.count()

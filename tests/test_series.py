@@ -72,12 +72,12 @@ def test_measures_against_plain_python(spark, rows_per_slice):
 def test_one_day_may_hold_most_of_a_series(spark):
     """Copies of a single day are cut like any other rows."""
     rows = [("A", DAY, load(0), n, float(n % 97), float(n % 89), float(n % 83)) for n in range(2000)]
-    assert result(sliced_measures(frame(spark, rows), 300)) == by_hand(rows)
+    assert result(sliced_measures(frame(spark, rows), 2000, 300)) == by_hand(rows)
 
 
 def test_positions_are_exact(spark):
     rows = random_series(3, TICKERS)
-    placed = positioned(frame(spark, rows), 300).select("ticker", "file_row_number", "position").collect()
+    placed = positioned(frame(spark, rows), 9).select("ticker", "file_row_number", "position").collect()
     got = {(r.ticker, r.file_row_number): r.position for r in placed}
     for ticker, length in TICKERS:
         ordered = sorted((r for r in rows if r[0] == ticker), key=lambda r: r[1:4])
@@ -86,7 +86,7 @@ def test_positions_are_exact(spark):
 
 def test_slices_must_cover_the_longest_frame(spark):
     with pytest.raises(ValueError):
-        sliced_measures(frame(spark, random_series(1, [("A", 5)])), 251)
+        sliced_measures(frame(spark, random_series(1, [("A", 5)])), 5, 251)
 
 
 def test_fact_columns_and_guards(spark):

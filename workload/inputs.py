@@ -130,16 +130,21 @@ def raw_loads(bars: DataFrame) -> DataFrame:
     return raw_rows(loads, F.col("loaded_at"))
 
 
-def staged_once(spark: SparkSession, sf: str) -> DataFrame:
-    """Staging rows of the single load, as a table."""
-    rows = daily_bars(spark, sf).select(
+def staged_rows(bars: DataFrame) -> DataFrame:
+    """Staging rows of the single load."""
+    rows = bars.select(
         "*",
         utc_ntz(ingest_stamp(F.col("trade_date"))).alias("ingested_at_utc"),
         day_file(F.col("trade_date")).alias("source_file"),
         brand_rank().alias("file_row_number"),
         _at(FIRST_LOAD).alias("loaded_at"),
     )
-    return settle(keyed_bars(rows).select(*STG_PRICES), "staged")
+    return keyed_bars(rows).select(*STG_PRICES)
+
+
+def staged_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, as a table."""
+    return settle(staged_rows(daily_bars(spark, sf)), "staged")
 
 
 def raw_table(spark: SparkSession, sf: str) -> DataFrame:

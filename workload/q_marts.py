@@ -9,6 +9,7 @@ from daybook.operators import measures
 from daybook.operators.series import session_measures
 from daybook.plans import marts, reports
 from daybook.plans.staging import stg_prices
+from daybook.scratch import settle
 from workload import inputs
 from workload.oracle import BARS, FLAGGED, MARTS, REPORT, STAGED, dim, fact, text
 from workload.registry import query
@@ -75,10 +76,8 @@ def fct_daily_prices(spark, sf):
 )
 def fct_daily_prices_sliced(spark, sf):
     """From raw rows with reloads, every series cut into slices as if too long for one task."""
-    from daybook.scratch import settle
-
     staged = settle(stg_prices(inputs.raw_table(spark, sf)), "staged")
-    return marts.fct_daily_prices(staged, rows_per_slice=300)
+    return marts.fct_daily_prices(staged, rows_per_slice=800)
 
 
 @query(
@@ -254,8 +253,6 @@ def profile_columns(spark, sf):
 )
 def grid_gaps(spark, sf):
     bars = inputs.daily_bars(spark, sf).select(*GRAIN)
-    from daybook.scratch import settle
-
     return measures.grid_gaps(settle(bars, "bars"), inputs.reference(spark, sf))
 
 

@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators import quality
+from daybook.operators.quality import run_checks
 from daybook.plans import marts
 from daybook.plans.suite import build_checks
 from daybook.schemas import SECTORS
 from daybook.scratch import settle
-from daybook.operators.quality import run_checks
 from workload import inputs
-from workload.oracle import BARS, CONTRADICTION, FAULTY, LOADS, REFERENCE, STAGED, dim, fact, text
+from workload.oracle import BARS, CONTRADICTION, FAULTY, LOADS, REFERENCE, dim, fact, text
 from workload.registry import query
 
 
 def faulty(spark, sf):
-    return inputs.faulty(inputs.staged_once(spark, sf))
+    return inputs.faulty(inputs.staged_rows(inputs.daily_bars(spark, sf)))
 
 
 @query(
@@ -218,10 +218,11 @@ def _counts_sql() -> str:
 )
 def quality_report(spark, sf):
     """All 25 checks over tables built from faulty staging rows."""
-    staged = settle(faulty(spark, sf), "faulty")
+    bars = settle(inputs.daily_bars(spark, sf), "bars")
+    staged = settle(inputs.faulty(inputs.staged_rows(bars)), "faulty")
     dimension = marts.dim_tickers(inputs.reference(spark, sf), staged)
     tables = {
-        "raw_prices": inputs.raw_single(inputs.daily_bars(spark, sf)),
+        "raw_prices": inputs.raw_single(bars),
         "ticker_reference": mistyped(spark, sf),
         "stg_prices": staged,
         "dim_tickers": settle(dimension, "dim"),
