@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.bars import trading_day, utc_ntz
 from daybook.operators.quality import run_checks
 from daybook.plans.marts import dim_tickers, fct_daily_prices
 from daybook.plans.staging import stg_prices
@@ -41,7 +42,7 @@ def build(warehouse: Warehouse, reference: DataFrame, as_of: Column | None = Non
     Warnings let the build go on. After an error, everything downstream of the
     table is skipped, its checks included, so no mart is made from bad rows.
     """
-    as_of = F.current_date() if as_of is None else as_of
+    as_of = trading_day(utc_ntz(F.current_timestamp())) if as_of is None else as_of
     checks = build_checks(as_of)
     blocked: set[str] = set()
     outcome: list[tuple[str, str, str, int | None]] = []

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.bars import MARKET_ZONE, utc_ntz
 from daybook.operators.upsert import merge_counts, merge_days
-from daybook.plans.manifests import append_manifest, ingest_manifest, run_name, ticker_outcomes
+from daybook.plans.manifests import (
+    append_manifest,
+    ingest_manifest,
+    run_name,
+    ticker_outcomes,
+    with_reasons,
+)
 from daybook.schemas import LANDED_FIELDS
 from daybook.scratch import settle
 from daybook.sources.ledger import path_exists
@@ -16,6 +24,7 @@ from daybook.sources.day_files import among_days, read_days, write_days
 from daybook.sources.responses import (
     bars_to_rows,
     envelope_bars,
+    envelope_states,
     land_responses,
     read_landed_envelopes,
 )
@@ -25,16 +34,26 @@ DAILY_DAYS = 7
 BACKFILL_DAYS = 730
 
 
+def market_date(utc: datetime.datetime) -> datetime.date:
+    """Which trading day a UTC instant falls on."""
+    return utc.replace(tzinfo=datetime.timezone.utc).astimezone(ZoneInfo(MARKET_ZONE)).date()
+
+
 def in_window(trade_date: Column, as_of: Column, days_back: int) -> Column:
     """Trade dates from ``as_of - days_back`` to ``as_of``, both included."""
     return trade_date.between(F.date_sub(as_of, days_back), as_of)
 
 
+def undatable_tickers(rows: DataFrame) -> DataFrame:
+    """Tickers that sent a bar without a time."""
+    return rows.filter(F.col("trade_date").isNull()).select("ticker").distinct()
+
+
 def usable_rows(rows: DataFrame, universe: DataFrame) -> DataFrame:
     """Rows of requested tickers, without any ticker that sent an undatable bar."""
-    undatable = rows.filter(F.col("trade_date").isNull()).select("ticker").distinct()
     requested = universe.select("ticker").distinct()
-    return rows.join(undatable, "ticker", "left_anti").join(requested, "ticker", "left_semi")
+    kept = rows.join(undatable_tickers(rows), "ticker", "left_anti")
+    return kept.join(requested, "ticker", "left_semi")
 
 
 def upsert_days(spark: SparkSession, root: str, rows: DataFrame) -> dict[str, int]:
@@ -73,7 +92,7 @@ def ingest(
     kept. Returns the manifest with the merge counts.
     """
     run = run_name(started_at)
-    as_of = as_of or started_at.date()
+    as_of = as_of or market_date(started_at)
     land_responses(responses, f"{root}/_raw", run)
     kept = read_landed_envelopes(spark, f"{root}/_raw").filter(F.col("run") == run)
     stamp = started_at.strftime("%Y-%m-%dT%H:%M:%S+00:00")
@@ -82,10 +101,13 @@ def ingest(
     dated = rows.filter(window | F.col("trade_date").isNull())
     received = settle(usable_rows(dated, universe), "received")
     counts = upsert_days(spark, f"{root}/days", received)
-    outcomes = ticker_outcomes(received, universe)
+    outcomes = with_reasons(
+        ticker_outcomes(received, universe), envelope_states(kept), undatable_tickers(rows)
+    )
     manifest = ingest_manifest(received, universe, F.lit(as_of)).select(
         F.lit(run).alias("run_id"),
         F.lit(mode).alias("mode"),
+        utc_ntz(F.current_timestamp()).alias("finished_at_utc"),
         F.date_sub(F.lit(as_of), days_back).alias("requested_from"),
         F.lit(as_of).alias("requested_to"),
         "*",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.measures import side_by_side
+from daybook.schemas import USABLE_STATES
 
 
 def append_manifest(rows: DataFrame, path: str) -> None:
@@ -34,6 +35,21 @@ def ticker_outcomes(received: DataFrame, universe: DataFrame) -> DataFrame:
     )
 
 
+def with_reasons(outcomes: DataFrame, states: DataFrame, undatable: DataFrame) -> DataFrame:
+    """Adds why each failed ticker failed, from (ticker, status) of the responses."""
+    answered = states.groupBy("ticker").agg(F.max("status").alias("status"))
+    undated = undatable.select("ticker", F.lit(True).alias("undated")).distinct()
+    state = F.coalesce("status", F.lit("none"))
+    reason = (
+        F.when(F.col("outcome") == "succeeded", F.lit(None))
+        .when(~state.isin(*USABLE_STATES), F.concat(F.lit("response status "), state))
+        .when(F.col("undated"), "a bar without a time")
+        .otherwise("no bars in the window")
+    )
+    joined = outcomes.join(answered, "ticker", "left").join(undated, "ticker", "left")
+    return joined.select("ticker", "bars", "outcome", reason.alias("reason"))
+
+
 def failed_tickers(received: DataFrame, universe: DataFrame) -> DataFrame:
     """Requested symbols without a single bar in the window."""
     wanted = universe.select("ticker").distinct()

@@ -27,6 +27,15 @@ def envelope_bars(docs: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def envelope_states(docs: DataFrame, column: str = "value") -> DataFrame:
+    """(ticker, status) of every response document."""
+    body = F.parse_json(column)
+    return docs.select(
+        F.variant_get(body, "$.ticker", "string").alias("ticker"),
+        F.variant_get(body, "$.status", "string").alias("status"),
+    )
+
+
 def read_responses(spark: SparkSession, root: str) -> DataFrame:
     """(run, ticker, position, bar) of files ``run=<id>/<TICKER>.json``.
 

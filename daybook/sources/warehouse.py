@@ -1,7 +1,8 @@
-"""Tables by name, one schema per layer."""
+"""Tables by name, one schema per layer, replaced as a whole."""
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,10 @@ LAYERS = {
 
 # How the larger tables are laid out. Ranges over the full sort key cut inside a
 # hot ticker as well as between tickers, and give readers min/max to skip by.
+# Staging may hold copies of a day, so lineage is part of its key; the gate lets
+# no copies through to the fact table.
 SORTED_BY = {
-    "stg_prices": ("ticker", "trade_date"),
+    "stg_prices": ("ticker", "trade_date", "loaded_at", "source_file", "file_row_number"),
     "fct_daily_prices": ("ticker", "trade_date"),
     "dim_tickers": ("ticker",),
 }
@@ -28,29 +31,80 @@ SORTED_BY = {
 class Warehouse:
     """Resolves table names to ``schema.table`` in the session's catalog.
 
-    ``prefix`` separates several warehouses in one catalog. ``views`` lets a
-    caller put a DataFrame in place of a table.
+    Every save writes a new version directory and then points the table at it, so
+    a build that dies half-way leaves the previous table readable. A session whose
+    catalog does not know a table yet registers its newest complete version.
+    ``prefix`` separates several warehouses in one catalog, ``root`` is where the
+    files go, and ``views`` puts a DataFrame in place of a table.
     """
 
     spark: SparkSession
     prefix: str = ""
+    root: str | None = None
     views: dict[str, DataFrame] = field(default_factory=dict)
 
     def qualified(self, name: str) -> str:
         return f"{self.prefix}{LAYERS[name]}.{name}"
 
+    def folder(self, name: str) -> str:
+        root = self.root or self.spark.conf.get("spark.sql.warehouse.dir")
+        return f"{root.rstrip('/')}/{self.prefix}{LAYERS[name]}/{name}"
+
     def table(self, name: str) -> DataFrame:
         if name in self.views:
             return self.views[name]
+        self._register_newest(name)
         return self.spark.table(self.qualified(name))
 
     def exists(self, name: str) -> bool:
-        return name in self.views or self.spark.catalog.tableExists(self.qualified(name))
+        if name in self.views:
+            return True
+        self._register_newest(name)
+        return self.spark.catalog.tableExists(self.qualified(name))
 
     def save(self, name: str, df: DataFrame) -> None:
         """Replace a table, sorted within range partitions where an order is set."""
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{LAYERS[name]}")
         keys = SORTED_BY.get(name)
         if keys:
             df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        df.write.mode("overwrite").format("parquet").saveAsTable(self.qualified(name))
+        earlier = self._versions(name)
+        version = datetime.datetime.now(datetime.timezone.utc).strftime("v%Y%m%dT%H%M%S%f")
+        df.write.parquet(f"{self.folder(name)}/{version}")
+        self._point(name, version)
+        # The version before stays for readers that started on it.
+        for old in earlier[:-1]:
+            path = self._path(f"{self.folder(name)}/{old}")
+            self._files(path).delete(path, True)
+
+    def _point(self, name: str, version: str) -> None:
+        """Make the catalog's table read a version directory."""
+        location = f"{self.folder(name)}/{version}"
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{LAYERS[name]}")
+        table = self.qualified(name)
+        if self.spark.catalog.tableExists(table):
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            self.spark.catalog.refreshTable(table)
+        else:
+            schema = self.spark.read.parquet(location).schema
+            self.spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
+
+    def _register_newest(self, name: str) -> None:
+        if not self.spark.catalog.tableExists(self.qualified(name)):
+            versions = self._versions(name)
+            if versions:
+                self._point(name, versions[-1])
+
+    def _versions(self, name: str) -> list[str]:
+        """Complete versions, oldest first."""
+        folder = self._path(self.folder(name))
+        files = self._files(folder)
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return sorted(n for n in names if files.exists(self._path(f"{self.folder(name)}/{n}/_SUCCESS")))
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())

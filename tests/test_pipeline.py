@@ -140,8 +140,9 @@ def test_failed_ticker_keeps_its_history(chain, spark):
     assert (run["tickers_succeeded"], run["tickers_failed"], run["dates_rewritten"]) == (1, 2, 0)
     assert read_days(spark, f"{chain.root}/data/days").count() == 15
     outcomes = spark.read.json(f"{chain.root}/data/_runs/tickers").filter("run_id = '2024-03-08T1400'")
-    assert rows_of(outcomes, "ticker", "bars", "outcome") == [
-        ("AA", 5, "succeeded"), ("BB", 0, "failed"), ("CC", 0, "failed")]
+    assert rows_of(outcomes, "ticker", "bars", "outcome", "reason") == [
+        ("AA", 5, "succeeded", None), ("BB", 0, "failed", "no bars in the window"),
+        ("CC", 0, "failed", "response status ERROR")]
 
 
 def test_undatable_bar_fails_its_ticker_only(chain):
@@ -184,7 +185,7 @@ def test_expired_history_loads_again_and_stops(chain, spark):
     loaded = chain.load(history_days=64)
     assert (loaded["files_processed"], loaded["verdict"], loaded["reloaded_rows"]) == (5, "STOP", 15)
     reference = spark.createDataFrame([(t, t, "Energy") for t in TICKERS], "ticker string, company_name string, sector string")
-    house = Warehouse(spark, "expired_", {"raw_prices": chain.raw()})
+    house = Warehouse(spark, "expired_", views={"raw_prices": chain.raw()})
     outcome = {r.node: r.status for r in build(house, reference, F.lit(AS_OF)).collect()}
     assert outcome["unique_stg_prices_price_key"] == "error"
     assert outcome["fct_daily_prices"] == outcome["dim_tickers"] == "skip"
@@ -232,7 +233,7 @@ def test_stream_front_end_loads_what_is_there_once(chain, spark):
 def test_green_build(chain, spark):
     chain.ingest(*DOCS), chain.publish(), chain.load()
     reference = spark.createDataFrame([(t, t, "Energy") for t in TICKERS], "ticker string, company_name string, sector string")
-    house = Warehouse(spark, "green_", {"raw_prices": chain.raw()})
+    house = Warehouse(spark, "green_", views={"raw_prices": chain.raw()})
     outcome = build(house, reference, F.lit(AS_OF)).collect()
     assert len(outcome) == 29
     assert {r.status for r in outcome} == {"pass"}
@@ -240,6 +241,19 @@ def test_green_build(chain, spark):
     assert house.qualified("fct_daily_prices") == "green_marts.fct_daily_prices"
     again = {r.status for r in build(house, reference, F.lit(AS_OF)).collect()}
     assert again == {"pass"}
+    for _ in range(2):
+        house.save("ticker_reference", reference)
+    assert len(house._versions("ticker_reference")) == 2, "one version stays behind the current one"
+    spark.sql("DROP TABLE green_marts.fct_daily_prices")
+    assert Warehouse(spark, "green_").table("fct_daily_prices").count() == 15, "a new catalog finds the files"
+
+
+def test_a_failed_save_leaves_the_table(spark):
+    house = Warehouse(spark, "kept_")
+    house.save("ticker_reference", spark.createDataFrame([("A",)], "ticker string"))
+    with pytest.raises(Exception):
+        house.save("ticker_reference", spark.sql("SELECT raise_error('lost') AS ticker"))
+    assert rows_of(house.table("ticker_reference")) == [("A",)]
 
 
 def test_planted_duplicate_skips_the_marts(chain, spark):
@@ -247,7 +261,7 @@ def test_planted_duplicate_skips_the_marts(chain, spark):
     chain.ingest(*DOCS), chain.publish(), chain.load()
     copy = chain.raw().limit(1).withColumn("source_file", F.lit("planted"))
     reference = spark.createDataFrame([(t, t, "Energy") for t in TICKERS], "ticker string, company_name string, sector string")
-    house = Warehouse(spark, "planted_", {"raw_prices": chain.raw().unionByName(copy)})
+    house = Warehouse(spark, "planted_", views={"raw_prices": chain.raw().unionByName(copy)})
     late = F.lit(datetime.date(2024, 3, 14))
     status = [r.status for r in build(house, reference, late).collect()]
     assert {s: status.count(s) for s in set(status)} == {"pass": 14, "warn": 1, "error": 1, "skip": 13}
