@@ -24,6 +24,7 @@ from daybook.sources.lines import (
     number_lines,
     object_digests,
     scan_lines,
+    split_totals,
 )
 from daybook.sources.listing import list_objects, stage_summary
 
@@ -79,14 +80,15 @@ def load_new_files(
     if unseen.isEmpty():
         return {"files_processed": 0, "rows_loaded": 0}
     lines = _lines_of(spark, stage, unseen)
-    digested = object_digests(lines).join(unseen, "source_file")
+    totals = split_totals(lines)
+    digested = object_digests(totals).join(unseen, "source_file")
     fresh = settle(files_to_load(digested, known), "fresh")
     if fresh.isEmpty():
         return {"files_processed": 0, "rows_loaded": 0}
     load_id = uuid.uuid4().hex
-    numbered = number_lines(lines.join(fresh.select("source_file"), "source_file", "left_semi"))
+    wanted = lines.join(fresh.select("source_file"), "source_file", "left_semi")
     loaded_at = F.lit(now).cast("timestamp_ntz").alias("loaded_at")
-    as_payload(numbered).select(
+    as_payload(number_lines(wanted, totals)).select(
         "payload", "source_file", "file_row_number", loaded_at, F.lit(load_id).alias("load_id")
     ).write.mode("append").partitionBy("load_id").parquet(raw)
     entries = fresh.select("*", F.lit(load_id).alias("load_id"), loaded_at)

@@ -12,7 +12,7 @@ from daybook.schemas import PUBLISH_LEDGER
 from daybook.scratch import settle
 from daybook.sources.day_files import among_days
 from daybook.sources.ledger import append_ledger, latest_entries, path_exists, read_ledger
-from daybook.sources.lines import day_of_object, object_digests, scan_lines
+from daybook.sources.lines import day_of_object, object_digests, scan_lines, split_totals
 from daybook.sources.listing import list_objects
 
 # Fixed value: where published days live under the stage.
@@ -21,7 +21,7 @@ PREFIX = "raw/prices"
 
 def local_objects(spark: SparkSession, root: str) -> DataFrame:
     """(object_key, digest, bytes) of every local day partition."""
-    digests = object_digests(scan_lines(spark, root))
+    digests = object_digests(split_totals(scan_lines(spark, root)))
     sizes = list_objects(spark, root).select("source_file", "bytes")
     return digests.join(sizes, "source_file").select(
         F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "digest", "bytes"

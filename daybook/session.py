@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # UTC keeps instants and dates free of the machine's own zone, ANSI makes a
-# malformed value fail the job, and AQE splits skewed shuffle partitions.
+# malformed value fail the job, and AQE splits skewed shuffle partitions. VARIANT
+# columns are written with their common fields as Parquet columns of their own, so
+# a step that needs two fields of a payload does not read the rest.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -13,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
 }
 
 

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from daybook.scratch import settle
 
 
+# What identifies one piece of a file that one task reads.
+SPLIT = ["source_file", "path", "block"]
+
+
 def day_object(path: Column) -> Column:
     """The object a physical file belongs to.
 
@@ -51,35 +55,35 @@ def scan_lines(spark: SparkSession, root: str, where: Column | None = None) -> D
     )
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
+def split_totals(lines: DataFrame) -> DataFrame:
+    """Line count and digest parts of every input split, as a table.
+
+    One pass over the text serves both the digests and the line numbers.
+    """
+    totals = lines.groupBy(*SPLIT).agg(F.count("*").alias("n"), *line_digest(F.col("value")))
+    return settle(totals, "split-totals")
+
+
+def number_lines(lines: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Adds ``file_row_number``, 1-based within ``source_file``.
 
     No file is ever gathered in one task: lines are ranked inside one input
     split, which the reader's split size bounds, and a running total over the
     splits of an object (one row each) gives every split its offset.
     """
-    place = ["source_file", "path", "block"]
+    totals = split_totals(lines) if totals is None else totals
     earlier = (
         Window.partitionBy("source_file")
         .orderBy("path", "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = settle(
-        lines.groupBy(*place)
-        .agg(F.count("*").alias("n"))
-        .withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .filter(F.col("offset") > 0)
-        .drop("n"),
-        "line-offsets",
-    )
-    within_split = F.row_number().over(Window.partitionBy(*place).orderBy("rid"))
-    ranked = lines.withColumn("line", within_split)
+    offsets = totals.select(*SPLIT, F.sum("n").over(earlier).alias("offset")).filter("offset > 0")
+    within_split = F.row_number().over(Window.partitionBy(*SPLIT).orderBy("rid"))
+    number = F.coalesce("offset", F.lit(0)) + F.col("line")
     return (
-        ranked.join(offsets, place, "left")
-        .withColumn(
-            "file_row_number",
-            (F.coalesce("offset", F.lit(0)) + F.col("line")).cast("long"),
-        )
+        lines.withColumn("line", within_split)
+        .join(offsets, SPLIT, "left")
+        .withColumn("file_row_number", number.cast("long"))
         .drop("path", "block", "rid", "line", "offset")
     )
 
@@ -108,11 +112,13 @@ def digest_text(row_count: Column) -> Column:
     return F.concat_ws("-", row_count, *[F.col(f"lane_{lane}") for lane in range(4)])
 
 
-def object_digests(lines: DataFrame) -> DataFrame:
-    """(source_file, row_count, digest): equal digests mean equal sets of lines."""
-    totals = lines.groupBy("source_file").agg(
-        F.count("*").alias("row_count"), *line_digest(F.col("value"))
-    )
-    return totals.select(
+def object_digests(totals: DataFrame) -> DataFrame:
+    """(source_file, row_count, digest) from split totals.
+
+    Equal digests mean equal sets of lines.
+    """
+    lanes = [F.sum(f"lane_{lane}").alias(f"lane_{lane}") for lane in range(4)]
+    objects = totals.groupBy("source_file").agg(F.sum("n").alias("row_count"), *lanes)
+    return objects.select(
         "source_file", "row_count", digest_text(F.col("row_count")).alias("digest")
     )

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.operators.upsert import merge_days
+from daybook.scratch import settle
 from daybook.sources import lines as line_source
 from daybook.sources.day_files import among_days, json_line, parse_landed, read_days, write_days
 from daybook.sources.listing import day_partitions, file_md5, list_files, list_objects, stage_summary
@@ -113,8 +114,8 @@ def test_scan_prunes_days(spark, tmp_path):
 
 def test_digest_depends_on_content_only(spark):
     def digest(*rows):
-        df = spark.createDataFrame([("f", r) for r in rows], "source_file string, value string")
-        return line_source.object_digests(df.repartition(5)).first().digest
+        df = spark.createDataFrame([("f", f"p{i % 3}", 0, r) for i, r in enumerate(rows)], "source_file string, path string, block bigint, value string")
+        return line_source.object_digests(line_source.split_totals(df.repartition(5))).first().digest
 
     assert digest("a", "b", "c") == digest("c", "a", "b")
     assert len({digest("a", "b"), digest("a", "c"), digest("a"), digest("a", "a"), digest("a", "b", "b")}) == 5
@@ -134,6 +135,13 @@ def test_listing(spark, tmp_path):
     assert "content" not in list_files(spark, str(root))._jdf.queryExecution().optimizedPlan().toString().split("Project")[0]
 
 
+def test_variant_tables_return_the_json_they_got(spark):
+    docs = ['{"c":229,"t":"A","v":1.5}', '{"c":229.15,"t":"B","v":2}', '{"c":"x","extra":{"a":[1,2]},"v":null}', '{"c":12345678901234567,"v":1.0E300}', '[1,"two"]']
+    payloads = spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).select(F.parse_json("value").alias("payload"))
+    table = settle(payloads, "variants")
+    assert sorted(r[0] for r in table.select(F.to_json("payload")).collect()) == sorted(docs)
+
+
 FIELDS = ("open", "high", "low", "close", "volume", "vwap")
 
 
