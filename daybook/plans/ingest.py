@@ -114,5 +114,6 @@ def ingest(
         *[F.lit(v).alias(k) for k, v in counts.items() if k != "dates_touched"],
     )
     append_manifest(outcomes.select(F.lit(run).alias("run_id"), "*"), f"{root}/_runs/tickers")
-    append_manifest(manifest, f"{root}/_runs/ingest")
-    return manifest.first().asDict()
+    record = manifest.first()
+    append_manifest(spark.createDataFrame([record], manifest.schema), f"{root}/_runs/ingest")
+    return record.asDict()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,7 +80,30 @@ class Chain:
 
 @pytest.fixture
 def chain(spark, tmp_path):
-    return Chain(spark, tmp_path)
+    """Tables of a few rows: compiling code for them would take most of the time."""
+    few = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "2"}
+    before = {key: spark.conf.get(key) for key in few}
+    for key, value in few.items():
+        spark.conf.set(key, value)
+    yield Chain(spark, tmp_path)
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.fixture(scope="module")
+def first_run(spark, tmp_path_factory):
+    """A pipeline after its first ingest, publish and load."""
+    first = Chain(spark, tmp_path_factory.mktemp("first"))
+    first.ingest(*DOCS), first.publish(), first.load()
+    return first
+
+
+@pytest.fixture
+def loaded(first_run, chain):
+    """A copy of it, to go on from."""
+    shutil.copytree(first_run.root, chain.root, dirs_exist_ok=True)
+    chain.clock = first_run.clock
+    return chain
 
 
 DOCS = [document(t) for t in TICKERS]
@@ -120,15 +144,14 @@ def test_numbers_keep_their_json_form(chain, spark):
     )
 
 
-def test_revision_travels_as_one_file(chain):
-    chain.ingest(*DOCS), chain.publish(), chain.load()
+def test_revision_travels_as_one_file(loaded):
     revised = document("BB", d6={"vw": 10.5001})
-    assert chain.ingest(DOCS[0], revised, DOCS[2])["dates_rewritten"] == 1
-    assert chain.publish()["files_uploaded"] == 1
-    loaded = chain.load()
-    assert (loaded["files_processed"], loaded["rows_loaded_this_run"]) == (1, 3)
-    assert (loaded["verdict"], loaded["changed_bars"], loaded["passengers"]) == ("WARN", 1, 2)
-    staged = stg_prices(chain.raw())
+    assert loaded.ingest(DOCS[0], revised, DOCS[2])["dates_rewritten"] == 1
+    assert loaded.publish()["files_uploaded"] == 1
+    result = loaded.load()
+    assert (result["files_processed"], result["rows_loaded_this_run"]) == (1, 3)
+    assert (result["verdict"], result["changed_bars"], result["passengers"]) == ("WARN", 1, 2)
+    staged = stg_prices(loaded.raw())
     assert staged.count() == 15
     assert staged.select("price_key").distinct().count() == 15
     assert rows_of(staged.filter("price_key = 'BB|2024-03-06'"), "vwap") == [(10.5001,)]
@@ -179,23 +202,21 @@ def test_object_changed_at_the_stage_is_published_again(chain, spark):
     assert chain.publish()["files_uploaded"] == 1
 
 
-def test_expired_history_loads_again_and_stops(chain, spark):
-    chain.ingest(*DOCS), chain.publish(), chain.load()
-    chain.clock += datetime.timedelta(days=65)
-    loaded = chain.load(history_days=64)
-    assert (loaded["files_processed"], loaded["verdict"], loaded["reloaded_rows"]) == (5, "STOP", 15)
+def test_expired_history_loads_again_and_stops(loaded, spark):
+    loaded.clock += datetime.timedelta(days=65)
+    result = loaded.load(history_days=64)
+    assert (result["files_processed"], result["verdict"], result["reloaded_rows"]) == (5, "STOP", 15)
     reference = spark.createDataFrame([(t, t, "Energy") for t in TICKERS], "ticker string, company_name string, sector string")
-    house = Warehouse(spark, "expired_", views={"raw_prices": chain.raw()})
+    house = Warehouse(spark, "expired_", views={"raw_prices": loaded.raw()})
     outcome = {r.node: r.status for r in build(house, reference, F.lit(AS_OF)).collect()}
     assert outcome["unique_stg_prices_price_key"] == "error"
     assert outcome["fct_daily_prices"] == outcome["dim_tickers"] == "skip"
     assert not house.exists("fct_daily_prices")
 
 
-def test_history_without_expiry_never_repeats(chain):
-    chain.ingest(*DOCS), chain.publish(), chain.load()
-    chain.clock += datetime.timedelta(days=400)
-    assert chain.load()["files_processed"] == 0
+def test_history_without_expiry_never_repeats(loaded):
+    loaded.clock += datetime.timedelta(days=400)
+    assert loaded.load()["files_processed"] == 0
 
 
 def test_malformed_line_loads_nothing(chain, spark):
@@ -208,16 +229,14 @@ def test_malformed_line_loads_nothing(chain, spark):
     assert read_ledger(spark, f"{chain.root}/loaded", LOAD_LEDGER).count() == 0
 
 
-def test_rows_without_a_ledger_entry_are_invisible(chain, spark):
-    chain.ingest(*DOCS), chain.publish(), chain.load()
-    orphan = spark.read.parquet(f"{chain.root}/raw").drop("load_id").withColumn("load_id", F.lit("crashed"))
-    orphan.write.mode("append").partitionBy("load_id").parquet(f"{chain.root}/raw")
-    assert chain.raw().count() == 15
+def test_rows_without_a_ledger_entry_are_invisible(loaded, spark):
+    orphan = spark.read.parquet(f"{loaded.root}/raw").drop("load_id").withColumn("load_id", F.lit("crashed"))
+    orphan.write.mode("append").partitionBy("load_id").parquet(f"{loaded.root}/raw")
+    assert loaded.raw().count() == 15
 
 
-def test_line_numbers_follow_the_file(chain):
-    chain.ingest(*DOCS), chain.publish(), chain.load()
-    rows = chain.raw().select("source_file", "file_row_number", F.variant_get("payload", "$.ticker", "string").alias("ticker"))
+def test_line_numbers_follow_the_file(loaded):
+    rows = loaded.raw().select("source_file", "file_row_number", F.variant_get("payload", "$.ticker", "string").alias("ticker"))
     assert rows_of(rows.filter("source_file like '%03-04%'")) == [
         ("date=2024-03-04/prices.jsonl", i + 1, t) for i, t in enumerate(TICKERS)]
 
@@ -230,10 +249,9 @@ def test_stream_front_end_loads_what_is_there_once(chain, spark):
         assert chain.raw().count() == 15
 
 
-def test_green_build(chain, spark):
-    chain.ingest(*DOCS), chain.publish(), chain.load()
+def test_green_build(loaded, spark):
     reference = spark.createDataFrame([(t, t, "Energy") for t in TICKERS], "ticker string, company_name string, sector string")
-    house = Warehouse(spark, "green_", views={"raw_prices": chain.raw()})
+    house = Warehouse(spark, "green_", views={"raw_prices": loaded.raw()})
     outcome = build(house, reference, F.lit(AS_OF)).collect()
     assert len(outcome) == 29
     assert {r.status for r in outcome} == {"pass"}
@@ -256,12 +274,11 @@ def test_a_failed_save_leaves_the_table(spark):
     assert rows_of(house.table("ticker_reference")) == [("A",)]
 
 
-def test_planted_duplicate_skips_the_marts(chain, spark):
+def test_planted_duplicate_skips_the_marts(loaded, spark):
     """One error, thirteen nodes skipped, and a late feed warning beside it."""
-    chain.ingest(*DOCS), chain.publish(), chain.load()
-    copy = chain.raw().limit(1).withColumn("source_file", F.lit("planted"))
+    copy = loaded.raw().limit(1).withColumn("source_file", F.lit("planted"))
     reference = spark.createDataFrame([(t, t, "Energy") for t in TICKERS], "ticker string, company_name string, sector string")
-    house = Warehouse(spark, "planted_", views={"raw_prices": chain.raw().unionByName(copy)})
+    house = Warehouse(spark, "planted_", views={"raw_prices": loaded.raw().unionByName(copy)})
     late = F.lit(datetime.date(2024, 3, 14))
     status = [r.status for r in build(house, reference, late).collect()]
     assert {s: status.count(s) for s in set(status)} == {"pass": 14, "warn": 1, "error": 1, "skip": 13}

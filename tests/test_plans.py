@@ -34,13 +34,6 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_pairs_rows_or_leaves_the_jvm(spark, sf, name):
-    text = plan(QUERIES[name](spark, sf))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
-        assert node not in text
-
-
 def test_all_window_measures_share_one_shuffle(staged):
     text = plan(marts.fct_daily_prices(staged))
     assert text.count("Exchange ") == 1
