@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable
 from functools import reduce
 
@@ -23,6 +24,14 @@ def utc_ntz(instant: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
 
 
+def utc_literal(instant: datetime.datetime) -> Column:
+    """A Python UTC wall time as a literal.
+
+    Passed as text, since a naive datetime literal is read in the driver's own zone.
+    """
+    return F.lit(instant.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def trading_day(utc_wall_time: Column) -> Column:
     """Date in the market's zone of a UTC wall time."""
     return F.convert_timezone(F.lit("UTC"), F.lit(MARKET_ZONE), utc_wall_time).cast("date")
@@ -75,15 +84,23 @@ def lowest_if_complete(*prices: Column) -> Column:
     return F.when(complete, F.least(*prices))
 
 
+# The names under which contradictions are reported.
+HIGH_BELOW_LOW = "high is below low"
+HIGH_BELOW_OPEN_OR_CLOSE = "high is below open or close"
+LOW_ABOVE_OPEN_OR_CLOSE = "low is above open or close"
+PRICE_NOT_POSITIVE = "a price is zero or negative"
+VOLUME_NEGATIVE = "volume is negative"
+
+
 def contradictions() -> dict[str, Column]:
     """Rules a bar cannot break and still be a bar, by the name reported for them."""
     open_, high, low, close = (F.col(c) for c in ("open", "high", "low", "close"))
     return {
-        "high is below low": high < low,
-        "high is below open or close": (high < open_) | (high < close),
-        "low is above open or close": (low > open_) | (low > close),
-        "a price is zero or negative": lowest_if_complete(open_, high, low, close) <= 0,
-        "volume is negative": F.col("volume") < 0,
+        HIGH_BELOW_LOW: high < low,
+        HIGH_BELOW_OPEN_OR_CLOSE: (high < open_) | (high < close),
+        LOW_ABOVE_OPEN_OR_CLOSE: (low > open_) | (low > close),
+        PRICE_NOT_POSITIVE: lowest_if_complete(open_, high, low, close) <= 0,
+        VOLUME_NEGATIVE: F.col("volume") < 0,
     }
 
 

@@ -38,7 +38,11 @@ def table_measure(rows: DataFrame) -> DataFrame:
 
 
 def rows_per_date(rows: DataFrame) -> DataFrame:
-    """Per trade date, how many bars and how many tickers."""
+    """Per trade date, how many bars and how many tickers.
+
+    Which tickers they are stays in the rows: a list per date would gather one
+    date's tickers into a single value.
+    """
     return rows.groupBy("trade_date").agg(
         F.count("*").alias("bars"), F.countDistinct("ticker").alias("tickers")
     )

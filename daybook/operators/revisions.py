@@ -31,9 +31,24 @@ def key_revisions(keyed: DataFrame) -> DataFrame:
     )
 
 
-def revised_keys(keyed: DataFrame) -> DataFrame:
+def suspected_keys(keyed: DataFrame) -> DataFrame:
+    """Hashes of keys that may have been revised: all that were, and hardly another.
+
+    Every row takes part in this one, so it shuffles three numbers per key and
+    leaves the text of the key behind. Two keys of equal hash can only add a
+    suspect, which the exact comparison then clears.
+    """
+    bounds = keyed.groupBy(F.xxhash64("price_key").alias("key_hash")).agg(
+        F.min("bar_hash").alias("lowest"), F.max("bar_hash").alias("highest")
+    )
+    return bounds.filter(F.col("lowest") != F.col("highest")).select("key_hash")
+
+
+def revised_keys(keyed: DataFrame, suspects: DataFrame) -> DataFrame:
     """Keys loaded with more than one set of numbers."""
-    return key_revisions(keyed).filter("key_was_revised").select("price_key")
+    hashed = keyed.withColumn("key_hash", F.xxhash64("price_key"))
+    examined = hashed.join(suspects, "key_hash", "left_semi")
+    return key_revisions(examined).filter("key_was_revised").select("price_key")
 
 
 def revised_files(keyed: DataFrame, keys: DataFrame) -> DataFrame:
@@ -43,7 +58,8 @@ def revised_files(keyed: DataFrame, keys: DataFrame) -> DataFrame:
 
 def file_revisions(keyed: DataFrame) -> DataFrame:
     """(source_file, rows, file_was_revised) for every file."""
-    keys = settle(revised_keys(keyed), "revised-keys")
+    suspects = settle(suspected_keys(keyed), "suspected-keys")
+    keys = settle(revised_keys(keyed, suspects), "revised-keys")
     files = revised_files(keyed, keys).withColumn("revised", F.lit(True))
     return (
         keyed.groupBy("source_file")
@@ -73,10 +89,11 @@ def keep_loads(keyed: DataFrame) -> DataFrame:
     revised and the rows pass through untouched; otherwise they are written once
     so that the passes below read only the columns they need.
     """
-    keys = settle(revised_keys(keyed), "revised-keys")
-    if keys.isEmpty():
+    suspects = settle(suspected_keys(keyed), "suspected-keys")
+    if suspects.isEmpty():
         return keyed
     keyed = settle(keyed, "keyed")
+    keys = settle(revised_keys(keyed, suspects), "revised-keys")
     files = settle(revised_files(keyed, keys), "revised-files")
     untouched = keyed.join(files, "source_file", "left_anti")
     travelled = keyed.join(files, "source_file", "left_semi").select("price_key").distinct()

@@ -12,10 +12,14 @@ STAMP = "ingested_at_utc"
 
 
 def collapse(rows: DataFrame, fields: list[str], order: str) -> DataFrame:
-    """One row per key: its last copy by ``order`` and whether copies disagreed."""
+    """One row per key: its last copy by ``order`` and whether copies disagreed.
+
+    The fields themselves decide between copies of equal order, so that a retried
+    task picks the same one.
+    """
     bar = F.struct(*[c for c in fields if c != STAMP])
     return rows.groupBy(*KEY).agg(
-        F.max_by(F.struct(*fields), order).alias("now"),
+        F.max_by(F.struct(*fields), F.struct(order, *fields)).alias("now"),
         (F.min(bar) != F.max(bar)).alias("varied"),
     )
 

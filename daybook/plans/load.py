@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions.bars import bar_fingerprint
+from daybook.functions.bars import bar_fingerprint, utc_literal
 from daybook.operators.duplicates import classify_duplicates, verdict
 from daybook.operators.measures import table_measure
 from daybook.plans.manifests import append_manifest, load_manifest, run_name
@@ -87,7 +87,7 @@ def load_new_files(
         return {"files_processed": 0, "rows_loaded": 0}
     load_id = uuid.uuid4().hex
     wanted = lines.join(fresh.select("source_file"), "source_file", "left_semi")
-    loaded_at = F.lit(now).cast("timestamp_ntz").alias("loaded_at")
+    loaded_at = utc_literal(now).alias("loaded_at")
     as_payload(number_lines(wanted, totals)).select(
         "payload", "source_file", "file_row_number", loaded_at, F.lit(load_id).alias("load_id")
     ).write.mode("append").partitionBy("load_id").parquet(raw)

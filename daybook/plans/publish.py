@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.bars import utc_literal
 from daybook.plans.manifests import append_manifest, publish_manifest, run_name
 from daybook.schemas import PUBLISH_LEDGER
 from daybook.scratch import settle
@@ -86,7 +87,7 @@ def publish(
             F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "bytes"
         )
         entries = sent.drop("bytes").join(held, "object_key").select(
-            "object_key", "digest", "bytes", F.lit(started_at).cast("timestamp_ntz").alias("published_at")
+            "object_key", "digest", "bytes", utc_literal(started_at).alias("published_at")
         )
         append_ledger(entries, ledger, PUBLISH_LEDGER)
     if manifests:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import display
 
+# Columns of the dashboard's query.
 REPORT_COLUMNS = (
     "ticker",
     "company_name",
@@ -55,9 +56,13 @@ def ticker_history(rows: DataFrame, ticker: str) -> DataFrame:
 
 
 def latest_rows(rows: DataFrame) -> DataFrame:
-    """The newest row of every ticker, by aggregation rather than by ranking."""
+    """The newest row of every ticker, by aggregation rather than by ranking.
+
+    The remaining columns decide between copies, the same way in every run.
+    """
     others = [c for c in rows.columns if c != "ticker"]
-    order = F.struct("trade_date", "loaded_at")
+    first = ["trade_date", "loaded_at"]
+    order = F.struct(*first, *[c for c in others if c not in first])
     newest = rows.groupBy("ticker").agg(F.max_by(F.struct(*others), order).alias("row"))
     return newest.select("ticker", "row.*")
 

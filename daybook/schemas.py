@@ -49,6 +49,7 @@ RAW = T.StructType(
     ]
 )
 
+# Columns of the staging table, the fact table and the dimension.
 STG_PRICES = (
     "price_key",
     "bar_hash",

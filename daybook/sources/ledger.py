@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions.bars import utc_literal
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or directory is there, on whatever file system it names."""
@@ -44,4 +46,4 @@ def within_history(
     if history_days is None:
         return ledger
     oldest = now - datetime.timedelta(days=history_days)
-    return ledger.filter(F.col("loaded_at") >= F.lit(oldest).cast("timestamp_ntz"))
+    return ledger.filter(F.col("loaded_at") >= utc_literal(oldest))

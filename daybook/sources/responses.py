@@ -56,8 +56,12 @@ def read_responses(spark: SparkSession, root: str) -> DataFrame:
 
 
 def land_responses(docs: DataFrame, root: str, run: str) -> None:
-    """Keep response documents as received, one per line, under ``run=<id>``."""
-    docs.select("value", F.lit(run).alias("run")).write.mode("append").partitionBy("run").text(root)
+    """Keep response documents as received, one per line, under ``run=<id>``.
+
+    Line breaks become blanks: in JSON they can only stand between tokens.
+    """
+    line = F.translate("value", "\r\n", "  ").alias("value")
+    docs.select(line, F.lit(run).alias("run")).write.mode("append").partitionBy("run").text(root)
 
 
 def read_landed_envelopes(spark: SparkSession, root: str) -> DataFrame:

@@ -186,6 +186,11 @@ def test_landed_responses_are_kept_verbatim(chain, spark):
     assert sorted(r.value for r in kept.collect()) == sorted(DOCS)
 
 
+def test_indented_responses_are_one_document_each(chain):
+    indented = [json.dumps(json.loads(d), indent=2) for d in DOCS]
+    assert chain.ingest(*indented)["bars_received"] == 15
+
+
 def test_dry_runs_write_nothing(chain, spark):
     chain.ingest(*DOCS)
     plan = chain.publish(dry_run=True)

@@ -7,6 +7,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.functions.bars import utc_literal
 from daybook.operators import quality
 from daybook.operators.quality import Check, run_checks
 from daybook.plans.suite import build_checks
@@ -103,7 +104,7 @@ def test_weekdays_look_sixty_days_ahead_and_pass_when_empty(spark):
 
 @pytest.mark.parametrize("days,status", [(5, "pass"), (7, "warn"), (11, "error")])
 def test_source_freshness(spark, clean, days, status):
-    as_of = F.lit(datetime.datetime(2024, 1, 1) + datetime.timedelta(days=days)).cast("timestamp_ntz")
+    as_of = utc_literal(datetime.datetime(2024, 1, 1) + datetime.timedelta(days=days))
     assert quality.source_freshness(clean, as_of).first().status == status
     assert quality.source_freshness(clean.limit(0), as_of).first().status == "error"
 

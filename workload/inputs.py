@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions.bars import utc_ntz
+from daybook.functions.bars import utc_literal, utc_ntz
 from daybook.plans.staging import keyed_bars
 from daybook.schemas import STG_PRICES
 from daybook.scratch import scratch_path, settle
@@ -86,10 +86,6 @@ def day_file(trade_date: Column) -> Column:
     return F.concat(F.lit("raw/prices/date="), trade_date.cast("string"), F.lit("/prices.jsonl"))
 
 
-def _at(instant: datetime.datetime) -> Column:
-    return F.lit(instant).cast(T.TimestampNTZType())
-
-
 def brand_rank() -> Column:
     """A brand's line in a day file. There are 25 brands, whatever the data's size."""
     return F.array_position(F.lit(BRANDS), F.col("ticker")).cast("bigint")
@@ -111,7 +107,7 @@ BRANDS = [f"Brand#{n}" for n in sorted(str(n) for n in range(1, 26))]
 
 def raw_single(bars: DataFrame) -> DataFrame:
     """Every bar loaded once."""
-    return raw_rows(bars, _at(FIRST_LOAD))
+    return raw_rows(bars, utc_literal(FIRST_LOAD))
 
 
 def raw_loads(bars: DataFrame) -> DataFrame:
@@ -119,11 +115,11 @@ def raw_loads(bars: DataFrame) -> DataFrame:
     repeat of the files of 15 January. Copies come out of one pass."""
     day, month = F.dayofmonth("trade_date"), F.month("trade_date")
     copies = F.concat(
-        F.array(_at(FIRST_LOAD)),
-        F.when(day == 8, F.array(_at(REVISION_LOAD))).otherwise(F.array()),
-        F.when((day == 15) & (month == 1), F.array(_at(REPEAT_LOAD))).otherwise(F.array()),
+        F.array(utc_literal(FIRST_LOAD)),
+        F.when(day == 8, F.array(utc_literal(REVISION_LOAD))).otherwise(F.array()),
+        F.when((day == 15) & (month == 1), F.array(utc_literal(REPEAT_LOAD))).otherwise(F.array()),
     )
-    revised = (F.col("loaded_at") == _at(REVISION_LOAD)) & (F.char_length("ticker") == 7)
+    revised = (F.col("loaded_at") == utc_literal(REVISION_LOAD)) & (F.char_length("ticker") == 7)
     loads = bars.withColumn("loaded_at", F.explode(copies)).withColumn(
         "vwap", F.when(revised, F.col("vwap") + REVISION_STEP).otherwise(F.col("vwap"))
     )
@@ -137,7 +133,7 @@ def staged_rows(bars: DataFrame) -> DataFrame:
         utc_ntz(ingest_stamp(F.col("trade_date"))).alias("ingested_at_utc"),
         day_file(F.col("trade_date")).alias("source_file"),
         brand_rank().alias("file_row_number"),
-        _at(FIRST_LOAD).alias("loaded_at"),
+        utc_literal(FIRST_LOAD).alias("loaded_at"),
     )
     return keyed_bars(rows).select(*STG_PRICES)
 

@@ -339,7 +339,7 @@ def same_bar_query(spark, sf):
 
     rows = keyed_bars(typed_bars(inputs.raw_table(spark, sf)))
     bar = F.struct(*BAR_NUMBERS)
-    first = F.col("loaded_at") == F.lit(inputs.FIRST_LOAD).cast("timestamp_ntz")
+    first = F.col("loaded_at") == fb.utc_literal(inputs.FIRST_LOAD)
     old = rows.filter(first).select("price_key", F.col("loaded_at").alias("first_load"), bar.alias("old"))
     new = rows.filter(~first).select("price_key", F.col("loaded_at").alias("later_load"), bar.alias("new"))
     return old.join(new, "price_key").select(
