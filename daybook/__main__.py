@@ -20,6 +20,7 @@ from daybook.plans.build import build
 from daybook.plans.ingest import BACKFILL_DAYS, DAILY_DAYS, ingest
 from daybook.plans.load import load, read_raw
 from daybook.plans.publish import PREFIX, publish
+from daybook.scratch import forget_settled
 from daybook.session import build_session
 from daybook.sources.reference import read_reference, read_universe, universe_override
 from daybook.sources.warehouse import Warehouse
@@ -105,6 +106,7 @@ def main() -> None:
     args = parser().parse_args()
     spark = build_session()
     code = run(spark, args)
+    forget_settled(spark)
     spark.stop()
     sys.exit(code)
 

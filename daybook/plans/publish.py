@@ -103,12 +103,15 @@ _MANIFEST = (
 
 
 def _copy_days(spark: SparkSession, sent: DataFrame, root: str, target: str) -> None:
-    """Copy the lines of whole days, in order, over the partitions they replace."""
+    """Copy the lines of whole days over the partitions they replace.
+
+    Every task writes what it read, in order, so nothing is shuffled. A day that
+    several tasks read becomes several part files of the same object.
+    """
     days = sent.select(day_of_object(F.col("object_key")).alias("date")).distinct()
     lines = scan_lines(spark, root, among_days(days, "date")).join(days, "date", "left_semi")
     (
-        lines.repartitionByRange("date", "path", "block", "rid")
-        .sortWithinPartitions("date", "path", "block", "rid")
+        lines.sortWithinPartitions("date", "path", "block", "rid")
         .select("value", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_folder: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -41,9 +42,19 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_settled(spark: SparkSession) -> int:
+    """Delete the tables this session settled, once no DataFrame on them is needed."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
+
+
 def null_safe_on(left: str, right: str, columns: list[str]) -> Column:
     """Equality on every column of two aliased sides, with null equal to null."""
     condition = F.lit(True)

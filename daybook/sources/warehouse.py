@@ -16,17 +16,6 @@ LAYERS = {
     "fct_daily_prices": "marts",
 }
 
-# How the larger tables are laid out. Ranges over the full sort key cut inside a
-# hot ticker as well as between tickers, and give readers min/max to skip by.
-# Staging may hold copies of a day, so lineage is part of its key; the gate lets
-# no copies through to the fact table.
-SORTED_BY = {
-    "stg_prices": ("ticker", "trade_date", "loaded_at", "source_file", "file_row_number"),
-    "fct_daily_prices": ("ticker", "trade_date"),
-    "dim_tickers": ("ticker",),
-}
-
-
 @dataclass
 class Warehouse:
     """Resolves table names to ``schema.table`` in the session's catalog.
@@ -63,10 +52,12 @@ class Warehouse:
         return self.spark.catalog.tableExists(self.qualified(name))
 
     def save(self, name: str, df: DataFrame) -> None:
-        """Replace a table, sorted within range partitions where an order is set."""
-        keys = SORTED_BY.get(name)
-        if keys:
-            df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        """Replace a table with the rows in the partitions they come in.
+
+        Nothing is shuffled or sorted for the write. The windows behind the fact
+        table leave every file in ticker and date order, so a filter on either
+        skips row groups; readers who want a total order ask for it.
+        """
         earlier = self._versions(name)
         version = datetime.datetime.now(datetime.timezone.utc).strftime("v%Y%m%dT%H%M%S%f")
         df.write.parquet(f"{self.folder(name)}/{version}")

@@ -262,6 +262,9 @@ def test_green_build(loaded, spark):
     assert {r.status for r in outcome} == {"pass"}
     assert house.table("fct_daily_prices").count() == 15
     assert house.qualified("fct_daily_prices") == "green_marts.fct_daily_prices"
+    for path in {r[0] for r in house.table("fct_daily_prices").select(F.input_file_name()).collect()}:
+        rows = [(r.ticker, r.trade_date) for r in spark.read.parquet(path).collect()]
+        assert rows == sorted(rows)
     again = {r.status for r in build(house, reference, F.lit(AS_OF)).collect()}
     assert again == {"pass"}
     for _ in range(2):
