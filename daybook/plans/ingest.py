@@ -96,10 +96,10 @@ def ingest(
     land_responses(responses, f"{root}/_raw", run)
     kept = read_landed_envelopes(spark, f"{root}/_raw").filter(F.col("run") == run)
     stamp = started_at.strftime("%Y-%m-%dT%H:%M:%S+00:00")
-    rows = bars_to_rows(envelope_bars(kept), stamp)
     window = in_window(F.col("trade_date"), F.lit(as_of), days_back)
-    dated = rows.filter(window | F.col("trade_date").isNull())
-    received = settle(usable_rows(dated, universe), "received")
+    rows = bars_to_rows(envelope_bars(kept), stamp)
+    rows = settle(rows.filter(window | F.col("trade_date").isNull()), "parsed-bars")
+    received = settle(usable_rows(rows, universe), "received")
     counts = upsert_days(spark, f"{root}/days", received)
     outcomes = with_reasons(
         ticker_outcomes(received, universe), envelope_states(kept), undatable_tickers(rows)

@@ -114,25 +114,22 @@ def load(
     history_days: int | None = None,
     manifests: str | None = None,
 ) -> dict:
-    """A load with its check: measures before and after, manifest and verdict.
+    """A load with its check: rows before, measure after, manifest and verdict.
 
     Duplicates are classified only when rows and keys differ. The verdict is
     ``STOP`` when a file came in twice unchanged, ``WARN`` on a revision.
     """
     staged = stage_summary(list_objects(spark, stage))
-    before = settle(table_measure(typed_bars(read_raw(spark, raw, ledger))), "before")
-    if dry_run:
-        loaded, after = {"files_processed": 0, "rows_loaded": 0}, before
-    else:
+    before = read_raw(spark, raw, ledger).count()
+    loaded = {"files_processed": 0, "rows_loaded": 0}
+    if not dry_run:
         loaded = load_new_files(spark, stage, raw, ledger, now, history_days)
-        after = settle(table_measure(typed_bars(read_raw(spark, raw, ledger))), "after")
-    manifest = settle(
-        load_manifest(before, after, loaded, staged, run_name(now), dry_run), "load-manifest"
-    )
+    after = table_measure(typed_bars(read_raw(spark, raw, ledger)))
+    manifest = load_manifest(before, after, loaded, staged, run_name(now), dry_run)
+    record = manifest.first()
     if manifests:
-        append_manifest(manifest, f"{manifests}/load")
-    result = manifest.first().asDict()
-    result["verdict"] = "OK"
+        append_manifest(spark.createDataFrame([record], manifest.schema), f"{manifests}/load")
+    result = record.asDict() | {"verdict": "OK"}
     if result["rows_after"] != result["distinct_keys_after"]:
         summary = verdict(classify_duplicates(loads_of(read_raw(spark, raw, ledger))))
         result |= summary.first().asDict()

@@ -97,12 +97,11 @@ def publish_manifest(plan: DataFrame, run: str, dry_run: bool, failed: int = 0)
 
 
 def load_manifest(
-    before: DataFrame, after: DataFrame, loaded: dict, staged: DataFrame, run: str, dry_run: bool
+    rows_before: int, after: DataFrame, loaded: dict, staged: DataFrame, run: str, dry_run: bool
 ) -> DataFrame:
     """One row: the raw table before and after a load, and what the load did."""
     return side_by_side(
         staged,
-        before.select(F.col("rows_total").alias("rows_before")),
         after.select(
             F.col("rows_total").alias("rows_after"),
             F.col("distinct_keys").alias("distinct_keys_after"),
@@ -117,6 +116,7 @@ def load_manifest(
         F.lit(dry_run).alias("dry_run"),
         F.lit(loaded["files_processed"]).alias("files_processed"),
         F.lit(loaded["rows_loaded"]).alias("rows_loaded_this_run"),
+        F.lit(rows_before).alias("rows_before"),
         "*",
     )
 

@@ -20,40 +20,43 @@ from daybook.sources.listing import list_objects
 PREFIX = "raw/prices"
 
 
-def local_objects(spark: SparkSession, root: str) -> DataFrame:
-    """(object_key, digest, bytes) of every local day partition."""
-    digests = object_digests(split_totals(scan_lines(spark, root)))
-    sizes = list_objects(spark, root).select("source_file", "bytes")
-    return digests.join(sizes, "source_file").select(
-        F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "digest", "bytes"
+def listed_objects(spark: SparkSession, root: str) -> DataFrame:
+    """(object_key, bytes, modified_at) of the day objects under a directory."""
+    return list_objects(spark, root).select(
+        F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "bytes", "modified_at"
     )
 
 
+def digested_objects(spark: SparkSession, root: str, objects: DataFrame) -> DataFrame:
+    """Adds ``digest`` to listed objects by reading the days they belong to."""
+    where = among_days(objects.select(day_of_object(F.col("object_key")).alias("day")), "day")
+    digests = object_digests(split_totals(scan_lines(spark, root, where))).select(
+        F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "digest"
+    )
+    return objects.join(digests, "object_key")
+
+
 def published_objects(spark: SparkSession, stage: str, ledger: str) -> DataFrame:
-    """(object_key, digest) of what the stage still holds as it was published.
+    """Ledger entries of what the stage still holds as it was published.
 
-    Digests come from the publish ledger, so published content is not read again.
-    An object that is gone, or whose size is no longer the published one, is left
-    out and will be published anew.
+    Published content is not read again. An object that is gone, or whose size
+    is no longer the published one, is left out and will be published anew.
     """
     entries = latest_entries(
         read_ledger(spark, ledger, PUBLISH_LEDGER), ["object_key"], "published_at"
     )
     root = f"{stage}/{PREFIX}"
-    held = list_objects(spark, root).select(
-        F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "bytes"
-    )
-    return entries.join(held, ["object_key", "bytes"], "left_semi").select("object_key", "digest")
+    if not path_exists(spark, root):
+        return entries.limit(0)
+    held = listed_objects(spark, root).select("object_key", "bytes")
+    return entries.join(held, ["object_key", "bytes"], "left_semi")
 
 
 def publish_plan(local: DataFrame, published: DataFrame) -> DataFrame:
     """Each local object with what to do: ``skip`` an identical one, else ``upload``."""
     same = published.select("object_key", "digest", F.lit(True).alias("identical"))
     return local.join(same, ["object_key", "digest"], "left").select(
-        "object_key",
-        "digest",
-        "bytes",
-        F.when(F.col("identical"), "skip").otherwise("upload").alias("action"),
+        *local.columns, F.when(F.col("identical"), "skip").otherwise("upload").alias("action")
     )
 
 
@@ -68,28 +71,33 @@ def publish(
 ) -> dict:
     """Replace the stage's copy of every changed day; returns the manifest.
 
-    The ledger is written last. A run that dies in between publishes the same
+    Local objects whose size and time the ledger knows are not opened. The ledger is written last. A run that dies in between publishes the same
     days again, with the same content.
     """
-    local = local_objects(spark, root)
-    known = path_exists(spark, f"{stage}/{PREFIX}") and path_exists(spark, ledger)
-    published = (
-        published_objects(spark, stage, ledger)
-        if known
-        else local.limit(0).select("object_key", "digest")
+    listed = settle(listed_objects(spark, root), "listed")
+    published = settle(published_objects(spark, stage, ledger), "published")
+    known = published.select(
+        "object_key",
+        F.col("local_bytes").alias("bytes"),
+        F.col("local_modified_at").alias("modified_at"),
     )
-    plan = settle(publish_plan(local, published), "publish-plan")
+    same_file = ["object_key", "bytes", "modified_at"]
+    unseen = settle(listed.join(known, same_file, "left_anti"), "unseen")
+    untouched = listed.join(known, same_file, "left_semi").select(
+        *same_file, F.lit(None).cast("string").alias("digest"), F.lit("skip").alias("action")
+    )
+    plan = untouched
+    if not unseen.isEmpty():
+        plan = plan.unionByName(publish_plan(digested_objects(spark, root, unseen), published))
+    plan = settle(plan, "publish-plan")
     manifest = publish_manifest(plan, run_name(started_at), dry_run).first().asDict()
-    if not dry_run and manifest["files_uploaded"]:
-        _copy_days(spark, plan.filter(F.col("action") == "upload"), root, f"{stage}/{PREFIX}")
+    if not dry_run:
         sent = plan.filter(F.col("action") == "upload")
-        held = list_objects(spark, f"{stage}/{PREFIX}").select(
-            F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "bytes"
-        )
-        entries = sent.drop("bytes").join(held, "object_key").select(
-            "object_key", "digest", "bytes", utc_literal(started_at).alias("published_at")
-        )
-        append_ledger(entries, ledger, PUBLISH_LEDGER)
+        if manifest["files_uploaded"]:
+            _copy_days(spark, sent, root, f"{stage}/{PREFIX}")
+        examined = plan.filter(F.col("digest").isNotNull())
+        if not examined.isEmpty():
+            _record(spark, examined, f"{stage}/{PREFIX}", ledger, started_at)
     if manifests:
         append_manifest(spark.createDataFrame([manifest], _MANIFEST), f"{manifests}/publish")
     return manifest
@@ -102,6 +110,21 @@ _MANIFEST = (
 )
 
 
+def _record(
+    spark: SparkSession, examined: DataFrame, root: str, ledger: str, at: datetime.datetime
+) -> None:
+    """Remember the examined objects as they are here and at the stage."""
+    held = listed_objects(spark, root).select("object_key", "bytes")
+    entries = examined.select(
+        "object_key",
+        "digest",
+        F.col("bytes").alias("local_bytes"),
+        F.col("modified_at").alias("local_modified_at"),
+        utc_literal(at).alias("published_at"),
+    )
+    append_ledger(entries.join(held, "object_key"), ledger, PUBLISH_LEDGER)
+
+
 def _copy_days(spark: SparkSession, sent: DataFrame, root: str, target: str) -> None:
     """Copy the lines of whole days over the partitions they replace.
 

@@ -14,7 +14,7 @@ from daybook.plans.ingest import ingest, upsert_days
 from daybook.plans.load import load, load_new_files, loads_of, read_raw
 from daybook.plans.publish import publish
 from daybook.plans.staging import stg_prices
-from daybook.schemas import LOAD_LEDGER
+from daybook.schemas import LOAD_LEDGER, PUBLISH_LEDGER
 from daybook.sources.day_files import read_days
 from daybook.sources.ledger import read_ledger
 from daybook.sources.warehouse import Warehouse
@@ -200,6 +200,18 @@ def test_dry_runs_write_nothing(chain, spark):
     assert chain.load()["rows_after"] == 15
 
 
+def test_a_touched_day_with_the_same_content_is_not_published(loaded, spark):
+    """Its new time makes it worth a look; the digest clears it, once."""
+    day_folder = f"{loaded.root}/data/days/date=2024-03-05"
+    lines = spark.createDataFrame(spark.read.text(day_folder).collect(), "value string").coalesce(1)
+    lines.write.mode("overwrite").text(day_folder)
+    assert loaded.publish()["files_uploaded"] == 0
+    ledger = read_ledger(spark, f"{loaded.root}/published", PUBLISH_LEDGER)
+    assert ledger.count() == 6
+    assert loaded.publish()["files_uploaded"] == 0
+    assert read_ledger(spark, f"{loaded.root}/published", PUBLISH_LEDGER).count() == 6
+
+
 def test_object_changed_at_the_stage_is_published_again(chain, spark):
     chain.ingest(*DOCS), chain.publish()
     spark.createDataFrame([("{}",)], "value string").write.mode("overwrite").text(
