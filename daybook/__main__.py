@@ -91,7 +91,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         as_of = None if args.as_of is None else F.lit(args.as_of)
         nodes = build(house, read_reference(spark, args.reference), as_of).collect()
         for node in nodes:
-            print(f"{node.status:5} {node.kind:5} {node.node}" + (f" ({node.violations})" if node.violations else ""))
+            count = f" ({node.violations})" if node.violations else ""
+            print(f"{node.status:5} {node.kind:5} {node.node}{count}")
         counts = [n.status for n in nodes]
         record = {status: counts.count(status) for status in ("pass", "warn", "error", "skip")}
         failed = record["error"] > 0

@@ -116,7 +116,8 @@ def data_as_of(rows: DataFrame) -> DataFrame:
 
 def to_pandas(rows: DataFrame, max_rows: int = 1_000_000):
     """A report as pandas over Arrow, refused when it is too long for a client."""
-    found = rows.limit(max_rows + 1).count()
-    if found > max_rows:
+    frame = rows.select(*[F.col(c).alias(c.lower()) for c in rows.columns])
+    fetched = frame.limit(max_rows + 1).toPandas()
+    if len(fetched) > max_rows:
         raise ValueError(f"more than {max_rows} rows; filter the report before fetching it")
-    return rows.select(*[F.col(c).alias(c.lower()) for c in rows.columns]).toPandas()
+    return fetched

@@ -110,7 +110,8 @@ def quality_fact_matches(spark, sf):
     "freshness_weekdays",
     text(
         """SELECT newest AS newest_trade_date, DATE '2001-11-09' AS as_of, newest + n AS missed_day
-           FROM (SELECT max(trade_date) AS newest FROM bars), (SELECT CAST(range AS INTEGER) AS n FROM range(1, 61))
+           FROM (SELECT max(trade_date) AS newest FROM bars),
+                (SELECT CAST(range AS INTEGER) AS n FROM range(1, 61))
            WHERE newest + n <= DATE '2001-11-09' AND isodow(newest + n) BETWEEN 1 AND 5""",
         "newest_trade_date", "as_of", "missed_day", ctes=BARS,
     ),
@@ -121,7 +122,8 @@ def freshness_weekdays(spark, sf):
 
 @query(
     "quality_not_empty",
-    f"WITH {BARS} SELECT * FROM (SELECT count(*) AS row_count FROM bars WHERE volume < 0) WHERE row_count = 0",
+    f"""WITH {BARS} SELECT * FROM (SELECT count(*) AS row_count FROM bars WHERE volume < 0)
+        WHERE row_count = 0""",
 )
 def quality_not_empty(spark, sf):
     """No given bar has a negative volume, so this selection is an empty table."""
@@ -131,11 +133,12 @@ def quality_not_empty(spark, sf):
 @query(
     "freshness_source",
     text(
-        """SELECT max(loaded_at) AS newest_load,
-                  CAST(epoch(TIMESTAMP '2001-12-10 12:00:00') - epoch(max(loaded_at)) AS BIGINT) AS age_seconds,
-                  CASE WHEN epoch(TIMESTAMP '2001-12-10 12:00:00') - epoch(max(loaded_at)) > 864000 THEN 'error'
-                       WHEN epoch(TIMESTAMP '2001-12-10 12:00:00') - epoch(max(loaded_at)) > 518400 THEN 'warn'
-                       ELSE 'pass' END AS status FROM loads""",
+        """SELECT newest_load, age_seconds,
+                  CASE WHEN age_seconds > 864000 THEN 'error' WHEN age_seconds > 518400 THEN 'warn'
+                       ELSE 'pass' END AS status
+           FROM (SELECT max(loaded_at) AS newest_load,
+                        CAST(epoch(TIMESTAMP '2001-12-10 12:00:00') - epoch(max(loaded_at)) AS BIGINT)
+                            AS age_seconds FROM loads)""",
         "newest_load", ctes=LOADS,
     ),
 )
@@ -163,8 +166,11 @@ def _counts_sql() -> str:
     }
 
     def unique(table, column):
-        inner = f"SELECT {column} FROM {relation[table]} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1"
-        return row(f"unique_{table}_{column}", "error", f"SELECT count(*) FROM ({inner})")
+        repeated = (
+            f"SELECT {column} FROM {relation[table]} WHERE {column} IS NOT NULL "
+            f"GROUP BY {column} HAVING count(*) > 1"
+        )
+        return row(f"unique_{table}_{column}", "error", f"SELECT count(*) FROM ({repeated})")
 
     def not_null(table, column, severity="error", sql=None):
         count = sql or f"SELECT count(*) FROM {relation[table]} WHERE {column} IS NULL"
@@ -187,9 +193,17 @@ def _counts_sql() -> str:
             unique("stg_prices", "price_key"),
             *[not_null("stg_prices", c) for c in ("price_key", "ticker", "trade_date", "loaded_at")],
             not_null("stg_prices", "close", "warn"),
-            row("prices_internally_consistent", "warn", f"SELECT count(*) FROM faulty WHERE {CONTRADICTION}"),
+            row(
+                "prices_internally_consistent",
+                "warn",
+                f"SELECT count(*) FROM faulty WHERE {CONTRADICTION}",
+            ),
             row("prices_are_current", "error", weekdays, 5, 3),
-            row("warehouse_not_empty", "error", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM faulty"),
+            row(
+                "warehouse_not_empty",
+                "error",
+                "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM faulty",
+            ),
             unique("dim_tickers", "ticker"),
             not_null("dim_tickers", "ticker"),
             *[not_null("dim_tickers", c, "warn") for c in ("company_name", "sector", "first_trade_date")],
@@ -203,7 +217,8 @@ def _counts_sql() -> str:
             row(
                 "fact_matches_staging",
                 "error",
-                "SELECT count(*) FROM (SELECT 1 WHERE (SELECT count(*) FROM faulty) <> (SELECT count(*) FROM fct))",
+                "SELECT CASE WHEN (SELECT count(*) FROM faulty) <> (SELECT count(*) FROM fct) "
+                "THEN 1 ELSE 0 END",
             ),
         ]
     )

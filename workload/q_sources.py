@@ -10,13 +10,15 @@ from daybook.plans.ingest import BACKFILL_DAYS, in_window
 from daybook.plans.load import files_to_load
 from daybook.plans.manifests import failed_tickers, ingest_manifest, ticker_outcomes
 from daybook.plans.publish import publish_plan
+from daybook.plans.staging import keyed_bars, typed_bars
+from daybook.schemas import BAR_NUMBERS
 from daybook.scratch import scratch_path, settle
 from daybook.sources.day_files import json_line, json_number, json_text
 from daybook.sources.lines import as_payload, digest_text, line_digest, number_lines, scan_lines
 from daybook.sources.reference import missing_from, read_reference, universe_override
 from daybook.sources.responses import bars_to_rows, envelope_bars
 from workload import inputs, oracle
-from workload.oracle import BARS, REFERENCE, STAGED, text
+from workload.oracle import BARS, REFERENCE, text
 from workload.registry import query
 
 
@@ -38,8 +40,10 @@ def responses(bars):
     """One response per ticker and month, at most 31 bars each. April's are errors,
     July's lack results, odd months are delayed."""
     month = F.month("month")
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("trade_date", bar_json().alias("json")))), lambda b: b["json"])
-    grouped = bars.groupBy("ticker", F.trunc("trade_date", "month").alias("month")).agg(listed.alias("bars"))
+    dated = F.array_sort(F.collect_list(F.struct("trade_date", bar_json().alias("json"))))
+    listed = F.transform(dated, lambda b: b["json"])
+    by_month = F.trunc("trade_date", "month").alias("month")
+    grouped = bars.groupBy("ticker", by_month).agg(listed.alias("bars"))
     state = F.when(month == 4, "ERROR").when(month % 2 == 1, "DELAYED").otherwise("OK")
     results = F.when(month == 7, F.lit("")).otherwise(
         F.concat(F.lit(', "results": ['), F.array_join("bars", ", "), F.lit("]"))
@@ -58,8 +62,10 @@ USABLE = "SELECT * FROM bars WHERE month(trade_date) NOT IN (4, 7)"
 @query(
     "api_envelope_explode",
     text(
-        f"""SELECT ticker, CAST(row_number() OVER (PARTITION BY ticker, date_trunc('month', trade_date)
-                ORDER BY trade_date) - 1 AS INTEGER) AS position, trade_date, close, transaction_count AS transactions
+        f"""SELECT ticker,
+                   CAST(row_number() OVER (PARTITION BY ticker, date_trunc('month', trade_date)
+                                           ORDER BY trade_date) - 1 AS INTEGER) AS position,
+                   trade_date, close, transaction_count AS transactions
             FROM ({USABLE})""",
         "trade_date", ctes=BARS,
     ),
@@ -334,9 +340,6 @@ def upsert_merge(spark, sf):
     ),
 )
 def same_bar_query(spark, sf):
-    from daybook.plans.staging import keyed_bars, typed_bars
-    from daybook.schemas import BAR_NUMBERS
-
     rows = keyed_bars(typed_bars(inputs.raw_table(spark, sf)))
     bar = F.struct(*BAR_NUMBERS)
     first = F.col("loaded_at") == fb.utc_literal(inputs.FIRST_LOAD)

@@ -8,7 +8,7 @@ from daybook.functions import bars as fb
 from daybook.operators import duplicates, measures, revisions
 from daybook.plans.load import loads_of
 from daybook.plans.staging import keyed_bars, stg_prices, typed_bars
-from daybook.schemas import BAR_NUMBERS, STG_PRICES
+from daybook.schemas import STG_PRICES
 from workload import inputs
 from workload.oracle import BAR, BARS, FLAGGED, LOADS, STAGED, text
 from workload.registry import query
@@ -45,7 +45,8 @@ def price_key(spark, sf):
 
 @query(
     "bar_fingerprint",
-    f"WITH {LOADS} SELECT price_key, count(DISTINCT row({BAR})) AS fingerprints FROM loads GROUP BY price_key",
+    f"""WITH {LOADS} SELECT price_key, count(DISTINCT row({BAR})) AS fingerprints
+        FROM loads GROUP BY price_key""",
 )
 def bar_fingerprint(spark, sf):
     """The hash itself is this engine's own, so what it tells apart is compared."""
@@ -68,16 +69,19 @@ def load_latency(spark, sf):
 
 @query(
     "key_revised",
-    f"""WITH {FLAGGED} SELECT price_key, count(*) AS loads, bool_or(key_was_revised) AS key_was_revised
+    f"""WITH {FLAGGED}
+        SELECT price_key, count(*) AS loads, bool_or(key_was_revised) AS key_was_revised
         FROM flagged GROUP BY price_key""",
 )
 def key_revised(spark, sf):
-    return revisions.key_revisions(keyed_bars(typed_bars(inputs.raw_loads(inputs.daily_bars(spark, sf)))))
+    rows = inputs.raw_loads(inputs.daily_bars(spark, sf))
+    return revisions.key_revisions(keyed_bars(typed_bars(rows)))
 
 
 @query(
     "file_revised",
-    f"""WITH {FLAGGED} SELECT source_file, count(*) AS rows, bool_or(file_was_revised) AS file_was_revised
+    f"""WITH {FLAGGED}
+        SELECT source_file, count(*) AS rows, bool_or(file_was_revised) AS file_was_revised
         FROM scoped GROUP BY source_file""",
 )
 def file_revised(spark, sf):
