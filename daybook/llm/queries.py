@@ -4,13 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm import toxicity
+from daybook.llm.decontamination import judged
+from daybook.llm.fingerprints import compare_with_next
+from daybook.llm.language_id import held_out, identify, learn_profiles
+from daybook.llm.licenses import scan_licenses
+from daybook.llm.mixing import mixture
+from daybook.llm.simhash import near_duplicates
 from daybook.llm.substring_dedup import repeated_passages
+from daybook.llm.token_counts import recount, with_trees
+from daybook.llm.token_files import packed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Vocabulary files; every machine has them under the same path.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -52,3 +66,110 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS
        END, 'string_agg', ' '), '')) AS kept_sha256
 FROM tokens LEFT JOIN lost USING (doc_id)
 """
+
+
+@query
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of four-word shingles, linked at four differing bits."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed at weights 1, 2, 3, repeating, and three epochs at most."""
+    mixed = mixture(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op9_mix_sources"] = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS place
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighted AS (
+    SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap
+    FROM sources
+), levels AS (
+    SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))::DOUBLE
+              / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+    FROM weighted
+    WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), goals AS (
+    SELECT source, source_size, least(cap::DOUBLE, max(level) OVER () * weight) AS target FROM levels
+), rests AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM goals
+), ordered AS (
+    SELECT s.doc_id, s.size, g.source_size, g.target, g.whole,
+           round(g.target - g.whole * g.source_size) AS rest,
+           coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.size
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+    FROM sized s JOIN rests g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target,
+       (whole * size + least(greatest(rest - below, 0), size))::BIGINT AS taken
+FROM ordered
+"""
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("templates")
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by profiles learned from those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, learn_profiles(docs))
+    return found.withColumn("held_out", held_out(F.col("doc_id")))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a lexicon learned from labels not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return found.withColumn("held_out", held_out(F.col("doc_id")))
+
+
+@query
+def op8_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase fingerprints of all documents, their edited texts and their neighbours."""
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as ids, written to grammar-compressed files and read back."""
+    read = packed(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, and after three edits drawn from each text.
+
+    The edits replace ten characters in the middle by the first twelve, drop the
+    first five, and add the source's name at the end.
+    """
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    length = F.char_length(text).cast("long")
+    change = "struct<start:bigint,removed:bigint,inserted:string>"
+    edits = [
+        F.struct(F.floor(length / 2), F.lit(10), F.substring(text, 1, 12)),
+        F.struct(F.lit(0), F.lit(5), F.lit("")),
+        F.struct(length + 100, F.lit(0), F.concat(F.lit(" "), F.coalesce("source", F.lit("")))),
+    ]
+    rows = docs.select("doc_id", "text", F.array(*[e.cast(change) for e in edits]).alias("edits"))
+    counted = recount(with_trees(rows, BYTE_VOCABULARY), BYTE_VOCABULARY)
+    return counted.drop("edited", "edited_tree")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold items of the benchmark, values changed or not."""
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
