@@ -335,5 +335,5 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_of"), F.col("text_hash").alias("_hash")
     )
     found = settle(found.distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (F.xxhash64("text") == F.col("_hash"))
+    same = docs["doc_id"].eqNullSafe(found["_of"]) & (F.xxhash64(docs["text"]) == found["_hash"])
     return docs.join(found, same, "left_anti")

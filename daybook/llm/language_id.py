@@ -80,12 +80,7 @@ def identify(
     are the only thing that every task receives.
     """
     ready(docs.sparkSession)
-    known = [tuple(r) for r in profiles.collect()]
-    langs = sorted({lang for lang, _, _ in known})
-    grams = np.array(sorted({gram for _, gram, _ in known}), np.int64)
-    ranks = np.full((len(langs), len(grams)), -1, np.int64)
-    for lang, gram, rank in known:
-        ranks[langs.index(lang), np.searchsorted(grams, gram)] = rank
+    langs, grams, ranks = _ranks(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,6 +95,39 @@ def identify(
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, margin double")
 
 
+def keep_recognised(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
+    """The rows of ``docs`` whose text some language's profile recognises.
+
+    Rejected are null texts, texts without a letter, and texts none of whose frequent
+    n-grams is near its place in any profile (score 0). Where nothing was learned, only
+    texts without a letter are. All columns stay as they are.
+    """
+    ready(docs.sparkSession)
+    langs, grams, ranks = _ranks(profiles)
+
+    def known(text: str | None) -> bool:
+        if not langs:
+            return bool(len(_gram_counts(text or "")[0]))
+        return _nearest(text, langs, grams, ranks, size)[1] > 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([known(x.as_py()) for x in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _ranks(profiles: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, their n-grams, and each one's rank in each language or -1."""
+    known = [tuple(r) for r in profiles.collect()]
+    langs = sorted({lang for lang, _, _ in known})
+    grams = np.array(sorted({gram for _, gram, _ in known}), np.int64)
+    ranks = np.full((len(langs), len(grams)), -1, np.int64)
+    for lang, gram, rank in known:
+        ranks[langs.index(lang), np.searchsorted(grams, gram)] = rank
+    return langs, grams, ranks
+
+
 @cache
 def _letters() -> np.ndarray:
     """Which code points are letters."""

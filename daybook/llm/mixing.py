@@ -82,46 +82,44 @@ def mixed_documents(
     """The documents of a mixture, with the columns of ``docs``, copies as rows of their own.
 
     A part of a document keeps its first words, joined by one space; ``n_chars``
-    follows where there is such a column. Rows that the mixture does not take go.
+    follows where there is such a column. Rows that the mixture does not take go, and
+    so do rows without words, of which there is nothing to take.
     """
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     place = _place(F.col("doc_id"), seed)
-    rows = docs.withColumns({"_size": size, "_place": place}).withColumn("_bin", _bin(F.col("_place")))
-    sized = settle(
-        rows.select("doc_id", "source", *[F.col(f"_{c}").alias(c) for c in ("size", "place", "bin")]),
-        "sized",
-    )
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"), "source", size.alias("size"), place.alias("place")
+    ).withColumn("bin", _bin(F.col("place")))
+    ids = rows.select("source", "size", "place", "bin")
+    sized = settle(ids, "sized")
     sources = _sources(sized, weights, epochs)
-    edge = _edge(sized, sources).groupBy("source", "place", "size").agg(F.max("extra").alias("_extra"))
-    fixed = [F.col(c).alias(f"_{c}") for c in ("whole", "rest", "edge")]
-    rows = rows.alias("d").join(
-        sources.select(F.col("source").alias("_source"), *fixed),
-        F.col("d.source").eqNullSafe(F.col("_source")),
-        "left",
-    )
-    edge = edge.select(
-        F.col("source").alias("_e"), F.col("place").alias("_p"), F.col("size").alias("_s"), "_extra"
-    )
-    same = F.col("d.source").eqNullSafe(F.col("_e")) & (F.col("_p") == F.col("_place"))
-    rows = rows.join(edge, same & (F.col("_s") == F.col("_size")), "left")
-    extra = _extra("_size", "_bin", "_edge", F.coalesce("_extra", F.lit(0)))
-    rows = rows.withColumn("_more", extra)
-    copies = F.col("_whole") + F.when((F.col("_more") == F.col("_size")) & (F.col("_size") > 0), 1).otherwise(0)
-    part = F.when(F.col("_more") < F.col("_size"), F.col("_more")).otherwise(0)
-    times = F.concat(
-        F.array_repeat(F.lit(-1).cast("long"), copies.cast("int")),
-        F.when(part > 0, F.array(part.cast("long"))).otherwise(F.array().cast("array<bigint>")),
+    of = sources.select(F.col("source").alias("of"), "whole", "edge")
+    at_edge = _edge(sized, sources).groupBy("source", "place", "size").agg(F.max("extra").alias("at_edge"))
+    at_edge = at_edge.select(
+        F.col("source").alias("e_source"), F.col("place").alias("e_place"), F.col("size").alias("e_size"), "at_edge"
     )
-    rows = rows.withColumn("_part", F.explode(times))
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    text = F.when(F.col("_part") < 0, F.col("text")).otherwise(
-        F.array_join(F.slice(words, 1, F.greatest(F.col("_part"), F.lit(0)).cast("int")), " ")
-    )
-    rows = rows.withColumn("text", text)
+    same = F.col("source").eqNullSafe(F.col("e_source")) & (F.col("place") == F.col("e_place"))
+    rows = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "left")
+    rows = rows.join(at_edge, same & (F.col("size") == F.col("e_size")), "left")
+    more = _extra("size", "bin", "edge", F.coalesce("at_edge", F.lit(0)))
+    full = (more == F.col("size")) & (F.col("size") > 0)
+    copies = (F.col("whole") + F.when(full, 1).otherwise(0)).cast("int")
+    # A row for each copy, marked -1, and one with the number of words of a part.
+    part = F.when(~full & (more > 0), F.array(more.cast("int"))).otherwise(F.array().cast("array<int>"))
+    copies = F.when(F.col("size") > 0, copies).otherwise(0)
+    rows = rows.select("doc", F.explode(F.concat(F.array_repeat(F.lit(-1), copies), part)).alias("part"))
+    whole = F.col("part") < 0
+    words = F.filter(F.split("doc.text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.array_join(F.slice(words, 1, F.greatest(F.col("part"), F.lit(0))), " ")
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("_part") < 0, F.col("n_chars")).otherwise(changed))
-    return rows.select(*docs.columns)
+        changed["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+    return rows.select(
+        *[
+            (F.when(whole, F.col(f"doc.`{c}`")).otherwise(changed[c]) if c in changed else F.col(f"doc.`{c}`")).alias(c)
+            for c in docs.columns
+        ]
+    )
 
 
 def _place(doc_id: Column, seed: str) -> Column:
