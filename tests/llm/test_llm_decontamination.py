@@ -1,0 +1,94 @@
+"""Decontamination: planted items, changed values, and given documents against plain matching."""
+
+from __future__ import annotations
+
+import pytest
+from llm_tables import documents, odd_rows, prose
+
+from daybook.llm import decontamination
+from daybook.llm.decontamination import decontaminated, judged
+from daybook.llm.queries import QUERIES
+
+ITEM = (
+    "A train leaves the old station at 60 km per hour and reaches the next town after 3 hours, "
+    "how far did the train of Anna Smith travel in those 3 hours"
+)
+
+
+def items(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def verdicts(spark, texts, benchmark):
+    docs = documents(spark, list(enumerate(texts)))
+    got = judged(docs, items(spark, benchmark)).collect()
+    return {r.doc_id: r for r in got}
+
+
+def test_reparameterised_items_are_found(spark):
+    other = ITEM.replace("60", "85").replace("3", "7").replace("Anna Smith", "Bob")
+    texts = [
+        f"{prose(1)} {ITEM} {prose(2)}",
+        f"{prose(1)}\n{other.upper()}\n{prose(2)}",
+        f"{prose(1)} {other} {prose(2)}",
+        f"{prose(1)} {ITEM.replace('after 3', 'after 4')} {prose(2)}",
+        prose(3),
+        ITEM[: len(ITEM) // 4],
+        None,
+        "",
+    ]
+    got = verdicts(spark, texts, [(5, ITEM), (6, prose(50, 30)), (7, None), (8, "")])
+    assert [got[k].items for k in (0, 2)] == [[5], [5]]
+    assert not got[0].changed and got[2].changed
+    # 3 hours in one place and 4 in another are not the same question.
+    assert got[3].contaminated is False
+    assert [got[k].contaminated for k in (4, 5, 6, 7)] == [False] * 4
+    assert got[0].share == 1.0
+
+
+def test_short_items_and_partial_passages(spark):
+    short, long = "what is the capital here", prose(9, 60)
+    parts = long.split()
+    texts = [f"xx {short} yy", " ".join(parts[10:24]), " ".join(parts[10:20]), "what is the capital"]
+    got = verdicts(spark, texts, [(1, short), (2, long)])
+    assert [got[k].items for k in range(4)] == [[1], [2], [], []]
+
+
+def test_windows_of_placeholders_alone_do_not_match(spark):
+    numbers = " ".join(str(k) for k in range(40))
+    got = verdicts(spark, [numbers, f"{prose(1)} {numbers}"], [(1, " ".join(str(k + 7) for k in range(40)))])
+    assert not any(r.contaminated for r in got.values())
+
+
+@pytest.mark.parametrize("block", [1 << 20, 500])
+def test_given_documents_equal_plain_matching(spark, sf, block, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_WINDOWS", block)
+    got = {r.doc_id: r.items for r in QUERIES["op3_decontaminate"](spark, sf).collect()}
+    texts = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    plain = {r.doc_id: sorted(i.item_id for i in texts if i.text in r.text) for r in docs}
+    assert any(plain.values())
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in plain.items() if v}
+
+
+def test_odd_rows(spark):
+    rows = odd_rows()
+    docs = documents(spark, rows, clashes=True)
+    bench = items(spark, [(1, " ".join(f"w{k}" for k in range(10, 30))), (None, "x y z"), (2, "one two three four five")])
+    got = judged(docs, bench).collect()
+    assert len(got) == len(rows)
+    flagged = sorted((r.doc_id for r in got if r.contaminated), key=str)
+    assert flagged == sorted([1, 2, 2, -5, None], key=str)
+    clean = decontaminated(docs, bench)
+    assert clean.columns == docs.columns
+    assert sorted((r.doc_id for r in clean.collect()), key=str) == sorted(
+        (r[0] for r in rows if "w12 w13" not in (r[1] or "")), key=str
+    )
+
+
+def test_empty_tables(spark):
+    none, some = documents(spark, []), documents(spark, [(1, ITEM)])
+    assert judged(none, items(spark, [(1, ITEM)])).collect() == []
+    assert [r.contaminated for r in judged(some, items(spark, [])).collect()] == [False]
+    assert decontaminated(some, items(spark, [])).count() == 1

@@ -1,0 +1,94 @@
+"""Source mixing against a step-by-step water-filling."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import pytest
+from llm_tables import documents, odd_rows, prose
+
+from daybook.llm.mixing import mixed_documents, mixture
+
+
+def words(text):
+    return len((text or "").encode().split())
+
+
+def water_filling(sizes):
+    """Targets by clamping sources and sharing their excess until none is above its cap."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weights = {s: (1, 2, 3)[k % 3] for k, s in enumerate(order)}
+    clamped, total = {}, sum(sizes.values())
+    while True:
+        rest = total - sum(clamped.values())
+        weight = sum(w for s, w in weights.items() if s not in clamped)
+        goals = {s: rest * w / weight for s, w in weights.items() if s not in clamped}
+        over = [s for s, goal in goals.items() if goal > 3 * sizes[s]]
+        if not over:
+            return {**clamped, **goals}
+        clamped.update({s: 3 * sizes[s] for s in over})
+
+
+def check(docs):
+    rows = docs.collect()
+    got = mixture(docs).collect()
+    assert len(got) == len(rows)
+    sizes = Counter()
+    for r in rows:
+        sizes[r.source] += words(r.text)
+    targets = water_filling(sizes)
+    taken = Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source]
+        assert math.isclose(r.target, targets[r.source], rel_tol=1e-9)
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size + r.part
+        taken[r.source] += r.taken
+    for source, goal in targets.items():
+        assert abs(taken[source] - goal) <= 0.5 + 1e-6
+    again = sorted(mixture(docs.repartition(3)).collect(), key=str)
+    assert again == sorted(got, key=str)
+    return got
+
+
+def test_given_documents(spark, sf):
+    check(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+def test_hot_source_and_tiny_sources(spark):
+    rows = [(k, prose(k, 5 + k % 40), "en", "hot") for k in range(150)]
+    rows += [(1000 + k, prose(k, 3), "en", f"s{k}") for k in range(7)]
+    got = check(documents(spark, rows))
+    assert any(r.taken == 3 * r.size for r in got)
+
+
+def test_odd_rows(spark):
+    check(documents(spark, odd_rows(), clashes=True))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None), (2, "")]])
+def test_nothing_to_mix(spark, rows):
+    got = mixture(documents(spark, rows)).collect()
+    assert [r.taken for r in got] == [0] * len(rows)
+    assert mixed_documents(documents(spark, rows)).count() == 0
+
+
+def test_mixed_documents_hold_what_is_taken(spark):
+    rows = [(k, prose(k, 5 + k % 40), "en", f"s{k % 4}") for k in range(120)]
+    rows += [(500, "a b  c", None, None), (501, None, "en", "s1"), (502, "", "en", "s1")]
+    docs = documents(spark, rows, clashes=True)
+    plan = {r.doc_id: r for r in mixture(docs).collect()}
+    mixed = mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    texts = {r[0]: r[1] for r in rows}
+    seen = {}
+    for r in mixed.collect():
+        seen.setdefault(r.doc_id, []).append(r)
+        assert r["size"] == "own size" and r["_size"] == "own _size"
+    for doc_id, r in plan.items():
+        own = seen.get(doc_id, [])
+        whole = [m for m in own if m.text == texts[doc_id]]
+        parts = [m for m in own if m.text != texts[doc_id]]
+        assert len(whole) == r.copies and len(parts) == (r.part > 0)
+        for m in parts:
+            assert m.text.split() == texts[doc_id].split()[: r.part] and m.n_chars == len(m.text)

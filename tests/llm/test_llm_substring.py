@@ -1,0 +1,92 @@
+"""Substring dedup against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from llm_tables import documents, odd_rows
+
+from daybook.llm import substring_dedup
+from daybook.llm.substring_dedup import repeated_passages
+from daybook.llm.words import ranges, window_hashes, word_bounds, word_hashes
+
+
+def split(text):
+    return (text or "").encode().split()
+
+
+def brute_force(rows, window=13):
+    """Kept words of every row, in order."""
+    smallest = {}
+    for doc_id, text, *_ in rows:
+        words, rank = split(text), float("inf") if doc_id is None else doc_id
+        for k in range(len(words) - window + 1):
+            key = tuple(words[k : k + window])
+            smallest[key] = min(rank, smallest.get(key, rank))
+    out = []
+    for doc_id, text, *_ in rows:
+        words, rank = split(text), float("inf") if doc_id is None else doc_id
+        gone = set()
+        for k in range(len(words) - window + 1):
+            if smallest[tuple(words[k : k + window])] < rank:
+                gone.update(range(k, k + window))
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone).decode()
+        out.append((doc_id, len(words), len(gone), kept))
+    return out
+
+
+def found(spark, rows, clashes=False, **options):
+    result = repeated_passages(documents(spark, rows, clashes), **options).collect()
+    return [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in result], result
+
+
+def by_text(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_texts_equal_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "PACK_BYTES", 400)
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 300)
+    rng = random.Random(seed)
+    passages = [[rng.choice("abcd") + str(rng.randrange(3)) for _ in range(rng.randrange(5, 40))] for _ in range(6)]
+    rows = []
+    for doc in range(60):
+        words = []
+        for _ in range(rng.randrange(6)):
+            words += rng.choice(passages) if rng.random() < 0.6 else [f"own{doc}"] * rng.randrange(1, 9)
+        rows.append((rng.randrange(50), " ".join(words)))
+    assert by_text(found(spark, rows)[0]) == by_text(brute_force(rows))
+    assert by_text(found(spark, rows, window=6)[0]) == by_text(brute_force(rows, 6))
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    rows = [r for r in odd_rows()]
+    got, raw = found(spark, rows, clashes=True)
+    assert by_text(got) == by_text(brute_force(rows))
+    second = next(r for r in raw if r.doc_id == 2)
+    assert [tuple(s) for s in second.spans] == [(1, 41)]
+    assert hashlib.sha256(second.kept.encode()).hexdigest() == hashlib.sha256(b"start end").hexdigest()
+
+
+def test_empty_table(spark):
+    assert found(spark, [])[0] == []
+
+
+def test_word_hashes_do_not_depend_on_place():
+    data = np.frombuffer(b"abc  de abc\n" + "é".encode() + b" abc", np.uint8)
+    starts, ends, bounds = word_bounds(data, np.array([0, 6, len(data)]))
+    words = [data[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+    assert words == [b"abc", b"d", b"e", b"abc", "é".encode(), b"abc"]
+    hashes = word_hashes(data, starts, ends)
+    assert hashes[0] == hashes[3] == hashes[5] and len(set(hashes.tolist())) == 4
+    assert bounds.tolist() == [0, 2, 6]
+    assert len(window_hashes(hashes, 7)) == 0
+
+
+def test_ranges():
+    a, b = ranges(np.array([0, 1, 5, 9]), np.array([2, 3, 6, 12]))
+    assert (a.tolist(), b.tolist()) == ([0, 5, 9], [3, 6, 12])
