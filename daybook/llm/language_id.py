@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.words import ready
+from daybook.scratch import settle
 
 # N-grams of a profile, and labelled rows of a language that profiles learn from.
 PROFILE = 400
@@ -48,15 +49,17 @@ def learn_profiles(
     the id, or from all if there are fewer. Rows without id, text or language do not
     teach. Equal counts rank by the n-gram's code.
     """
-    spark = ready(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     rows = rows.filter(~held_out(F.col("doc_id")))
     counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
     share = F.lit(float(rows_per_language << 20)) / F.col("rows")
+    # Written, so that Spark knows how small it is and does not shuffle texts by language.
+    shares = settle(counts.select("lang", share.alias("share")), "shares")
     keep = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share")
-    chosen = rows.join(counts.select("lang", share.alias("share")), "lang").filter(keep)
+    chosen = rows.join(shares, "lang").filter(keep)
     grams = chosen.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long")
     totals = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
