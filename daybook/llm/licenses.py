@@ -164,8 +164,7 @@ def _matches(scanned: DataFrame, likely: DataFrame, templates: tuple) -> DataFra
     sizes = spark.createDataFrame(key_words, "template int, n_key int, n_notice int")
 
     seen = scanned.select(F.explode("present").alias("word")).groupBy("word").agg(F.count("*").alias("files"))
-    total = scanned.agg(F.count("*").alias("n"))
-    rarity = seen.join(total).select("word", F.log((F.col("n") + 1) / (F.col("files") + 1)).alias("idf"))
+    rarity = seen.select("word", F.log(F.lit(scanned.count() + 1) / (F.col("files") + 1)).alias("idf"))
 
     vocabulary = sorted({word for _, _, _, word, _ in postings})
     spots = likely.select("row", F.posexplode("words").alias("pos", "word")).filter(F.col("word").isin(vocabulary))
