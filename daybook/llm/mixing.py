@@ -177,7 +177,9 @@ def _dealt(sized: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "taken": (F.col("whole") * F.col("size") + F.col("extra")).cast("long"),
-            "copies": (F.col("whole") + F.when(full, 1).otherwise(0)).cast("long"),
+            "copies": F.when(F.col("size") > 0, F.col("whole") + F.when(full, 1).otherwise(0))
+            .otherwise(0)
+            .cast("long"),
             "part": F.when(full, F.lit(0)).otherwise(F.col("extra")).cast("long"),
         }
     )

@@ -28,7 +28,7 @@ def verdicts(spark, texts, benchmark):
 def test_reparameterised_items_are_found(spark):
     other = ITEM.replace("60", "85").replace("3", "7").replace("Anna Smith", "Bob")
     texts = [
-        f"{prose(1)} {ITEM} {prose(2)}",
+        f"{prose(1)}. {ITEM} {prose(2)}",
         f"{prose(1)}\n{other.upper()}\n{prose(2)}",
         f"{prose(1)} {other} {prose(2)}",
         f"{prose(1)} {ITEM.replace('after 3', 'after 4')} {prose(2)}",
