@@ -1,7 +1,8 @@
 """Command line: ``python -m daybook ingest|publish|load|build|freshness``.
 
-Exit codes say whether a run did its work: 1 when a ticker failed, when a file
-was loaded twice unchanged, or when a check ended in an error.
+Exit codes say whether a run did its work: 1 when a ticker failed, when an object
+could not be published, when a file was loaded twice unchanged, or when a check ended
+in an error.
 """
 
 from __future__ import annotations
@@ -26,6 +27,17 @@ from daybook.sources.reference import read_reference, read_universe, universe_ov
 from daybook.sources.warehouse import Warehouse
 
 
+# Days back by mode.
+WINDOWS = {"daily": DAILY_DAYS, "backfill": BACKFILL_DAYS}
+
+
+def _positive(text: str) -> int:
+    number = int(text)
+    if number < 1:
+        raise argparse.ArgumentTypeError(f"{text} is not a number of days")
+    return number
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="daybook", description=__doc__.split("\n")[0])
     top.add_argument("--home", required=True, help="directory of data, stage, raw table and ledgers")
@@ -35,8 +47,11 @@ def parser() -> argparse.ArgumentParser:
     fetch.add_argument("--responses", required=True, help="text with one response per line")
     fetch.add_argument("--universe", help="file of symbols, one per line")
     fetch.add_argument("--tickers", help="comma list of symbols instead of the file")
-    fetch.add_argument("--backfill", action="store_true", help=f"{BACKFILL_DAYS} days back")
-    fetch.add_argument("--days", type=int, help=f"days back, {DAILY_DAYS} unless given")
+    fetch.add_argument(
+        "--backfill", dest="mode", action="store_const", const="backfill", default="daily",
+        help=f"{WINDOWS['backfill']} days back instead of {WINDOWS['daily']}",
+    )
+    fetch.add_argument("--days", type=_positive, help="days back, whatever the mode")
     fetch.add_argument("--as-of", type=datetime.date.fromisoformat, help="last day of the window")
 
     for name, does in (("publish", "copy changed days to the stage"), ("load", "append new files to raw")):
@@ -67,11 +82,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None, microsecond=0)
     raw, loaded = f"{home}/raw", f"{home}/ledgers/loaded"
     if args.step == "ingest":
-        days = args.days or (BACKFILL_DAYS if args.backfill else DAILY_DAYS)
-        mode = "backfill" if args.backfill else "daily"
+        window = WINDOWS[args.mode] if args.days is None else args.days
         record = ingest(
             spark, spark.read.text(args.responses), _universe(spark, args), f"{home}/data", now,
-            days_back=days, mode=mode, as_of=args.as_of,
+            days_back=window, mode=args.mode, as_of=args.as_of,
         )
         failed = record["tickers_failed"] > 0
     elif args.step == "publish":
@@ -79,7 +93,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             spark, f"{home}/data/days", f"{home}/stage", f"{home}/ledgers/published", now,
             dry_run=args.dry_run, manifests=f"{home}/data/_runs",
         )
-        failed = False
+        failed = record["files_failed"] > 0
     elif args.step == "load":
         record = load(
             spark, f"{home}/stage/{PREFIX}", raw, loaded, now, dry_run=args.dry_run,
@@ -106,9 +120,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 def main() -> None:
     args = parser().parse_args()
     spark = build_session()
-    code = run(spark, args)
-    forget_settled(spark)
-    spark.stop()
+    try:
+        code = run(spark, args)
+    finally:
+        forget_settled(spark)
+        spark.stop()
     sys.exit(code)
 
 

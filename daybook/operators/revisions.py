@@ -84,20 +84,22 @@ def newest_loads(keyed: DataFrame) -> DataFrame:
 def keep_loads(keyed: DataFrame) -> DataFrame:
     """All loads of unrevised files, and newest loads that lie in revised files.
 
-    A key present in two files competes across both, so its newest load may lie
-    in an unrevised file, where it is kept anyway. On the usual day nothing was
-    revised and the rows pass through untouched; otherwise they are written once
-    so that the passes below read only the columns they need.
+    A key present in two files competes across both, so its newest load may lie in an
+    unrevised file, where it is kept anyway. Where nothing was ever revised the rows
+    pass through untouched. Otherwise keys, fingerprints and lineage are written once,
+    the loads that lose are found among them, and the rows pass through an anti join
+    with these few; no full-width table is written.
     """
     suspects = settle(suspected_keys(keyed), "suspected-keys")
     if suspects.isEmpty():
         return keyed
-    keyed = settle(keyed, "keyed")
-    keys = settle(revised_keys(keyed, suspects), "revised-keys")
-    files = settle(revised_files(keyed, keys), "revised-files")
-    untouched = keyed.join(files, "source_file", "left_anti")
-    travelled = keyed.join(files, "source_file", "left_semi").select("price_key").distinct()
-    travelled = settle(travelled, "travelled-keys")
-    candidates = null_safe_filter(keyed, travelled, ["price_key"], "left_semi")
-    newest = newest_loads(candidates).join(files, "source_file", "left_semi")
-    return untouched.unionByName(newest.select(*untouched.columns))
+    narrow = settle(keyed.select("price_key", "bar_hash", *NEWEST), "loads")
+    keys = settle(revised_keys(narrow, suspects), "revised-keys")
+    files = settle(revised_files(narrow, keys), "revised-files")
+    judged = settle(narrow.join(files, "source_file", "left_semi"), "judged-loads")
+    travelled = settle(judged.select("price_key").distinct(), "travelled-keys")
+    candidates = null_safe_filter(narrow, travelled, ["price_key"], "left_semi")
+    newest = newest_loads(candidates)
+    losers = null_safe_filter(judged, newest, ["price_key", "bar_hash", *NEWEST], "left_anti")
+    losers = settle(losers.select("price_key", "bar_hash", *NEWEST).distinct(), "losing-loads")
+    return null_safe_filter(keyed, losers, ["price_key", "bar_hash", *NEWEST], "left_anti")

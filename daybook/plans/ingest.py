@@ -8,19 +8,20 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.bars import MARKET_ZONE, utc_ntz
+from daybook.functions.bars import MARKET_ZONE
 from daybook.operators.upsert import merge_counts, merge_days
 from daybook.plans.manifests import (
     append_manifest,
+    finished_at,
     ingest_manifest,
     run_name,
     ticker_outcomes,
     with_reasons,
 )
 from daybook.schemas import LANDED_FIELDS
-from daybook.scratch import settle
+from daybook.scratch import settle, settled_inside
 from daybook.sources.ledger import path_exists
-from daybook.sources.day_files import among_days, read_days, write_days
+from daybook.sources.day_files import among_days, read_day_lines, write_days
 from daybook.sources.responses import (
     bars_to_rows,
     envelope_bars,
@@ -63,7 +64,7 @@ def upsert_days(spark: SparkSession, root: str, rows: DataFrame) -> dict[str, in
     if touched is None:
         return {"dates_touched": 0, "dates_rewritten": 0}
     if path_exists(spark, root):
-        old = read_days(spark, root, touched).join(days, "trade_date", "left_semi")
+        old = read_day_lines(spark, root, touched).join(days, "trade_date", "left_semi")
     else:
         old = rows.select(*LANDED_FIELDS).limit(0)
     # Settled, because the partitions it was read from are about to be replaced.
@@ -89,31 +90,33 @@ def ingest(
 
     ``responses`` has a ``value`` column with one response document per row.
     They are kept before anything is derived, and read back from where they were
-    kept. Returns the manifest with the merge counts.
+    kept. Returns the manifest with the merge counts. An empty universe is an error.
     """
-    run = run_name(started_at)
-    as_of = as_of or market_date(started_at)
-    land_responses(responses, f"{root}/_raw", run)
-    kept = read_landed_envelopes(spark, f"{root}/_raw").filter(F.col("run") == run)
-    stamp = started_at.strftime("%Y-%m-%dT%H:%M:%S+00:00")
-    window = in_window(F.col("trade_date"), F.lit(as_of), days_back)
-    rows = bars_to_rows(envelope_bars(kept), stamp)
-    rows = settle(rows.filter(window | F.col("trade_date").isNull()), "parsed-bars")
-    received = settle(usable_rows(rows, universe), "received")
-    counts = upsert_days(spark, f"{root}/days", received)
-    outcomes = with_reasons(
-        ticker_outcomes(received, universe), envelope_states(kept), undatable_tickers(rows)
-    )
-    manifest = ingest_manifest(received, universe, F.lit(as_of)).select(
-        F.lit(run).alias("run_id"),
-        F.lit(mode).alias("mode"),
-        utc_ntz(F.current_timestamp()).alias("finished_at_utc"),
-        F.date_sub(F.lit(as_of), days_back).alias("requested_from"),
-        F.lit(as_of).alias("requested_to"),
-        "*",
-        *[F.lit(v).alias(k) for k, v in counts.items() if k != "dates_touched"],
-    )
-    append_manifest(outcomes.select(F.lit(run).alias("run_id"), "*"), f"{root}/_runs/tickers")
-    record = manifest.first()
-    append_manifest(spark.createDataFrame([record], manifest.schema), f"{root}/_runs/ingest")
-    return record.asDict()
+    with settled_inside(spark):
+        run = run_name(started_at)
+        as_of = as_of or market_date(started_at)
+        if universe.isEmpty():
+            raise ValueError("the universe is empty: there is nothing to ask for")
+        kept = read_landed_envelopes(spark, land_responses(responses, f"{root}/_raw", run))
+        stamp = started_at.strftime("%Y-%m-%dT%H:%M:%S+00:00")
+        window = in_window(F.col("trade_date"), F.lit(as_of), days_back)
+        rows = bars_to_rows(envelope_bars(kept), stamp)
+        rows = settle(rows.filter(window | F.col("trade_date").isNull()), "parsed-bars")
+        received = settle(usable_rows(rows, universe), "received")
+        counts = upsert_days(spark, f"{root}/days", received)
+        outcomes = with_reasons(
+            ticker_outcomes(received, universe), envelope_states(kept), undatable_tickers(rows)
+        )
+        manifest = ingest_manifest(received, universe, F.lit(as_of)).select(
+            F.lit(run).alias("run_id"),
+            F.lit(mode).alias("mode"),
+            finished_at(),
+            F.date_sub(F.lit(as_of), days_back).alias("requested_from"),
+            F.lit(as_of).alias("requested_to"),
+            "*",
+            *[F.lit(v).alias(k) for k, v in counts.items() if k != "dates_touched"],
+        )
+        append_manifest(outcomes.select(F.lit(run).alias("run_id"), "*"), f"{root}/_runs/tickers")
+        record = manifest.first()
+        append_manifest(spark.createDataFrame([record], manifest.schema), f"{root}/_runs/ingest")
+        return record.asDict()

@@ -15,18 +15,10 @@ from daybook.operators.measures import table_measure
 from daybook.plans.manifests import append_manifest, load_manifest, run_name
 from daybook.plans.staging import typed_bars
 from daybook.schemas import BAR_NUMBERS, LOAD_LEDGER, RAW
-from daybook.scratch import settle
-from daybook.sources.day_files import among_days
+from daybook.scratch import settle, settled_inside
 from daybook.sources.ledger import append_ledger, path_exists, read_ledger, within_history
-from daybook.sources.lines import (
-    as_payload,
-    day_of_object,
-    number_lines,
-    object_digests,
-    scan_lines,
-    split_totals,
-)
-from daybook.sources.listing import list_objects, stage_summary
+from daybook.sources.lines import as_payload, numbered, object_digests, scan_lines
+from daybook.sources.listing import list_files, objects_of, paths_of, stage_summary
 
 # Fixed value: days a load history is kept where that behaviour is asked for.
 EXPIRING_HISTORY_DAYS = 64
@@ -64,46 +56,38 @@ def load_new_files(
     ledger: str,
     now: datetime.datetime,
     history_days: int | None = None,
+    files: DataFrame | None = None,
 ) -> dict[str, int]:
     """Append the lines of new or changed objects; no such objects is a success.
 
-    Objects whose size and modification time the ledger knows are not opened.
-    The others are digested, and only those with new content are parsed. Raw rows
-    carry a load id, and the ledger entries that make them visible come last, so
-    a failed load adds nothing.
+    Everything under the stage is digested by content, at whatever depth it lies, and
+    objects whose path and digest the ledger knows are left out. Only the files of the
+    others are read again, to be written once and numbered from there. Raw rows carry a
+    load id, and the ledger entries that make them visible come last, so a failed load
+    adds nothing. ``files`` is the listing, where the caller has it already.
     """
-    known = settle(within_history(read_ledger(spark, ledger, LOAD_LEDGER), now, history_days), "ledger")
-    listed = list_objects(spark, stage)
-    unseen = settle(
-        listed.join(known, ["source_file", "bytes", "modified_at"], "left_anti"), "unseen"
-    )
-    if unseen.isEmpty():
+    files = settle(list_files(spark, stage), "listed") if files is None else files
+    if files.isEmpty():
         return {"files_processed": 0, "rows_loaded": 0}
-    lines = _lines_of(spark, stage, unseen)
-    totals = split_totals(lines)
-    digested = object_digests(totals).join(unseen, "source_file")
-    fresh = settle(files_to_load(digested, known), "fresh")
-    if fresh.isEmpty():
+    known = settle(within_history(read_ledger(spark, ledger, LOAD_LEDGER), now, history_days), "ledger")
+    fresh = settle(files_to_load(object_digests(scan_lines(spark, stage)), known), "fresh")
+    paths = paths_of(files, fresh)
+    if not paths:
         return {"files_processed": 0, "rows_loaded": 0}
     load_id = uuid.uuid4().hex
-    wanted = lines.join(fresh.select("source_file"), "source_file", "left_semi")
     loaded_at = utc_literal(now).alias("loaded_at")
-    as_payload(number_lines(wanted, totals)).select(
+    lines = settle(scan_lines(spark, stage, paths=paths), "new-lines")
+    as_payload(numbered(lines)).select(
         "payload", "source_file", "file_row_number", loaded_at, F.lit(load_id).alias("load_id")
     ).write.mode("append").partitionBy("load_id").parquet(raw)
-    entries = fresh.select("*", F.lit(load_id).alias("load_id"), loaded_at)
+    # The digests are those of the lines that were loaded, not of an earlier look.
+    entries = object_digests(lines).join(objects_of(files), "source_file")
+    entries = settle(entries.select("*", F.lit(load_id).alias("load_id"), loaded_at), "entries")
     append_ledger(entries, ledger, LOAD_LEDGER)
-    totals = fresh.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
+    totals = entries.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
     return {"files_processed": totals["files"], "rows_loaded": totals["rows"]}
 
 
-def _lines_of(spark: SparkSession, stage: str, objects: DataFrame) -> DataFrame:
-    """Lines of the given objects, read from the partitions of their days only."""
-    days = objects.select(day_of_object(F.col("source_file")).alias("day"))
-    lines = scan_lines(spark, stage, among_days(days, "day"))
-    return lines.join(objects.select("source_file"), "source_file", "left_semi")
-
-
 def load(
     spark: SparkSession,
     stage: str,
@@ -119,18 +103,26 @@ def load(
     Duplicates are classified only when rows and keys differ. The verdict is
     ``STOP`` when a file came in twice unchanged, ``WARN`` on a revision.
     """
-    staged = stage_summary(list_objects(spark, stage))
-    before = read_raw(spark, raw, ledger).count()
-    loaded = {"files_processed": 0, "rows_loaded": 0}
-    if not dry_run:
-        loaded = load_new_files(spark, stage, raw, ledger, now, history_days)
-    after = table_measure(typed_bars(read_raw(spark, raw, ledger)))
-    manifest = load_manifest(before, after, loaded, staged, run_name(now), dry_run)
-    record = manifest.first()
-    if manifests:
-        append_manifest(spark.createDataFrame([record], manifest.schema), f"{manifests}/load")
-    result = record.asDict() | {"verdict": "OK"}
-    if result["rows_after"] != result["distinct_keys_after"]:
-        summary = verdict(classify_duplicates(loads_of(read_raw(spark, raw, ledger))))
-        result |= summary.first().asDict()
-    return result
+    with settled_inside(spark):
+        files = settle(list_files(spark, stage), "listed")
+        staged = stage_summary(objects_of(files))
+        before = _rows_recorded(spark, ledger)
+        loaded = {"files_processed": 0, "rows_loaded": 0}
+        if not dry_run:
+            loaded = load_new_files(spark, stage, raw, ledger, now, history_days, files)
+        after = table_measure(typed_bars(read_raw(spark, raw, ledger)))
+        manifest = load_manifest(before, after, loaded, staged, run_name(now), dry_run)
+        record = manifest.first()
+        if manifests:
+            append_manifest(spark.createDataFrame([record], manifest.schema), f"{manifests}/load")
+        result = record.asDict() | {"verdict": "OK"}
+        if result["rows_after"] != result["distinct_keys_after"]:
+            summary = verdict(classify_duplicates(loads_of(read_raw(spark, raw, ledger))))
+            result |= summary.first().asDict()
+        return result
+
+
+def _rows_recorded(spark: SparkSession, ledger: str) -> int:
+    """Rows of the raw table before a load, from its ledger instead of a scan."""
+    rows = read_ledger(spark, ledger, LOAD_LEDGER).agg(F.sum("row_count").alias("rows"))
+    return rows.first()["rows"] or 0

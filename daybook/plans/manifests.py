@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.bars import utc_ntz
 from daybook.operators.measures import side_by_side
 from daybook.schemas import USABLE_STATES
 
@@ -74,12 +75,19 @@ def ingest_manifest(received: DataFrame, universe: DataFrame, as_of: Column) ->
     )
 
 
-def publish_manifest(plan: DataFrame, run: str, dry_run: bool, failed: int = 0) -> DataFrame:
-    """One row from a publish plan."""
-    sent = F.col("action") == "upload"
+def publish_manifest(
+    plan: DataFrame, run: str, dry_run: bool, failed: list[tuple[str, str]] = ()
+) -> DataFrame:
+    """One row from a publish plan and the (object_key, reason) of what failed."""
+    names = F.array(*[F.lit(key) for key, _ in failed]).cast("array<string>")
+    lost = F.array_contains(names, F.col("object_key"))
+    sent = (F.col("action") == "upload") & ~lost
+    reasons = [F.struct(F.lit(k).alias("object_key"), F.lit(r).alias("reason")) for k, r in failed]
+    failures = F.array(*reasons).cast("array<struct<object_key:string,reason:string>>")
     return plan.agg(
         F.count_if(sent).alias("files_uploaded"),
-        F.count_if(~sent).alias("files_skipped_identical"),
+        F.count_if(F.col("action") == "skip").alias("files_skipped_identical"),
+        F.count_if(lost).alias("files_failed"),
         F.coalesce(F.sum(F.when(sent, F.col("bytes"))), F.lit(0)).alias("bytes_uploaded"),
         F.min(F.when(sent, F.col("object_key"))).alias("oldest_partition_uploaded"),
         F.max(F.when(sent, F.col("object_key"))).alias("newest_partition_uploaded"),
@@ -89,13 +97,20 @@ def publish_manifest(plan: DataFrame, run: str, dry_run: bool, failed: int = 0)
         F.lit(dry_run).alias("dry_run"),
         "files_uploaded",
         "files_skipped_identical",
-        F.lit(failed).alias("files_failed"),
+        "files_failed",
         F.when(F.lit(dry_run), F.lit(0)).otherwise(F.col("bytes_uploaded")).alias("bytes_uploaded"),
         "oldest_partition_uploaded",
         "newest_partition_uploaded",
+        failures.alias("failures"),
+        finished_at(),
     )
 
 
+def finished_at() -> Column:
+    """When the record of a run is written, in UTC."""
+    return utc_ntz(F.current_timestamp()).alias("finished_at_utc")
+
+
 def load_manifest(
     rows_before: int, after: DataFrame, loaded: dict, staged: DataFrame, run: str, dry_run: bool
 ) -> DataFrame:
@@ -118,6 +133,7 @@ def load_manifest(
         F.lit(loaded["rows_loaded"]).alias("rows_loaded_this_run"),
         F.lit(rows_before).alias("rows_before"),
         "*",
+        finished_at(),
     )
 
 

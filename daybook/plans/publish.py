@@ -4,52 +4,40 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.bars import utc_literal
 from daybook.plans.manifests import append_manifest, publish_manifest, run_name
 from daybook.schemas import PUBLISH_LEDGER
-from daybook.scratch import settle
-from daybook.sources.day_files import among_days
-from daybook.sources.ledger import append_ledger, latest_entries, path_exists, read_ledger
-from daybook.sources.lines import day_of_object, object_digests, scan_lines, split_totals
-from daybook.sources.listing import list_objects
+from daybook.scratch import settle, settled_inside
+from daybook.sources.ledger import append_ledger, path_exists, read_ledger
+from daybook.sources.lines import day_of_object, object_digests, scan_lines
+from daybook.sources.listing import list_files, objects_of, paths_of
 
 # Fixed value: where published days live under the stage.
 PREFIX = "raw/prices"
 
 
-def listed_objects(spark: SparkSession, root: str) -> DataFrame:
-    """(object_key, bytes, modified_at) of the day objects under a directory."""
-    return list_objects(spark, root).select(
-        F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "bytes", "modified_at"
-    )
-
+def object_name(source_file: str) -> Column:
+    """An object's key at the stage."""
+    return F.concat(F.lit(f"{PREFIX}/"), source_file).alias("object_key")
 
-def digested_objects(spark: SparkSession, root: str, objects: DataFrame) -> DataFrame:
-    """Adds ``digest`` to listed objects by reading the days they belong to."""
-    where = among_days(objects.select(day_of_object(F.col("object_key")).alias("day")), "day")
-    digests = object_digests(split_totals(scan_lines(spark, root, where))).select(
-        F.concat(F.lit(f"{PREFIX}/"), "source_file").alias("object_key"), "digest"
-    )
-    return objects.join(digests, "object_key")
 
+def digested_objects(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """(object_key, digest) of what lies under a directory, read from its content."""
+    digests = object_digests(scan_lines(spark, root, paths=paths))
+    return digests.select(object_name("source_file"), "digest")
 
-def published_objects(spark: SparkSession, stage: str, ledger: str) -> DataFrame:
-    """Ledger entries of what the stage still holds as it was published.
 
-    Published content is not read again. An object that is gone, or whose size
-    is no longer the published one, is left out and will be published anew.
-    """
-    entries = latest_entries(
-        read_ledger(spark, ledger, PUBLISH_LEDGER), ["object_key"], "published_at"
-    )
+def published_objects(spark: SparkSession, stage: str) -> DataFrame:
+    """(object_key, digest) of what the stage holds now, whoever wrote it."""
     root = f"{stage}/{PREFIX}"
     if not path_exists(spark, root):
-        return entries.limit(0)
-    held = listed_objects(spark, root).select("object_key", "bytes")
-    return entries.join(held, ["object_key", "bytes"], "left_semi")
+        return spark.createDataFrame([], "object_key string, digest string")
+    return digested_objects(spark, root)
 
 
 def publish_plan(local: DataFrame, published: DataFrame) -> DataFrame:
@@ -71,68 +59,79 @@ def publish(
 ) -> dict:
     """Replace the stage's copy of every changed day; returns the manifest.
 
-    Local objects whose size and time the ledger knows are not opened. The ledger is written last. A run that dies in between publishes the same
-    days again, with the same content.
+    Content decides: both sides are digested, each in one pass that adds up line
+    hashes, so a copy that was altered at the stage is found whatever its size and
+    time. Objects that cannot be written are left out, named in the manifest with the
+    reason, and do not keep the others from being published. The ledger is written
+    last. A run that dies in between publishes the same days again.
     """
-    listed = settle(listed_objects(spark, root), "listed")
-    published = settle(published_objects(spark, stage, ledger), "published")
-    known = published.select(
-        "object_key",
-        F.col("local_bytes").alias("bytes"),
-        F.col("local_modified_at").alias("modified_at"),
-    )
-    same_file = ["object_key", "bytes", "modified_at"]
-    unseen = settle(listed.join(known, same_file, "left_anti"), "unseen")
-    untouched = listed.join(known, same_file, "left_semi").select(
-        *same_file, F.lit(None).cast("string").alias("digest"), F.lit("skip").alias("action")
-    )
-    plan = untouched
-    if not unseen.isEmpty():
-        plan = plan.unionByName(publish_plan(digested_objects(spark, root, unseen), published))
-    plan = settle(plan, "publish-plan")
-    manifest = publish_manifest(plan, run_name(started_at), dry_run).first().asDict()
-    if not dry_run:
-        sent = plan.filter(F.col("action") == "upload")
-        if manifest["files_uploaded"]:
-            _copy_days(spark, sent, root, f"{stage}/{PREFIX}")
-        examined = plan.filter(F.col("digest").isNotNull())
-        if not examined.isEmpty():
-            _record(spark, examined, f"{stage}/{PREFIX}", ledger, started_at)
-    if manifests:
-        append_manifest(spark.createDataFrame([manifest], _MANIFEST), f"{manifests}/publish")
-    return manifest
-
-
-_MANIFEST = (
-    "run_id string, kind string, dry_run boolean, files_uploaded bigint, "
-    "files_skipped_identical bigint, files_failed int, bytes_uploaded bigint, "
-    "oldest_partition_uploaded string, newest_partition_uploaded string"
-)
-
-
-def _record(
-    spark: SparkSession, examined: DataFrame, root: str, ledger: str, at: datetime.datetime
-) -> None:
-    """Remember the examined objects as they are here and at the stage."""
-    held = listed_objects(spark, root).select("object_key", "bytes")
-    entries = examined.select(
+    with settled_inside(spark):
+        files = settle(list_files(spark, root), "listed")
+        local = objects_of(files).select(object_name("source_file"), "bytes", "modified_at")
+        local = local.join(digested_objects(spark, root), "object_key")
+        plan = settle(publish_plan(local, published_objects(spark, stage)), "publish-plan")
+        failed: list[tuple[str, str]] = []
+        if not dry_run:
+            sent = plan.filter(F.col("action") == "upload")
+            days = sorted(r.object_key for r in sent.select("object_key").collect())
+            failed = _copied(spark, files, root, f"{stage}/{PREFIX}", days)
+            done = plan.filter(~F.col("object_key").isin([key for key, _ in failed]))
+            _record(spark, done, ledger, started_at)
+        manifest = publish_manifest(plan, run_name(started_at), dry_run, failed)
+        record = settle(manifest, "publish-manifest").first()
+        if manifests:
+            kept = spark.createDataFrame([record], manifest.schema)
+            append_manifest(kept, f"{manifests}/publish")
+        return record.asDict(recursive=True)
+
+
+def _record(spark: SparkSession, done: DataFrame, ledger: str, at: datetime.datetime) -> None:
+    """Remember the objects that are now at the stage as they are here, each once."""
+    entries = done.select(
         "object_key",
         "digest",
         F.col("bytes").alias("local_bytes"),
         F.col("modified_at").alias("local_modified_at"),
         utc_literal(at).alias("published_at"),
     )
-    append_ledger(entries.join(held, "object_key"), ledger, PUBLISH_LEDGER)
+    same = ["object_key", "digest", "local_bytes", "local_modified_at"]
+    entries = entries.join(read_ledger(spark, ledger, PUBLISH_LEDGER).select(*same), same, "left_anti")
+    entries = settle(entries, "published")
+    if not entries.isEmpty():
+        append_ledger(entries, ledger, PUBLISH_LEDGER)
 
 
-def _copy_days(spark: SparkSession, sent: DataFrame, root: str, target: str) -> None:
+def _copied(
+    spark: SparkSession, files: DataFrame, root: str, target: str, keys: list[str]
+) -> list[tuple[str, str]]:
+    """Copy objects in one job; the keys that could not be copied, with the reason.
+
+    A failed job has changed nothing. It is repeated in halves until the objects that
+    cannot be written stand alone, so few failures cost few more jobs.
+    """
+    if not keys:
+        return []
+    try:
+        _copy_days(spark, files, root, target, keys)
+        return []
+    except (Py4JError, PySparkException) as error:
+        if len(keys) == 1:
+            reason = str(error).strip().splitlines()
+            return [(keys[0], reason[0][:300] if reason else type(error).__name__)]
+        half = len(keys) // 2
+        return _copied(spark, files, root, target, keys[:half]) + _copied(spark, files, root, target, keys[half:])
+
+
+def _copy_days(spark: SparkSession, files: DataFrame, root: str, target: str, keys: list[str]) -> None:
     """Copy the lines of whole days over the partitions they replace.
 
     Every task writes what it read, in order, so nothing is shuffled. A day that
     several tasks read becomes several part files of the same object.
     """
-    days = sent.select(day_of_object(F.col("object_key")).alias("date")).distinct()
-    lines = scan_lines(spark, root, among_days(days, "date")).join(days, "date", "left_semi")
+    sent = spark.createDataFrame([(k,) for k in keys], "object_key string")
+    sent = sent.select(F.substr("object_key", F.lit(len(PREFIX) + 2)).alias("source_file"))
+    lines = scan_lines(spark, root, paths=paths_of(files, sent))
+    lines = lines.withColumn("date", day_of_object(F.col("source_file")))
     (
         lines.sortWithinPartitions("date", "path", "block", "rid")
         .select("value", "date")

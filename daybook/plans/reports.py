@@ -115,9 +115,10 @@ def data_as_of(rows: DataFrame) -> DataFrame:
 
 
 def to_pandas(rows: DataFrame, max_rows: int = 1_000_000):
-    """A report as pandas over Arrow, refused when it is too long for a client."""
-    frame = rows.select(*[F.col(c).alias(c.lower()) for c in rows.columns])
-    fetched = frame.limit(max_rows + 1).toPandas()
-    if len(fetched) > max_rows:
+    """A report as pandas over Arrow, refused when it is too long for a client.
+
+    Rows are counted first, so that a refused report is never fetched.
+    """
+    if rows.count() > max_rows:
         raise ValueError(f"more than {max_rows} rows; filter the report before fetching it")
-    return fetched
+    return rows.select(*[F.col(c).alias(c.lower()) for c in rows.columns]).toPandas()

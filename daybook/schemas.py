@@ -136,7 +136,6 @@ PUBLISH_LEDGER = T.StructType(
     [
         T.StructField("object_key", T.StringType()),
         T.StructField("digest", T.StringType()),
-        T.StructField("bytes", T.LongType()),
         T.StructField("local_bytes", T.LongType()),
         T.StructField("local_modified_at", T.TimestampType()),
         T.StructField("published_at", T.TimestampNTZType()),

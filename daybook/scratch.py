@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,14 +43,33 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet and continue from the written files."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget_settled(spark: SparkSession) -> int:
     """Delete the tables this session settled, once no DataFrame on them is needed."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+    return _forget(spark, _written.pop(spark.sparkContext.applicationId, []))
+
+
+@contextmanager
+def settled_inside(spark: SparkSession) -> Iterator[None]:
+    """Delete what is settled inside the block when it ends, also by an error.
+
+    For steps whose result is a value or a written table. What was settled before stays.
+    """
+    app = spark.sparkContext.applicationId
+    before = len(_written.get(app, []))
+    try:
+        yield
+    finally:
+        own = _written.get(app, [])[before:]
+        del _written.get(app, [])[before:]
+        _forget(spark, own)
+
+
+def _forget(spark: SparkSession, paths: list[str]) -> int:
     for path in paths:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

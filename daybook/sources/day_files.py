@@ -13,9 +13,6 @@ TEXTS = ("ticker", "trade_date", "ingested_at_utc")
 # A day is one file until it outgrows this many rows, then several.
 ROWS_PER_FILE = 1_000_000
 
-# Days listed one by one in a scan's condition; beyond that, their range is.
-LISTED_DAYS = 1_000
-
 # Whole doubles below this are written as JSON integers, like any serializer does.
 EXACT_INTEGER = 1e15
 
@@ -42,7 +39,7 @@ def json_line(fields: tuple[str, ...] = LANDED_FIELDS) -> Column:
     return F.concat(F.lit("{"), *parts, F.lit("}"))
 
 
-def parse_landed(lines: DataFrame) -> DataFrame:
+def parse_landed(lines: DataFrame, *others: Column) -> DataFrame:
     """Landed rows from day-file text, typed for comparison with received bars."""
     body = F.col("payload")
     kinds = {name: "string" for name in TEXTS} | {name: "bigint" for name in COUNTS}
@@ -51,7 +48,8 @@ def parse_landed(lines: DataFrame) -> DataFrame:
         *[
             F.variant_get(body, f"$.{name}", kinds.get(name, "double")).alias(name)
             for name in LANDED_FIELDS
-        ]
+        ],
+        *others,
     )
 
 
@@ -60,20 +58,22 @@ def read_days(spark: SparkSession, root: str, where: Column | None = None) -> Da
     return parse_landed(scan_lines(spark, root, where))
 
 
+def read_day_lines(spark: SparkSession, root: str, where: Column) -> DataFrame:
+    """The same with ``line``, which puts the rows of a day in file order."""
+    line = F.struct("path", "block", "rid").alias("line")
+    return parse_landed(scan_lines(spark, root, where), line)
+
+
 def among_days(days: DataFrame, column: str) -> Column | None:
     """A condition on ``date`` that prunes a scan to the days of a small table.
 
-    Literals prune where a join might not. There are at most as many days as the
-    calendar has; past a limit their range is used, so a caller still joins.
-    ``None`` when there are no days.
+    The days are listed as literals, which prune where a join might not. There are at
+    most as many as the calendar has. ``None`` when there are no days.
     """
-    days = days.select(F.col(column).cast("date").alias("day")).distinct()
-    first, last, count = days.agg(F.min("day"), F.max("day"), F.count("day")).first()
-    if not count:
+    days = days.select(F.col(column).cast("date").alias("day")).distinct().collect()
+    if not days:
         return None
-    if count <= LISTED_DAYS:
-        return F.col("date").isin([r.day for r in days.filter("day IS NOT NULL").collect()])
-    return F.col("date").between(F.lit(first), F.lit(last))
+    return F.col("date").isin([r.day for r in days if r.day is not None])
 
 
 def write_days(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:

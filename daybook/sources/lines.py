@@ -11,7 +11,10 @@ from daybook.scratch import settle
 
 
 # What identifies one piece of a file that one task reads.
-SPLIT = ["source_file", "path", "block"]
+SPLIT = ["path", "block"]
+
+# White space as Python's ``strip`` knows it.
+WHITE = r"(?U)[\s\x1c-\x1f]"
 
 
 def day_object(path: Column) -> Column:
@@ -34,57 +37,69 @@ def relative_object(path: Column, root: str) -> Column:
     return F.regexp_replace(day_object(path), f"^.*/{base}/", "")
 
 
-def scan_lines(spark: SparkSession, root: str, where: Column | None = None) -> DataFrame:
+def plain_path(path: Column) -> Column:
+    """A file's path as listings write it, without the escapes of ``_metadata``."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def scan_lines(
+    spark: SparkSession, root: str, where: Column | None = None, paths: list[str] | None = None
+) -> DataFrame:
     """Non-blank lines of the files under ``root`` with where each was read.
 
-    ``date`` directories become a partition column. A condition on it belongs in
-    ``where``: it then prunes files before the listing is scanned, which a later
-    filter cannot do, since it does not pass the row numbering.
+    All files below ``root`` are read, at whatever depth, or only ``paths`` of them. A
+    condition ``where`` is for roots that hold ``date`` directories and nothing else:
+    these become a partition column, and the condition prunes before the listing is
+    scanned.
     """
-    lines = spark.read.text(root).filter(F.trim("value") != "")
+    reader = spark.read if where is not None else spark.read.option("recursiveFileLookup", True)
+    lines = reader.text(root if paths is None else paths)
+    lines = lines.filter(F.col("value").rlike(WHITE.replace("[", "[^", 1)))
     if where is not None:
         lines = lines.filter(where)
     kept = [c for c in lines.columns if c != "value"]
+    path = plain_path(F.col("_metadata.file_path"))
     return lines.select(
         "value",
         *kept,
-        relative_object(F.col("_metadata.file_path"), root).alias("source_file"),
-        F.col("_metadata.file_path").alias("path"),
+        relative_object(path, root).alias("source_file"),
+        path.alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("rid"),
     )
 
 
-def split_totals(lines: DataFrame) -> DataFrame:
-    """Line count and digest parts of every input split, as a table.
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Adds ``file_row_number``, 1-based within ``source_file``.
 
-    One pass over the text serves both the digests and the line numbers.
+    The lines are written once, and everything else is read from what was written: the
+    first id and the line count of every input split, and from these, in the order of
+    path and block, the split's place in its object. So numbers do not depend on how
+    another scan would be split, and no text is shuffled or sorted: ids rise by one
+    inside a split. A line whose split is not known fails the job.
     """
-    totals = lines.groupBy(*SPLIT).agg(F.count("*").alias("n"), *line_digest(F.col("value")))
-    return settle(totals, "split-totals")
-
+    return numbered(settle(lines, "lines"))
 
-def number_lines(lines: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Adds ``file_row_number``, 1-based within ``source_file``.
 
-    No file is ever gathered in one task: lines are ranked inside one input
-    split, which the reader's split size bounds, and a running total over the
-    splits of an object (one row each) gives every split its offset.
-    """
-    totals = split_totals(lines) if totals is None else totals
+def numbered(lines: DataFrame) -> DataFrame:
+    """:func:`number_lines` for lines that were written with their ids already."""
+    splits = lines.groupBy("source_file", *SPLIT).agg(
+        F.count("*").alias("n"), F.min("rid").alias("first_rid")
+    )
     earlier = (
         Window.partitionBy("source_file")
         .orderBy("path", "block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = totals.select(*SPLIT, F.sum("n").over(earlier).alias("offset")).filter("offset > 0")
-    within_split = F.row_number().over(Window.partitionBy(*SPLIT).orderBy("rid"))
-    number = F.coalesce("offset", F.lit(0)) + F.col("line")
+    place = F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1 - F.col("first_rid")
+    splits = settle(splits.select(*SPLIT, place.alias("place")), "splits")
+    number = F.when(F.col("place").isNotNull(), F.col("rid") + F.col("place")).otherwise(
+        F.raise_error(F.concat(F.lit("no line offset for "), "path")).cast("long")
+    )
     return (
-        lines.withColumn("line", within_split)
-        .join(offsets, SPLIT, "left")
-        .withColumn("file_row_number", number.cast("long"))
-        .drop("path", "block", "rid", "line", "offset")
+        lines.join(splits, SPLIT, "left")
+        .withColumn("file_row_number", number)
+        .drop("path", "block", "rid", "place")
     )
 
 
@@ -112,13 +127,15 @@ def digest_text(row_count: Column) -> Column:
     return F.concat_ws("-", row_count, *[F.col(f"lane_{lane}") for lane in range(4)])
 
 
-def object_digests(totals: DataFrame) -> DataFrame:
-    """(source_file, row_count, digest) from split totals.
+def object_digests(lines: DataFrame) -> DataFrame:
+    """(source_file, row_count, digest) of every object among scanned lines.
 
-    Equal digests mean equal sets of lines.
+    Equal digests mean equal sets of lines. Tasks add up what they read, so an object
+    of any size takes one pass and shuffles five numbers a task.
     """
-    lanes = [F.sum(f"lane_{lane}").alias(f"lane_{lane}") for lane in range(4)]
-    objects = totals.groupBy("source_file").agg(F.sum("n").alias("row_count"), *lanes)
+    objects = lines.groupBy("source_file").agg(
+        F.count("*").alias("row_count"), *line_digest(F.col("value"))
+    )
     return objects.select(
         "source_file", "row_count", digest_text(F.col("row_count")).alias("digest")
     )

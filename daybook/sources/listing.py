@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from daybook.sources.lines import day_of_object, relative_object
 
-# Whole-file MD5 needs the file in one record; larger files use line digests.
-MD5_LIMIT_BYTES = 256 * 1024 * 1024
-
-
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """(source_file, path, bytes, modified_at) of every data file under ``root``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -24,15 +20,27 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     )
 
 
-def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """The same listing with the part files of one day counted as one object."""
-    return (
-        list_files(spark, root, glob)
-        .groupBy("source_file")
-        .agg(F.sum("bytes").alias("bytes"), F.max("modified_at").alias("modified_at"))
+def objects_of(files: DataFrame) -> DataFrame:
+    """A file listing with the part files of one day counted as one object."""
+    return files.groupBy("source_file").agg(
+        F.sum("bytes").alias("bytes"), F.max("modified_at").alias("modified_at")
     )
 
 
+def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """(source_file, bytes, modified_at) of every object under ``root``."""
+    return objects_of(list_files(spark, root, glob))
+
+
+def paths_of(files: DataFrame, objects: DataFrame) -> list[str]:
+    """Paths of the files of the given objects: what a scan of just these reads.
+
+    Like any listing, this is metadata that the driver holds for the scan anyway.
+    """
+    wanted = files.join(objects.select("source_file"), "source_file", "left_semi")
+    return [r.path for r in wanted.select("path").collect()]
+
+
 def stage_summary(listing: DataFrame) -> DataFrame:
     """One row: how many objects a stage holds and how many bytes."""
     return listing.agg(
@@ -41,25 +49,6 @@ def stage_summary(listing: DataFrame) -> DataFrame:
     )
 
 
-def file_md5(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(source_file, path, md5) of files small enough to hash in one record.
-
-    A file over the limit has a null ``md5``: use ``lines.object_digests`` there.
-    Sizes are filtered before contents are read.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).filter(F.col("length") <= MD5_LIMIT_BYTES)
-    hashed = files.select("path", F.md5("content").alias("md5"))
-    return (
-        list_files(spark, root, glob)
-        .select("source_file", "path")
-        .join(hashed, "path", "left")
-        .select("source_file", "path", "md5")
-    )
-
-
 def day_partitions(spark: SparkSession, root: str) -> DataFrame:
     """The days present under ``root``, sorted, taken from the directory names."""
     days = list_objects(spark, root).select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schemas import REFERENCE_WIDTHS, TICKER_REFERENCE
+from daybook.sources.lines import WHITE
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +37,8 @@ def check_widths(rows: DataFrame) -> DataFrame:
 
 
 def _symbols(lines: DataFrame, text: Column) -> DataFrame:
-    cleaned = lines.select(F.upper(F.trim(text)).alias("ticker"))
+    bare = F.regexp_replace(text, f"^{WHITE}+|{WHITE}+$", "")
+    cleaned = lines.select(F.upper(bare).alias("ticker"))
     return cleaned.filter(F.col("ticker") != "")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.bars import epoch_ms_to_date
 from daybook.schemas import API_FIELDS, COUNTS, USABLE_STATES
+from daybook.sources.ledger import path_exists
 
 
 def envelope_bars(docs: DataFrame, column: str = "value") -> DataFrame:
@@ -55,18 +56,23 @@ def read_responses(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def land_responses(docs: DataFrame, root: str, run: str) -> None:
+def land_responses(docs: DataFrame, root: str, run: str) -> str:
     """Keep response documents as received, one per line, under ``run=<id>``.
 
-    Line breaks become blanks: in JSON they can only stand between tokens.
+    Line breaks become blanks: in JSON they can only stand between tokens. A second
+    run of the same name gets a folder of its own. Returns the folder.
     """
-    line = F.translate("value", "\r\n", "  ").alias("value")
-    docs.select(line, F.lit(run).alias("run")).write.mode("append").partitionBy("run").text(root)
+    folder, number = f"{root}/run={run}", 1
+    while path_exists(docs.sparkSession, folder):
+        number += 1
+        folder = f"{root}/run={run}-{number}"
+    docs.select(F.translate("value", "\r\n", "  ").alias("value")).write.text(folder)
+    return folder
 
 
-def read_landed_envelopes(spark: SparkSession, root: str) -> DataFrame:
-    """(value, run) of documents kept by :func:`land_responses`."""
-    return spark.read.schema("value string, run string").option("pathGlobFilter", "*.txt").text(root)
+def read_landed_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that :func:`land_responses` kept in a folder, as ``value``."""
+    return spark.read.option("pathGlobFilter", "*.txt").text(folder)
 
 
 def bars_to_rows(bars: DataFrame, ingested_at: str) -> DataFrame:

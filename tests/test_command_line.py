@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from daybook.__main__ import parser, run
 from daybook.plans import reports
 from daybook.sources.warehouse import Warehouse
@@ -45,3 +47,5 @@ def test_steps_as_commands(spark, tmp_path, capsys):
     except ValueError:
         pass
     assert document("AA")
+    with pytest.raises(SystemExit):
+        parser().parse_args(["--home", home, "ingest", *source, "--days", "0"])

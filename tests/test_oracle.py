@@ -8,9 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+from workload.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import datetime
 import json
+import os
 import shutil
+from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from daybook.operators import revisions
 from daybook.plans.build import build
 from daybook.plans.ingest import ingest, upsert_days
 from daybook.plans.load import load, read_raw
+from daybook.plans import publish as publish_plan_module
 from daybook.plans.publish import publish
 from daybook.plans.staging import stg_prices
 from daybook.schemas import LOAD_LEDGER, PUBLISH_LEDGER
+from daybook.scratch import forget_settled, scratch_folder, settle
 from daybook.sources.day_files import read_days
 from daybook.sources.ledger import read_ledger
 from daybook.sources.warehouse import Warehouse
@@ -307,3 +313,95 @@ def test_planted_duplicate_skips_the_marts(loaded, spark):
 def test_upsert_of_nothing(spark, chain):
     empty = answers(spark).selectExpr("value as ticker", "cast(null as date) as trade_date")
     assert upsert_days(spark, f"{chain.root}/x", empty) == {"dates_touched": 0, "dates_rewritten": 0}
+
+
+def test_objects_at_any_depth_are_loaded(loaded, spark):
+    stage = Path(loaded.root) / "stage/raw/prices"
+    line = '{"ticker": "%s", "trade_date": "2024-03-04", "close": 1}\n'
+    (stage / "late.jsonl").write_text(line % "LATE")
+    (stage / "extra/deep").mkdir(parents=True)
+    (stage / "extra/deep/x.jsonl").write_text(line % "DEEP" + "\n \t\n" + line % "DEEP2")
+    result = loaded.load()
+    assert (result["files_processed"], result["rows_loaded_this_run"], result["staged_files"]) == (2, 3, 7)
+    names = loaded.raw().select("source_file", "file_row_number").filter("source_file not like 'date=%'")
+    assert rows_of(names) == [("extra/deep/x.jsonl", 1), ("extra/deep/x.jsonl", 2), ("late.jsonl", 1)]
+    assert loaded.load()["files_processed"] == 0
+
+
+def rewritten(folder, old, new):
+    """Change a file's content, but neither its length nor its time."""
+    path = next(Path(folder).glob("part-*"))
+    stat, text = path.stat(), path.read_text()
+    assert old in text and len(old) == len(new)
+    path.write_text(text.replace(old, new))
+    os.utime(path, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    checksum = path.with_name(f".{path.name}.crc")
+    checksum.unlink(missing_ok=True)
+
+
+def test_content_decides_and_not_size_or_time(loaded):
+    rewritten(f"{loaded.root}/stage/raw/prices/date=2024-03-05", '"close": 12.25', '"close": 17.25')
+    result = loaded.load()
+    assert (result["files_processed"], result["rows_loaded_this_run"], result["verdict"]) == (1, 3, "WARN")
+    # The altered copy at the stage is replaced, though nothing changed here.
+    assert loaded.publish()["files_uploaded"] == 1
+    rewritten(f"{loaded.root}/data/days/date=2024-03-06", '"close": 13.25', '"close": 18.25')
+    published = loaded.publish()
+    assert (published["files_uploaded"], published["files_skipped_identical"]) == (1, 4)
+
+
+def test_an_object_that_cannot_be_written_does_not_keep_the_others(chain, spark, monkeypatch):
+    chain.ingest(*DOCS)
+    lost, copy = "raw/prices/date=2024-03-06/prices.jsonl", publish_plan_module._copy_days
+
+    def failing(spark, files, root, target, keys):
+        if lost in keys:
+            raise PySparkException("no space left on device")
+        copy(spark, files, root, target, keys)
+
+    monkeypatch.setattr(publish_plan_module, "_copy_days", failing)
+    record = chain.publish()
+    assert (record["files_uploaded"], record["files_failed"]) == (4, 1)
+    assert record["failures"] == [{"object_key": lost, "reason": "no space left on device"}]
+    assert record["finished_at_utc"] and record["newest_partition_uploaded"].endswith("date=2024-03-08/prices.jsonl")
+    assert read_ledger(spark, f"{chain.root}/published", PUBLISH_LEDGER).count() == 4
+    kept = json.loads(next(Path(chain.root, "runs/publish").glob("part-*")).read_text())
+    assert kept["files_failed"] == 1 and kept["failures"]
+    monkeypatch.undo()
+    assert chain.publish()["files_uploaded"] == 1
+
+
+def test_nothing_settled_stays_behind(chain, spark):
+    reference = spark.createDataFrame([(t, t, "Energy") for t in TICKERS], "ticker string, company_name string, sector string")
+    forget_settled(spark)
+    folder = Path(scratch_folder(spark))
+    chain.ingest(*DOCS), chain.publish(), chain.load()
+    build(Warehouse(spark, "clean_", views={"raw_prices": chain.raw()}), reference, F.lit(AS_OF))
+    with pytest.raises(ValueError, match="universe is empty"):
+        chain.ingest(*DOCS, tickers=[])
+    spark.createDataFrame([("{not json",)], "value string").write.mode("overwrite").text(
+        f"{chain.root}/stage/raw/prices/date=2024-03-05")
+    with pytest.raises(Exception):
+        chain.load()
+    assert not folder.exists() or not list(folder.iterdir())
+
+
+def test_a_second_run_in_the_same_minute_has_its_own_folder(chain, spark):
+    chain.ingest(*DOCS)
+    chain.clock -= datetime.timedelta(hours=1)
+    assert chain.ingest(DOCS[0], tickers=["AA"])["bars_received"] == 5
+    assert len(list(Path(chain.root, "data/_raw").glob("run=*"))) == 2
+
+
+def test_old_revisions_write_narrow_tables_only(loaded, spark, monkeypatch):
+    loaded.ingest(DOCS[0], document("BB", d6={"vw": 10.5001}), DOCS[2])
+    loaded.publish(), loaded.load()
+    written = []
+
+    def watched(df, label="table"):
+        written.append((label, set(df.columns)))
+        return settle(df, label)
+
+    monkeypatch.setattr(revisions, "settle", watched)
+    assert stg_prices(loaded.raw()).count() == 15
+    assert written and not [label for label, columns in written if columns & {"close", "payload", "volume"}]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import hashlib
 import json
 import random
 
@@ -13,15 +12,15 @@ from pyspark.sql import functions as F
 from daybook.operators.upsert import merge_days
 from daybook.scratch import settle
 from daybook.sources import lines as line_source
-from daybook.sources.day_files import among_days, json_line, parse_landed, read_days, write_days
-from daybook.sources.listing import day_partitions, file_md5, list_files, list_objects, stage_summary
+from daybook.sources.day_files import among_days, json_line, parse_landed, read_day_lines, read_days, write_days
+from daybook.sources.listing import day_partitions, list_files, list_objects, paths_of, stage_summary
 from daybook.sources.reference import check_widths, missing_from, read_reference, read_universe, universe_override
 from daybook.sources.responses import bars_to_rows, envelope_bars, read_responses
 from helpers import day, rows_of
 
 
 def test_universe_file(spark, tmp_path):
-    (tmp_path / "universe.txt").write_text("# all of them\n aapl \n\nMSFT # big\n#x\nbrk.b\n")
+    (tmp_path / "universe.txt").write_text("# all of them\n aapl \n\nMSFT\t# big\n#x\n\t\u00a0\x1f\n\u2003brk.b\t\n")
     assert rows_of(read_universe(spark, str(tmp_path / "universe.txt"))) == [("AAPL",), ("BRK.B",), ("MSFT",)]
 
 
@@ -114,8 +113,8 @@ def test_scan_prunes_days(spark, tmp_path):
 
 def test_digest_depends_on_content_only(spark):
     def digest(*rows):
-        df = spark.createDataFrame([("f", f"p{i % 3}", 0, r) for i, r in enumerate(rows)], "source_file string, path string, block bigint, value string")
-        return line_source.object_digests(line_source.split_totals(df.repartition(5))).first().digest
+        df = spark.createDataFrame([("f", r) for r in rows], "source_file string, value string")
+        return line_source.object_digests(df.repartition(5)).first().digest
 
     assert digest("a", "b", "c") == digest("c", "a", "b")
     assert len({digest("a", "b"), digest("a", "c"), digest("a"), digest("a", "a"), digest("a", "b", "b")}) == 5
@@ -130,8 +129,8 @@ def test_listing(spark, tmp_path):
     assert tuple(stage_summary(list_files(spark, str(root))).first()) == (3, total)
     assert tuple(stage_summary(list_objects(spark, str(root))).first()) == (2, total)
     assert [str(r.date) for r in day_partitions(spark, str(root)).collect()] == ["2024-01-02", "2024-01-03"]
-    want = {hashlib.md5(p.read_bytes()).hexdigest() for p in root.rglob("*.*")}
-    assert {r.md5 for r in file_md5(spark, str(root)).collect()} == want
+    third = spark.createDataFrame([("date=2024-01-03/prices.jsonl",)], "source_file string")
+    assert sorted(p[-11:] for p in paths_of(list_files(spark, str(root)), third)) == ["/part-0.txt", "/part-1.txt"]
     assert "content" not in list_files(spark, str(root))._jdf.queryExecution().optimizedPlan().toString().split("Project")[0]
 
 
@@ -206,3 +205,47 @@ def test_merge_compares_fields_either_side_has(spark):
     new = new.withColumn("otc", F.when(F.col("ticker") == "A", F.lit(True)))
     assert rows_of(merge_days(old, new), "ticker", "otc", "ingested_at_utc", "changed") == [
         ("A", True, "new", True), ("B", None, "old", False)]
+
+
+def test_line_numbers_do_not_depend_on_how_a_scan_is_split(spark, tmp_path):
+    """The settings change between the first look and the numbering."""
+    root = tmp_path / "stage"
+    many_lines(root, {"date=2024-01-02/prices.jsonl": 4000, "late.jsonl": 300, "a b+c%/deep/x.jsonl": 50})
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set(keys[1], "1024")
+        spark.conf.set(keys[0], "4")
+        scanned = line_source.scan_lines(spark, str(root))
+        numbered = line_source.number_lines(scanned)
+        spark.conf.set(keys[0], "7")
+        rows = numbered.collect()
+        text = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert len(rows) == 4350
+    assert all(r.file_row_number == int(r.value.split(":")[1]) and r.source_file == r.value.split(":")[0] for r in rows)
+    assert "Sort" not in text and not [x for x in text.split("Exchange")[1:] if "value" in x.split("FileScan")[0]]
+
+
+def test_a_line_without_a_known_split_fails(spark, tmp_path, monkeypatch):
+    many_lines(tmp_path / "days", {"x.jsonl": 5})
+    monkeypatch.setattr(line_source, "settle", lambda df, label: df.limit(0) if label == "splits" else settle(df, label))
+    with pytest.raises(Exception, match="no line offset"):
+        line_source.number_lines(line_source.scan_lines(spark, str(tmp_path / "days"))).collect()
+
+
+def test_repeated_lines_on_disk_collapse_to_the_last(spark, tmp_path):
+    rows = landed(spark, [(day(0), "A", 1.0, 2.0, 0.5, 1.0, 5.0, 1.0, 3, "first"), (day(1), "B", 1.0, 2.0, 0.5, 1.0, 5.0, 1.0, 3, "s")])
+    root = tmp_path / "days"
+    write_days(rows, str(root))
+    folder = root / f"date={day(0)}"
+    path = next(folder.glob("part-*"))
+    path.with_name(f".{path.name}.crc").unlink()
+    line = path.read_text()
+    path.write_text(line + line.replace("first", "second") + line.replace("first", "last"))
+    old = read_day_lines(spark, str(root), F.col("date").isNotNull())
+    new = landed(spark, [(day(1), "B", 1.0, 2.0, 0.5, 1.0, 5.0, 1.0, 3, "new", 0)], True)
+    assert rows_of(merge_days(old, new), "trade_date", "ticker", "ingested_at_utc", "changed") == [
+        (day(0), "A", "last", True), (day(1), "B", "s", False)]

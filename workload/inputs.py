@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,28 +86,25 @@ def day_file(trade_date: Column) -> Column:
     return F.concat(F.lit("raw/prices/date="), trade_date.cast("string"), F.lit("/prices.jsonl"))
 
 
-def brand_rank() -> Column:
-    """A brand's line in a day file. There are 25 brands, whatever the data's size."""
-    return F.array_position(F.lit(BRANDS), F.col("ticker")).cast("bigint")
+def in_day_files(bars: DataFrame) -> DataFrame:
+    """Adds a bar's line in its day's file, where brands stand in name order."""
+    order = Window.partitionBy("trade_date").orderBy("ticker")
+    return bars.withColumn("file_row_number", F.row_number().over(order).cast("bigint"))
 
 
 def raw_rows(bars: DataFrame, loaded_at: Column) -> DataFrame:
-    """Bars as rows of the raw table."""
+    """Bars with their lines as rows of the raw table."""
     return landed(bars).select(
         F.parse_json(json_line()).alias("payload"),
         day_file(F.col("trade_date")).alias("source_file"),
-        brand_rank().alias("file_row_number"),
+        "file_row_number",
         loaded_at.alias("loaded_at"),
     )
 
 
-# The brands of the given part table, in name order.
-BRANDS = [f"Brand#{n}" for n in sorted(str(n) for n in range(1, 26))]
-
-
 def raw_single(bars: DataFrame) -> DataFrame:
     """Every bar loaded once."""
-    return raw_rows(bars, utc_literal(FIRST_LOAD))
+    return raw_rows(in_day_files(bars), utc_literal(FIRST_LOAD))
 
 
 def raw_loads(bars: DataFrame) -> DataFrame:
@@ -120,7 +117,7 @@ def raw_loads(bars: DataFrame) -> DataFrame:
         F.when((day == 15) & (month == 1), F.array(utc_literal(REPEAT_LOAD))).otherwise(F.array()),
     )
     revised = (F.col("loaded_at") == utc_literal(REVISION_LOAD)) & (F.char_length("ticker") == 7)
-    loads = bars.withColumn("loaded_at", F.explode(copies)).withColumn(
+    loads = in_day_files(bars).withColumn("loaded_at", F.explode(copies)).withColumn(
         "vwap", F.when(revised, F.col("vwap") + REVISION_STEP).otherwise(F.col("vwap"))
     )
     return raw_rows(loads, F.col("loaded_at"))
@@ -128,11 +125,10 @@ def raw_loads(bars: DataFrame) -> DataFrame:
 
 def staged_rows(bars: DataFrame) -> DataFrame:
     """Staging rows of the single load."""
-    rows = bars.select(
+    rows = in_day_files(bars).select(
         "*",
         utc_ntz(ingest_stamp(F.col("trade_date"))).alias("ingested_at_utc"),
         day_file(F.col("trade_date")).alias("source_file"),
-        brand_rank().alias("file_row_number"),
         utc_literal(FIRST_LOAD).alias("loaded_at"),
     )
     return keyed_bars(rows).select(*STG_PRICES)
@@ -174,13 +170,13 @@ SECTORS_USED = (
 )
 
 
-def written_days(bars: DataFrame) -> str:
-    """Bars as JSON lines on disk, one partition per month to keep files few."""
+def written_days(bars: DataFrame, unit: str = "month") -> str:
+    """Bars as JSON lines on disk, one partition for each month or day."""
     root = scratch_path(bars.sparkSession, "days")
     (
         landed(bars)
         .select(
-            F.trunc("trade_date", "month").alias("date"),
+            F.date_trunc(unit, F.col("trade_date")).cast("date").alias("date"),
             "trade_date",
             "ticker",
             json_line().alias("value"),

@@ -26,11 +26,8 @@ placed AS (
     SELECT ticker || '|' || CAST(trade_date AS VARCHAR) AS price_key, bars.*,
            CAST(trade_date + 1 AS TIMESTAMP) + INTERVAL 11 HOUR AS ingested_at_utc,
            'raw/prices/date=' || CAST(trade_date AS VARCHAR) || '/prices.jsonl' AS source_file,
-           CAST(brand_rank AS BIGINT) AS file_row_number
-    FROM bars JOIN (
-        SELECT brand, row_number() OVER (ORDER BY brand) AS brand_rank
-        FROM (SELECT 'Brand#' || CAST(n AS VARCHAR) AS brand FROM range(1, 26) AS r(n))
-    ) ON brand = ticker
+           row_number() OVER (PARTITION BY trade_date ORDER BY ticker) AS file_row_number
+    FROM bars
 )"""
 
 STAGED = f"""{BARS}, {PLACED}, staged AS (

@@ -122,12 +122,18 @@ def freshness_weekdays(spark, sf):
 
 @query(
     "quality_not_empty",
-    f"""WITH {BARS} SELECT * FROM (SELECT count(*) AS row_count FROM bars WHERE volume < 0)
-        WHERE row_count = 0""",
+    f"""WITH {BARS} SELECT * FROM (
+            SELECT 'negative' AS looked_at, count(*) AS row_count FROM bars WHERE volume < 0
+            UNION ALL SELECT 'all', count(*) FROM bars
+        ) WHERE row_count = 0""",
 )
 def quality_not_empty(spark, sf):
-    """No given bar has a negative volume, so this selection is an empty table."""
-    return quality.empty_table(inputs.daily_bars(spark, sf).filter(F.col("volume") < 0))
+    """No given bar has a negative volume: that selection is an empty table, the whole is not."""
+    bars = inputs.daily_bars(spark, sf)
+    negative = quality.empty_table(bars.filter(F.col("volume") < 0))
+    return negative.select(F.lit("negative").alias("looked_at"), "row_count").unionByName(
+        quality.empty_table(bars).select(F.lit("all").alias("looked_at"), "row_count")
+    )
 
 
 @query(
@@ -181,7 +187,7 @@ def _counts_sql() -> str:
         WHERE newest + d <= DATE '2001-11-09' AND isodow(newest + d) BETWEEN 1 AND 5"""
     return " UNION ALL ".join(
         [
-            not_null("raw_prices", "payload", sql="SELECT count(*) FROM loads WHERE false"),
+            not_null("raw_prices", "payload", sql="SELECT count(*) FROM loads WHERE file_row_number = 3"),
             unique("ticker_reference", "ticker"),
             not_null("ticker_reference", "ticker"),
             not_null("ticker_reference", "company_name"),
@@ -217,7 +223,8 @@ def _counts_sql() -> str:
             row(
                 "fact_matches_staging",
                 "error",
-                "SELECT CASE WHEN (SELECT count(*) FROM faulty) <> (SELECT count(*) FROM fct) "
+                "SELECT CASE WHEN (SELECT count(*) FROM faulty) <> (SELECT count(*) FROM fct) OR "
+                "(SELECT count(DISTINCT price_key) FROM faulty) <> (SELECT count(DISTINCT price_key) FROM fct) "
                 "THEN 1 ELSE 0 END",
             ),
         ]
@@ -237,7 +244,9 @@ def quality_report(spark, sf):
     staged = settle(inputs.faulty(inputs.staged_rows(bars)), "faulty")
     dimension = marts.dim_tickers(inputs.reference(spark, sf), staged)
     tables = {
-        "raw_prices": inputs.raw_single(bars),
+        "raw_prices": inputs.raw_single(bars).withColumn(
+            "payload", F.when(F.col("file_row_number") != 3, F.col("payload"))
+        ),
         "ticker_reference": mistyped(spark, sf),
         "stg_prices": staged,
         "dim_tickers": settle(dimension, "dim"),

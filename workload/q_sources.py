@@ -8,14 +8,27 @@ from daybook.functions import bars as fb
 from daybook.operators.upsert import merge_days
 from daybook.plans.ingest import BACKFILL_DAYS, in_window
 from daybook.plans.load import files_to_load
-from daybook.plans.manifests import failed_tickers, ingest_manifest, ticker_outcomes
+from daybook.operators.measures import table_measure
+from daybook.plans.manifests import (
+    failed_tickers,
+    ingest_manifest,
+    load_manifest,
+    publish_manifest,
+    ticker_outcomes,
+)
 from daybook.plans.publish import publish_plan
-from daybook.plans.staging import keyed_bars, typed_bars
+from daybook.plans.staging import typed_bars
 from daybook.schemas import BAR_NUMBERS
 from daybook.scratch import scratch_path, settle
 from daybook.sources.day_files import json_line, json_number, json_text
 from daybook.sources.lines import as_payload, digest_text, line_digest, number_lines, scan_lines
-from daybook.sources.reference import missing_from, read_reference, universe_override
+from daybook.sources.listing import stage_summary
+from daybook.sources.reference import (
+    missing_from,
+    read_reference,
+    universe_of_lines,
+    universe_override,
+)
 from daybook.sources.responses import bars_to_rows, envelope_bars
 from workload import inputs, oracle
 from workload.oracle import BARS, REFERENCE, text
@@ -131,16 +144,15 @@ def raw_variant_scan(spark, sf):
 @query(
     "raw_lineage",
     text(
-        """SELECT 'date=' || CAST(CAST(date_trunc('month', trade_date) AS DATE) AS VARCHAR)
-                      || '/prices.jsonl' AS source_file,
-                  row_number() OVER (PARTITION BY date_trunc('month', trade_date)
-                                     ORDER BY trade_date, ticker) AS file_row_number,
+        """SELECT 'date=' || CAST(trade_date AS VARCHAR) || '/prices.jsonl' AS source_file,
+                  row_number() OVER (PARTITION BY trade_date ORDER BY ticker) AS file_row_number,
                   ticker, trade_date FROM bars""",
         "trade_date", ctes=BARS,
     ),
 )
 def raw_lineage(spark, sf):
-    root = inputs.written_days(inputs.daily_bars(spark, sf))
+    """Every day is an object of its own; the scan packs many into one task."""
+    root = inputs.written_days(inputs.daily_bars(spark, sf), "day")
     payload = F.col("payload")
     return as_payload(number_lines(scan_lines(spark, root))).select(
         "source_file",
@@ -150,6 +162,48 @@ def raw_lineage(spark, sf):
     )
 
 
+@query(
+    "raw_scan_any_layout",
+    text(
+        """SELECT CASE day(trade_date) % 3 WHEN 0 THEN 'days' WHEN 1 THEN 'deep' ELSE 'loose' END AS place,
+                  ticker, trade_date FROM bars""",
+        "trade_date", ctes=BARS,
+    ),
+)
+def raw_scan_any_layout(spark, sf):
+    """Files in date folders, beside them and below others: one scan reads all."""
+    bars = settle(inputs.daily_bars(spark, sf), "bars")
+    third = F.dayofmonth("trade_date") % 3
+    root = inputs.written_days(bars.filter(third == 0))
+    lines = inputs.landed(bars).withColumn("value", json_line())
+    lines.filter(third == 1).select("value").write.text(f"{root}/extra/deep")
+    lines.filter(third == 2).select("value").write.text(f"{root}/loose")
+    place = F.when(F.col("source_file").startswith("date="), "days").otherwise(
+        F.when(F.col("source_file").startswith("extra/deep/"), "deep").otherwise(
+            F.substring_index("source_file", "/", 1)
+        )
+    )
+    return as_payload(scan_lines(spark, root)).select(
+        place.alias("place"),
+        F.variant_get("payload", "$.ticker", "string").alias("ticker"),
+        F.variant_get("payload", "$.trade_date", "date").alias("trade_date"),
+    )
+
+
+@query(
+    "universe_file",
+    "SELECT upper(p_brand) AS ticker, count(*) AS listed FROM part GROUP BY upper(p_brand)",
+)
+def universe_file(spark, sf):
+    """A line for every part: its brand between tabs and blanks, a comment, a blank line."""
+    part = inputs.table(spark, sf, "part")
+    brand = F.replace(F.lower("p_brand"), F.lit("#"), F.lit("@"))
+    listed = F.concat(F.lit("\t \u00a0"), brand, F.lit("\t\u2003# "), "p_type")
+    lines = part.select(F.explode(F.array(listed, F.concat(F.lit("  #"), "p_type"), F.lit("\t \x1f"))).alias("value"))
+    symbols = universe_of_lines(lines).select(F.replace("ticker", F.lit("@"), F.lit("#")).alias("ticker"))
+    return symbols.groupBy("ticker").agg(F.count("*").alias("listed"))
+
+
 @query("seed_reference", f"WITH {REFERENCE} SELECT * FROM reference")
 def seed_reference(spark, sf):
     path = scratch_path(spark, "reference")
@@ -225,6 +279,76 @@ def files_to_load_query(spark, sf):
     return files_to_load(day_objects(revised(bars)), ledger).select("source_file")
 
 
+LOST = ("raw/prices/date=1995-01-10/prices.jsonl", "raw/prices/date=1996-03-08/prices.jsonl")
+PLANNED = f"""{OBJECTS}, planned AS (
+    SELECT name, CASE WHEN is_new OR is_changed THEN 'upload' ELSE 'skip' END AS action,
+           name IN {LOST} AS lost FROM objects
+)"""
+
+
+@query(
+    "publish_manifest",
+    f"""WITH {PLANNED} SELECT 'run' AS run_id, 'publish' AS kind, false AS dry_run,
+               count_if(action = 'upload' AND NOT lost) AS files_uploaded,
+               count_if(action = 'skip') AS files_skipped_identical, count_if(lost) AS files_failed,
+               min(name) FILTER (action = 'upload' AND NOT lost) AS oldest_partition_uploaded,
+               max(name) FILTER (action = 'upload' AND NOT lost) AS newest_partition_uploaded
+        FROM planned""",
+)
+def publish_manifest_query(spark, sf):
+    """Two objects could not be written: a new and a changed one."""
+    bars = settle(inputs.daily_bars(spark, sf), "bars")
+    local = day_objects(revised(bars)).withColumnRenamed("source_file", "object_key")
+    published = day_objects(bars.filter(F.month("trade_date") != 1))
+    plan = publish_plan(local, published.withColumnRenamed("source_file", "object_key"))
+    made = publish_manifest(plan, "run", False, [(key, "in the way") for key in LOST])
+    return made.drop("finished_at_utc", "failures", "bytes_uploaded")
+
+
+def staged_listing(bars):
+    """A listing of the bars' day files, a hundred bytes a line."""
+    objects = bars.groupBy(inputs.day_file(F.col("trade_date")).alias("source_file"))
+    return objects.agg((F.count("*") * 100).alias("bytes"), F.max(inputs.utc_literal(inputs.FIRST_LOAD)).alias("modified_at"))
+
+
+@query(
+    "stage_summary",
+    f"WITH {BARS} SELECT count(DISTINCT trade_date) AS staged_files, count(*) * 100 AS staged_bytes FROM bars",
+)
+def stage_summary_query(spark, sf):
+    return stage_summary(staged_listing(inputs.daily_bars(spark, sf)))
+
+
+@query(
+    "load_manifest",
+    text(
+        """SELECT 'run' AS run_id, 'load' AS kind, false AS dry_run,
+                  (SELECT count(DISTINCT source_file) FROM loads WHERE loaded_at > TIMESTAMP '2001-12-01 00:00:00')
+                      AS files_processed,
+                  (SELECT count(*) FROM loads WHERE loaded_at > TIMESTAMP '2001-12-01 00:00:00')
+                      AS rows_loaded_this_run,
+                  (SELECT count(*) FROM bars) AS rows_before,
+                  (SELECT count(DISTINCT trade_date) FROM bars) AS staged_files,
+                  (SELECT count(*) * 100 FROM bars) AS staged_bytes,
+                  count(*) AS rows_after, count(DISTINCT price_key) AS distinct_keys_after,
+                  count(DISTINCT source_file) AS files_after, count(DISTINCT ticker) AS tickers_after,
+                  min(trade_date) AS first_day, max(trade_date) AS last_day
+           FROM loads""",
+        "first_day", "last_day", ctes=oracle.LOADS,
+    ),
+)
+def load_manifest_query(spark, sf):
+    """The two later loads as one run."""
+    bars = settle(inputs.daily_bars(spark, sf), "bars")
+    raw = inputs.raw_table(spark, sf)
+    later = raw.filter(F.col("loaded_at") > inputs.utc_literal(inputs.FIRST_LOAD))
+    done = later.agg(F.countDistinct("source_file").alias("files"), F.count("*").alias("rows")).first()
+    loaded = {"files_processed": done["files"], "rows_loaded": done["rows"]}
+    after = table_measure(typed_bars(raw))
+    staged = stage_summary(staged_listing(bars))
+    return load_manifest(bars.count(), after, loaded, staged, "run", False).drop("finished_at_utc")
+
+
 RECEIVED = f"""{BARS}, {REFERENCE}, received AS (
     SELECT * FROM bars WHERE trade_date BETWEEN DATE '2001-11-09' - 730 AND DATE '2001-11-09'
                          AND ticker <> 'Brand#7'
@@ -311,16 +435,20 @@ def trailing_window(spark, sf):
                          OR (day(trade_date) = 8 AND length(ticker) = 7 AND ticker <> 'Brand#7')
                        THEN '2001-12-01T00:00:00+00:00'
                        ELSE CAST(trade_date + 1 AS VARCHAR) || 'T11:00:00+00:00' END AS ingested_at_utc,
-                  (month(trade_date) = 1
+                  (month(trade_date) = 1 OR day(trade_date) = 3
                    OR (day(trade_date) = 8 AND length(ticker) = 7 AND ticker <> 'Brand#7')) AS changed
            FROM bars WHERE NOT (ticker = 'Brand#7' AND month(trade_date) = 1)""",
         "trade_date", ctes=BARS,
     ),
 )
 def upsert_merge(spark, sf):
-    """January is new, the 8ths were revised, Brand#7 was not received at all."""
+    """January is new, the 8ths were revised, the 3rds have repeated lines on disk, and
+    Brand#7 was not received at all."""
     bars = settle(inputs.landed(inputs.daily_bars(spark, sf)), "bars")
-    old = bars.filter(F.month("trade_date") != 1)
+    # Every bar of the 3rds is on disk twice, the first time with another price.
+    copies = F.when(F.dayofmonth("trade_date") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    old = bars.filter(F.month("trade_date") != 1).withColumn("line", F.explode(copies))
+    old = old.withColumn("close", F.col("close") + F.when(F.col("line") == 0, 1.0).otherwise(0.0))
     new = (
         revised(bars.filter(F.col("ticker") != "Brand#7"))
         .withColumn("ingested_at_utc", F.lit("2001-12-01T00:00:00+00:00"))
@@ -329,27 +457,29 @@ def upsert_merge(spark, sf):
     return merge_days(old, new).select(*bars.columns, "changed")
 
 
+CHANGED_SQL = ", ".join(
+    f"CASE day(trade_date) WHEN {2 * i + 1} THEN {name} + 1 WHEN {2 * i + 2} THEN NULL ELSE {name} END AS new_{name}"
+    for i, name in enumerate(BAR_NUMBERS)
+)
+SAME_SQL = " AND ".join(f"{name} IS NOT DISTINCT FROM new_{name}" for name in BAR_NUMBERS)
+
+
 @query(
     "same_bar",
     text(
-        f"""SELECT old.price_key, old.loaded_at AS first_load, new.loaded_at AS later_load,
-                   old.vwap IS NOT DISTINCT FROM new.vwap AS same
-            FROM loads AS old JOIN loads AS new USING (price_key)
-            WHERE old.loaded_at = TIMESTAMP '2001-12-01 00:00:00' AND new.loaded_at > old.loaded_at""",
-        "first_load", "later_load", ctes=oracle.LOADS,
+        f"""SELECT ticker, trade_date, {SAME_SQL} AS same FROM (SELECT *, {CHANGED_SQL} FROM bars)""",
+        "trade_date", ctes=BARS,
     ),
 )
 def same_bar_query(spark, sf):
-    rows = keyed_bars(typed_bars(inputs.raw_table(spark, sf)))
-    bar = F.struct(*BAR_NUMBERS)
-    first = F.col("loaded_at") == fb.utc_literal(inputs.FIRST_LOAD)
-    old = rows.filter(first).select("price_key", F.col("loaded_at").alias("first_load"), bar.alias("old"))
-    new = rows.filter(~first).select("price_key", F.col("loaded_at").alias("later_load"), bar.alias("new"))
-    return old.join(new, "price_key").select(
-        "price_key",
-        "first_load",
-        "later_load",
-        fb.same_bar(F.col("old"), F.col("new"), BAR_NUMBERS).alias("same"),
+    """By the day of the month one of the seven numbers changes, or is lost, or none is."""
+    day = F.dayofmonth("trade_date")
+    changed = [
+        F.when(day == 2 * i + 1, F.col(name) + 1).when(day != 2 * i + 2, F.col(name)).alias(name)
+        for i, name in enumerate(BAR_NUMBERS)
+    ]
+    return inputs.daily_bars(spark, sf).select(
+        "ticker", "trade_date", fb.same_bar(F.struct(*BAR_NUMBERS), F.struct(*changed), BAR_NUMBERS).alias("same")
     )
 
 
