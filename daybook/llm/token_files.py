@@ -13,6 +13,7 @@ gives commits, retries and any file system; the bytes of a shard stand on their
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.words import LOWER, SPACE, partitions, pieces, ready, text_bytes, text_volume
+from daybook.llm.words import (
+    LOWER,
+    SPACE,
+    partitions,
+    pieces,
+    ready,
+    text_bytes,
+    text_volume,
+    word_bounds,
+    word_hashes,
+)
 from daybook.scratch import scratch_path, settle
 
 # The id behind every document, ids of a shard, and bytes of text of a file.
@@ -33,97 +44,139 @@ ROUNDS = 4
 ROUND_RULES = 4000
 LEAST_COUNT = 24
 
-# Words whose ids a worker remembers, and words that one call encodes.
-REMEMBERED = 600_000
+# Words whose ids a worker remembers, slots of the last ones, and words that one call encodes.
+REMEMBERED = 1_000_000
+SLOTS = 1 << 20
 ENCODED_AT_ONCE = 1000
 
 MAGIC = b"RPG1"
 SHARDS = "part int, shard int, doc_ids array<bigint>, lengths array<bigint>, n_ids long, data binary"
-_DOT = np.zeros(256, bool)
-_DOT[[0x2C, 0x2E]] = True
+
+# ASCII signs; an apostrophe is none here, as it may begin the tokenizer's contractions.
+_SIGN = np.zeros(256, bool)
+_SIGN[0x21:0x30] = _SIGN[0x3A:0x41] = _SIGN[0x5B:0x61] = _SIGN[0x7B:0x7F] = True
+_SIGN[0x27] = False
+
+# A word of small Latin letters: one pre-token, whose normal form is itself.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
 _workers: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
     """Encodes texts word by word with a tokenizer that never joins words.
 
-    White space ends a word for this tokenizer, and so does a letter before a full
-    stop or comma that ends a word, so the ids of a text are those of its words.
-    Each distinct word is encoded once while it is remembered. Capitals are lowered
-    first, as the tokenizer does, except where a text may spell a special token.
+    White space ends a word for this tokenizer, and so does a letter before signs that
+    end a word, so the ids of a text are those of its words and signs. Each distinct
+    one is encoded once while it is remembered, found again by its hash. Capitals are lowered first, as the
+    tokenizer does, except where a text may spell a special token.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # How a byte-level vocabulary writes letters beyond ASCII.
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros((1 << 14) + 1, np.int64)
+        # The last word seen in each slot of hashes, which spares most look-ups.
+        self.slot_hash = np.zeros(SLOTS, np.uint64)
+        self.slot_code = np.full(SLOTS, -1, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""
-        data, offsets = text_bytes(texts)
-        words, counts = _split(data, offsets)
         if len(self.known) > REMEMBERED:
             self._forget()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        for k in range(0, len(new), ENCODED_AT_ONCE):
-            self._learn(new[k : k + ENCODED_AT_ONCE])
-        codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        sizes = self.ends[codes + 1] - self.ends[codes]
-        at = np.cumsum(sizes) - sizes
-        total = int(sizes.sum())
-        ids = self.flat[np.repeat(self.ends[codes] - at, sizes) + np.arange(total)]
+        data, starts, ends, bounds = _split(*text_bytes(texts))
+        hashes = word_hashes(data, starts, ends)
+        slots = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        codes = np.where(self.slot_hash[slots] == hashes, self.slot_code[slots], -1)
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            distinct, first, place = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            raw = data.tobytes()
+            at = missing[first]
+            words = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            self._learn([w for w in words if w not in self.known])
+            found = np.array([self.known[w] for w in words], np.int64)
+            codes[missing] = found[place]
+            self.slot_hash[slots[at]], self.slot_code[slots[at]] = distinct, found
+        begins = self.ends[codes]
+        sizes = self.ends[codes + 1] - begins
         before = np.r_[0, np.cumsum(sizes)]
-        edges = np.r_[0, np.cumsum(counts)]
-        return ids, np.diff(before[edges])
+        steps = np.arange(before[-1], dtype=np.int32)
+        ids = self.flat[np.repeat((begins - before[:-1]).astype(np.int32), sizes) + steps]
+        return ids, np.diff(before[bounds])
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode words as one text, and tell their ids apart by where these begin."""
-        texts = [w.decode() for w in words]
-        starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        begins = np.array([a for a, _ in found.offsets], np.int64)
-        word = np.searchsorted(starts, begins, "right") - 1
+        """Encode words that are not known yet and remember their ids.
+
+        Words of small Latin letters go straight to the model, which is faster; others
+        are encoded as one text and told apart by where their tokens begin.
+        """
+        plain, others = [], []
+        for word in words:
+            text = word.decode().lower()
+            if PLAIN.fullmatch(text):
+                plain.append((word, text if text.isascii() else text.translate(self.letters)))
+            else:
+                others.append(word)
+        found = [[token.id for token in self.model.tokenize(text)] for _, text in plain]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._remember([word for word, _ in plain], [x for ids in found for x in ids], sizes)
+        for at in range(0, len(others), ENCODED_AT_ONCE):
+            part = others[at : at + ENCODED_AT_ONCE]
+            texts = [word.decode() for word in part]
+            made = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+            begins = np.array([a for a, _ in made.offsets], np.int64)
+            word = np.searchsorted(starts, begins, "right") - 1
+            self._remember(part, made.ids, np.bincount(word, minlength=len(part)))
+
+    def _remember(self, words: list[bytes], ids: list[int], sizes: np.ndarray) -> None:
+        if not words:
+            return
         first = len(self.known)
-        used = int(self.ends[first])
-        ends = used + np.cumsum(np.bincount(word, minlength=len(texts)))
+        ends = int(self.ends[first]) + np.cumsum(sizes)
         while len(self.flat) < ends[-1]:
             self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
-        while len(self.ends) < first + len(texts) + 1:
+        while len(self.ends) < first + len(words) + 1:
             self.ends = np.r_[self.ends, np.zeros_like(self.ends)]
-        self.flat[used : ends[-1]] = found.ids
-        self.ends[first + 1 : first + len(texts) + 1] = ends
-        self.known.update(zip(words, range(first, first + len(texts)), strict=True))
+        self.flat[self.ends[first] : ends[-1]] = ids
+        self.ends[first + 1 : first + len(words) + 1] = ends
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
 
 
-def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Words of all texts, and how many each text has."""
-    raw = data.tobytes()
-    if b"<|" not in raw:
+def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The texts in small letters, (start, end) of their words, and each text's first word."""
+    edges = offsets
+    if b"<|" not in data.tobytes():
         data = LOWER[data]
-        behind = np.zeros(len(data), bool)
-        behind[:-1] = SPACE[data[1:]]
-        behind[offsets[1:][offsets[1:] > 0] - 1] = True
-        letter = np.zeros(len(data), bool)
-        letter[1:] = (data[:-1] >= 0x61) & (data[:-1] <= 0x7A)
-        letter[offsets[:-1][offsets[:-1] < len(data)]] = False
-        at = np.flatnonzero(_DOT[data] & behind & letter)
-        raw = np.insert(data, at, 0x20).tobytes()
-        offsets = offsets + np.searchsorted(at, offsets)
-    words: list[bytes] = []
-    counts = np.zeros(len(offsets) - 1, np.int64)
-    for k in range(len(counts)):
-        own = raw[offsets[k] : offsets[k + 1]].split()
-        counts[k] = len(own)
-        words += own
-    return words, counts
+        sign = _SIGN[data]
+        letter = (data >= 0x61) & (data <= 0x7A)
+        # The second byte of a letter from U+00C0 to U+00FF; two signs lie among these.
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        begins = sign.copy()
+        begins[1:] &= letter[:-1]
+        begins[:1] = False
+        begins[offsets[:-1][offsets[:-1] < len(data)]] = False
+        at = np.flatnonzero(begins)
+        # Where the signs behind a letter end: at white space, or with the text.
+        others = np.r_[np.flatnonzero(~sign), len(data)]
+        ends = others[np.searchsorted(others, at)]
+        last = offsets[np.searchsorted(offsets, at, "right")]
+        white = np.r_[SPACE[data], True]
+        edges = np.sort(np.concatenate([offsets, at[(ends >= last) | white[ends]]]))
+    starts, ends, _ = word_bounds(data, edges)
+    return data, starts, ends, np.searchsorted(starts, offsets)
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -180,13 +233,13 @@ def _frequent(sequence: np.ndarray, closed: np.ndarray) -> np.ndarray:
 def _replaced(sequence: np.ndarray, closed: np.ndarray, pairs: np.ndarray, fresh: int) -> np.ndarray:
     """The sequence with the pairs replaced where the more frequent neighbours leave room."""
     bits = np.uint32(12)
-    slots = np.full(1 << 20, -1, np.int32)
+    slots = np.full(1 << 20, -1, np.int16)
     # Where two pairs share a slot, the more frequent has it in this round.
     slots[(_hashed(pairs[::-1, 0], pairs[::-1, 1]) >> bits).astype(np.int64)] = np.arange(len(pairs))[::-1]
     left, right = sequence[:-1], sequence[1:]
     rank = slots[(_hashed(left, right) >> bits).astype(np.int64)]
     at = np.flatnonzero((rank >= 0) & ~closed[left])
-    rank = rank[at]
+    rank = rank[at].astype(np.int64)
     real = (pairs[rank, 0] == left[at]) & (pairs[rank, 1] == right[at])
     at, rank = at[real], rank[real]
     # A run of overlapping hits is settled by rank; of equal neighbours the first wins.
@@ -218,6 +271,7 @@ class Shard:
         sizes = np.ones(len(symbols), np.int64)
         sizes[rule] = self.lengths[symbols[rule] - self.first_rule]
         self.ends = np.cumsum(sizes)
+        self.places: np.ndarray | None = None
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """The ids from ``start`` to ``stop``; only symbols that reach into them are expanded."""
@@ -227,17 +281,27 @@ class Shard:
         a = int(np.searchsorted(self.ends, start, "right"))
         b = int(np.searchsorted(self.ends, stop, "left")) + 1
         skipped = int(self.ends[a - 1]) if a else 0
-        out = self.sequence[a:b].astype(np.uint32)
-        while True:
-            rule = out >= self.first_rule
-            if not rule.any():
-                return out[start - skipped : stop - skipped]
-            at = np.cumsum(1 + rule) - 1 - rule
-            grown = np.empty(int(len(out) + rule.sum()), np.uint32)
-            grown[at[~rule]] = out[~rule]
-            both = self.rules[out[rule] - self.first_rule]
-            grown[at[rule]], grown[at[rule] + 1] = both[:, 0], both[:, 1]
-            out = grown
+        symbols = self.sequence[a:b].astype(np.int64)
+        sizes = np.diff(self.ends[a:b], prepend=skipped)
+        at = self._places()[symbols]
+        before = np.cumsum(sizes) - sizes
+        out = self.pool[np.repeat(at - before, sizes) + np.arange(int(sizes.sum()))]
+        return out[start - skipped : stop - skipped]
+
+    def _places(self) -> np.ndarray:
+        """Where each symbol's expansion begins in ``pool``, which holds them one by one."""
+        if self.places is None:
+            expanded = [self.first_rule + np.cumsum(self.lengths, dtype=np.int64) - self.lengths]
+            self.places = np.concatenate([np.arange(self.first_rule), *expanded]).astype(np.int64)
+            size = self.first_rule + int(self.lengths.sum())
+            self.pool = np.arange(size, dtype=np.uint32)
+            places, pool = self.places.tolist(), self.pool
+            whole = [1] * self.first_rule + self.lengths.tolist()
+            for k, (left, right) in enumerate(self.rules.tolist(), self.first_rule):
+                at, cut = places[k], places[k] + whole[left]
+                pool[at:cut] = pool[places[left] : places[left] + whole[left]]
+                pool[cut : at + whole[k]] = pool[places[right] : places[right] + whole[right]]
+        return self.places
 
 
 def write_tokens(
