@@ -10,7 +10,7 @@ from daybook.llm.toxicity import Model, automaton, fold, learn, score, strength
 
 @pytest.fixture(scope="module")
 def small(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     model = learn(docs, labels)
     return model, docs, labels
@@ -22,9 +22,9 @@ def test_held_out_accuracy(small):
     model, docs, labels = small
     rows = [r for r in score(docs, model).join(labels, "doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     toxic, clean = [r for r in rows if r.toxic], [r for r in rows if not r.toxic]
-    assert len(toxic) >= 5
+    assert len(toxic) >= 50
     pairs = [(a.score > b.score) + (a.score == b.score) / 2 for a in toxic for b in clean]
-    assert sum(pairs) / len(pairs) >= 0.8
+    assert sum(pairs) / len(pairs) >= 0.9
     assert sum(r.predicted for r in clean) / len(clean) <= 0.02
     assert sum(r.predicted == r.toxic for r in rows) / len(rows) >= 0.95
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
