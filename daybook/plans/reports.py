@@ -58,13 +58,18 @@ def ticker_history(rows: DataFrame, ticker: str) -> DataFrame:
 def latest_rows(rows: DataFrame) -> DataFrame:
     """The newest row of every ticker, by aggregation rather than by ranking.
 
-    The remaining columns decide between copies, the same way in every run.
+    The newest day of a ticker is hashed, not sorted; only the rows of that day are
+    then ordered by the remaining columns, which decide between copies the same way in
+    every run. Rows without a ticker or a day are no candidates.
     """
+    days = rows.groupBy("ticker").agg(F.max("trade_date").alias("newest"))
+    newest = (F.col("rows.ticker") == F.col("days.ticker")) & (F.col("trade_date") == F.col("newest"))
+    top = rows.alias("rows").join(days.alias("days"), newest, "left_semi")
     others = [c for c in rows.columns if c != "ticker"]
     first = ["trade_date", "loaded_at"]
     order = F.struct(*first, *[c for c in others if c not in first])
-    newest = rows.groupBy("ticker").agg(F.max_by(F.struct(*others), order).alias("row"))
-    return newest.select("ticker", "row.*")
+    chosen = top.groupBy("ticker").agg(F.max_by(F.struct(*others), order).alias("row"))
+    return chosen.select("ticker", "row.*")
 
 
 def tiles_text(latest: DataFrame) -> DataFrame:

@@ -86,3 +86,11 @@ def test_hot_series_is_spread_over_tasks(spark, staged):
     measured = sliced_measures(one, one.count(), 300)
     assert "hashpartitioning(ticker" in plan(measured) and "slice" in plan(measured)
     assert measured.count() == staged.count()
+
+
+def test_newest_rows_sort_only_what_is_newest(staged):
+    """The aggregate next to the scan of all rows is a hash aggregate."""
+    text = plan(reports.latest_rows(staged))
+    below = [part for part in text.split("FileScan")[:-1]]
+    assert "SortAggregate" not in below[-1].split("Join")[-1]
+    assert "HashAggregate" in text
