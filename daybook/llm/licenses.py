@@ -1,10 +1,11 @@
 """License scan by a positional rare-token index, in DataFrame operations only.
 
-Licence notices are templates. A file's licence words are ranked by inverse
-document frequency over all documents, and only the highest are looked up in the
-index of template words and positions. Hits of one template agree when position in
-the file minus position in the template is the same; where enough rare words agree,
-the template's key phrase must stand at its place.
+Licence notices are templates, indexed by words and positions. The words of each
+template's key phrase are ranked by inverse document frequency over all documents, and
+only the rarest are looked up in a file. Hits of one template agree when position in
+the file minus position in the template is the same; where all of them agree, the
+whole key phrase must stand at its place. As the phrase is mandatory, its rarest words
+lose no place where it stands, however many other licence words a file has.
 
 A file can only match where it has all words of some key or base phrase, so the
 others never leave the first pass with more than their licence words.
@@ -23,8 +24,7 @@ from daybook.scratch import settle
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Licence words of a file that are looked up, and how many must agree on a place.
-RARE_WORDS = 8
+# Rarest words of a key phrase that are looked up and must agree on a place.
 AGREE = 2
 
 # Base phrases and their labels.
@@ -166,17 +166,18 @@ def _matches(scanned: DataFrame, likely: DataFrame, templates: tuple) -> DataFra
     seen = scanned.select(F.explode("present").alias("word")).groupBy("word").agg(F.count("*").alias("files"))
     rarity = seen.select("word", F.log(F.lit(scanned.count() + 1) / (F.col("files") + 1)).alias("idf"))
 
+    order = Window.partitionBy("template").orderBy(F.col("idf").desc_nulls_first(), "at")
+    ranked = index.filter("is_key").join(rarity, "word", "left").withColumn("rank", F.row_number().over(order))
+    rare = settle(ranked.filter(F.col("rank") <= AGREE).select("template", "at", "word"), "rare")
+
     vocabulary = sorted({word for _, _, _, word, _ in postings})
     spots = likely.select("row", F.posexplode("words").alias("pos", "word")).filter(F.col("word").isin(vocabulary))
     spots = settle(spots, "spots")
-    ranked = likely.select("row", F.explode("present").alias("word")).join(rarity, "word")
-    order = Window.partitionBy("row").orderBy(F.col("idf").desc(), "word")
-    rare = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= RARE_WORDS)
-    looked_up = spots.join(rare.select("row", "word"), ["row", "word"], "left_semi")
 
     start = F.col("pos") - F.col("at")
-    votes = looked_up.join(index, "word").groupBy("row", "template", start.alias("start"))
-    agreed = votes.agg(F.count("*").alias("votes")).filter(F.col("votes") >= AGREE)
+    votes = spots.join(rare, "word").groupBy("row", "template", start.alias("start")).agg(F.count("*").alias("votes"))
+    agreed = votes.join(sizes, "template").filter(F.col("votes") >= F.least(F.lit(AGREE), "n_key"))
+    agreed = agreed.select("row", "template", "start")
     expected = agreed.join(index, "template").withColumn("pos", F.col("start") + F.col("at"))
     standing = expected.join(spots, ["row", "pos", "word"]).groupBy("row", "template", "start", "label")
     standing = standing.agg(

@@ -72,6 +72,20 @@ def test_key_phrase_is_mandatory_and_order_counts(spark):
     assert got[4].base_labels == "cc-by,gpl,reserved"
 
 
+def test_several_notices_in_one_long_text(spark):
+    plain = [prose(k, 40) + " person charge software forms foundation" for k in range(40)]
+    pairs = [(a, b) for a in range(len(TEMPLATES)) for b in range(len(TEMPLATES)) if a != b]
+    texts = [f"{plain[a]} {TEMPLATES[a][1]}. {plain[b]} {TEMPLATES[b][1]}." for a, b in pairs]
+    texts.append(" ; ".join(f"{prose(k, 30)} {notice}" for k, (_, notice, _) in enumerate(TEMPLATES)))
+    got = check(documents(spark, list(enumerate(texts + plain))))
+    for k, text in enumerate(texts + plain):
+        words, want = lowered_words(text), set()
+        for n, (_, notice, key) in enumerate(TEMPLATES):
+            before = len(notice.split(key)[0].split())
+            want |= {(n, at - before) for at in places(words, key)}
+        assert {tuple(t) for t in got[k].templates or []} == want
+
+
 def test_odd_rows(spark):
     check(documents(spark, odd_rows(), clashes=True))
     assert scan_licenses(documents(spark, [])).collect() == []
