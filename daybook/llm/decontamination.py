@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become templates: numbers, names and units behind numbers turn into typed
-placeholders, so a question keeps its template when its values are changed. Windows
-of templates are joined by hash. Windows that meet at the same offset belong to one
+placeholders, so a question keeps its template when its values are changed. As names
+are told by capitals, which a copy may not keep, every text is read a second time in
+small letters and without names. Windows of templates are joined by hash. Windows that meet at the same offset belong to one
 alignment, and an alignment counts only if its slots are consistent: the same value
 in the item must always be the same value in the document, and the other way round.
 
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +57,10 @@ UNITS = (
     "degrees mph kmh"
 ).split()
 
-WINDOWS = "hash long, pos int, width int, n_words int, slots array<bigint>"
+WINDOWS = "hash long, pos int, width int, kind int, n_words int, slots array<bigint>"
+
+# Readings of a text: with names as placeholders, and in small letters without names.
+NAMED, FOLDED = 0, 1
 
 _WORD = np.zeros(256, bool)
 _WORD[0x30:0x3A] = _WORD[0x41:0x5B] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
@@ -77,50 +82,18 @@ def _unit_hashes() -> np.ndarray:
 
 
 class Templates:
-    """The template words of many texts.
+    """The template words of many texts in one reading.
 
     ``words`` holds hashes of literal words in small letters or placeholders, ``slot``
     marks placeholders, ``values`` are hashes of what stands in them, and ``bounds``
     the index of each text's first word. A word is a run of letters and digits with
     points or commas between digits. A number begins with a digit, a unit is a unit's
-    word behind a number, and a name is a run of capitalised words inside a sentence.
+    word behind a number, and a name is a run of capitalised words inside a sentence,
+    which only the reading ``NAMED`` has.
     """
 
-    def __init__(self, texts: pa.Array):
-        data, offsets = text_bytes(texts)
-        word = _WORD[data]
-        if len(data) > 2:
-            word[1:-1] |= _POINT[data[1:-1]] & _DIGIT[data[:-2]] & _DIGIT[data[2:]]
-        starts, ends, bounds = word_bounds(data, offsets, word)
-        values = word_hashes(LOWER[data], starts, ends)
-        opens = np.zeros(len(starts) + 1, bool)
-        opens[bounds] = True
-        opens = opens[:-1]
-        stops = np.r_[0, np.cumsum(_STOP[data] & ~word)]
-        if len(starts):
-            opens[1:] |= stops[starts[1:]] > stops[ends[:-1]]
-        number = _DIGIT[data[starts]]
-        second = data[np.minimum(starts + 1, max(len(data) - 1, 0))] if len(starts) else data[:0]
-        capital = _CAPITAL[data[starts]] | ((data[starts] == 0xC3) & (second < 0x9F))
-        name = capital & ~opens & ~number
-        unit = np.zeros(len(starts), bool)
-        if len(starts):
-            fresh = np.zeros(len(starts) + 1, bool)
-            fresh[bounds] = True
-            units = _unit_hashes()
-            place = np.minimum(np.searchsorted(units, values), len(units) - 1)
-            unit[1:] = (units[place[1:]] == values[1:]) & number[:-1] & ~fresh[1:-1]
-        name &= ~unit
-        words = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, values)))
-        follows = np.zeros(len(starts), bool)
-        follows[1:] = name[1:] & name[:-1]
-        # A name of several words is one slot, its value that of all its words.
-        first = np.flatnonzero(~follows)
-        if len(first):
-            values = mix(np.add.reduceat(values * np.uint64(3), first))
-        self.words, self.values = words[first], values
-        self.slot = (number | name | unit)[first]
-        self.bounds = np.searchsorted(first, bounds)
+    def __init__(self, kind: int, words: np.ndarray, values: np.ndarray, slot: np.ndarray, bounds: np.ndarray):
+        self.kind, self.words, self.values, self.slot, self.bounds = kind, words, values, slot, bounds
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of the windows inside one text with enough literal words."""
@@ -141,6 +114,59 @@ class Templates:
         return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(values))
 
 
+def _small(texts: pa.Array) -> pa.Array:
+    """Texts in small letters, beyond ASCII too unless a text is no valid UTF-8."""
+    try:
+        return pc.utf8_lower(texts)
+    except pa.ArrowInvalid:
+        return texts
+
+
+def readings(texts: pa.Array) -> list[Templates]:
+    """Both readings of many texts."""
+    data, offsets = text_bytes(texts)
+    word = _WORD[data]
+    if len(data) > 2:
+        word[1:-1] |= _POINT[data[1:-1]] & _DIGIT[data[:-2]] & _DIGIT[data[2:]]
+    starts, ends, bounds = word_bounds(data, offsets, word)
+    # Small letters are word bytes where their capitals are, so the words stay the same.
+    small, small_offsets = text_bytes(_small(texts))
+    small = LOWER[small]
+    small_word = _WORD[small]
+    if len(small) > 2:
+        small_word[1:-1] |= _POINT[small[1:-1]] & _DIGIT[small[:-2]] & _DIGIT[small[2:]]
+    values = word_hashes(small, *word_bounds(small, small_offsets, small_word)[:2])
+    opens = np.zeros(len(starts) + 1, bool)
+    opens[bounds] = True
+    opens = opens[:-1]
+    stops = np.r_[0, np.cumsum(_STOP[data] & ~word)]
+    if len(starts):
+        opens[1:] |= stops[starts[1:]] > stops[ends[:-1]]
+    number = _DIGIT[data[starts]]
+    second = data[np.minimum(starts + 1, max(len(data) - 1, 0))] if len(starts) else data[:0]
+    capital = _CAPITAL[data[starts]] | ((data[starts] == 0xC3) & (second < 0x9F))
+    name = capital & ~opens & ~number
+    unit = np.zeros(len(starts), bool)
+    if len(starts):
+        fresh = np.zeros(len(starts) + 1, bool)
+        fresh[bounds] = True
+        units = _unit_hashes()
+        place = np.minimum(np.searchsorted(units, values), len(units) - 1)
+        unit[1:] = (units[place[1:]] == values[1:]) & number[:-1] & ~fresh[1:-1]
+    name &= ~unit
+    plain = np.where(number, NUMBER, np.where(unit, UNIT, values))
+    folded = Templates(FOLDED, plain, values, number | unit, bounds)
+    words = np.where(name, NAME, plain)
+    follows = np.zeros(len(starts), bool)
+    follows[1:] = name[1:] & name[:-1]
+    # A name of several words is one slot, its value that of all its words.
+    first = np.flatnonzero(~follows)
+    if len(first):
+        values = mix(np.add.reduceat(values * np.uint64(3), first))
+    slot = (number | name | unit)[first]
+    return [Templates(NAMED, words[first], values, slot, np.searchsorted(first, bounds)), folded]
+
+
 def _rows(templates: Templates, at: np.ndarray, hashes: np.ndarray, width: int, keys: list, names: list):
     """A record batch of windows, with the given columns of their texts in front."""
     text = np.searchsorted(templates.bounds, at, "right") - 1
@@ -150,6 +176,7 @@ def _rows(templates: Templates, at: np.ndarray, hashes: np.ndarray, width: int,
         pa.array(hashes.view(np.int64)),
         pa.array(at - templates.bounds[text], pa.int32()),
         pa.array(np.full(len(at), width), pa.int32()),
+        pa.array(np.full(len(at), templates.kind), pa.int32()),
         pa.array(sizes[text], pa.int32()),
         templates.slots(at, width),
     ]
@@ -166,13 +193,13 @@ def index_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            templates = Templates(batch.column("text"))
-            sizes = np.diff(templates.bounds)
-            for width in range(SHORTEST, WINDOW + 1):
-                at, hashes = templates.windows(width)
-                own = sizes[np.searchsorted(templates.bounds, at, "right") - 1]
-                fit = (own == width) if width < WINDOW else np.ones(len(at), bool)
-                yield _rows(templates, at[fit], hashes[fit], width, [batch.column("item_id")], ["item_id"])
+            for templates in readings(batch.column("text")):
+                sizes = np.diff(templates.bounds)
+                for width in range(SHORTEST, WINDOW + 1):
+                    at, hashes = templates.windows(width)
+                    own = sizes[np.searchsorted(templates.bounds, at, "right") - 1]
+                    fit = (own == width) if width < WINDOW else np.ones(len(at), bool)
+                    yield _rows(templates, at[fit], hashes[fit], width, [batch.column("item_id")], ["item_id"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
     return settle(rows.mapInArrow(run, f"item_id long, {WINDOWS}"), "windows")
@@ -189,21 +216,22 @@ def _hits(docs: DataFrame, index: DataFrame, id_col: str, text_col: str) -> Data
     blocks = max(1, -(-index.count() // BLOCK_WINDOWS))
     found = None
     for block in range(blocks):
-        part = index.filter(F.pmod("hash", F.lit(blocks)) == block).select("hash", "width").distinct()
+        part = index.filter(F.pmod("hash", F.lit(blocks)) == block).select("hash", "width", "kind").distinct()
         wanted = {}
-        for r in part.groupBy("width").agg(F.collect_list("hash").alias("hashes")).collect():
-            wanted[r["width"]] = np.sort(np.array(r["hashes"], np.int64).view(np.uint64))
+        for r in part.groupBy("kind", "width").agg(F.collect_list("hash").alias("hashes")).collect():
+            wanted[r["kind"], r["width"]] = np.sort(np.array(r["hashes"], np.int64).view(np.uint64))
         sent = spark.sparkContext.broadcast(wanted)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            filters = {width: _filter(hashes) for width, hashes in sent.value.items()}
+            filters = {key: _filter(hashes) for key, hashes in sent.value.items()}
             for batch in batches:
                 for piece in pieces(batch, "text"):
-                    templates = Templates(piece.column("text"))
+                    both = {templates.kind: templates for templates in readings(piece.column("text"))}
                     keys = [piece.column("doc_id"), piece.column("text_hash")]
-                    for width, hashes in sent.value.items():
+                    for (kind, width), hashes in sent.value.items():
+                        templates = both[kind]
                         at, own = templates.windows(width)
-                        maybe = filters[width][(own & np.uint64(0xFFFFF)).astype(np.int64)]
+                        maybe = filters[kind, width][(own & np.uint64(0xFFFFF)).astype(np.int64)]
                         at, own = at[maybe], own[maybe]
                         place = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
                         real = hashes[place] == own
@@ -256,7 +284,7 @@ def contaminations(
     """(doc_id, text_hash, item_id, words, share, changed) of contaminated documents.
 
     One row for each item found in a document by a run of 13 template words or by 0.8
-    of the item's words; ``words`` is the longest run, ``share`` the part of the item
+    of the item's words, in either reading; ``words`` is the longest run, ``share`` the part of the item
     found, ``changed`` whether slots hold other values. ``text_hash`` is Spark's
     ``xxhash64`` of the text, which tells rows with equal or null ids apart.
     """
@@ -266,18 +294,19 @@ def contaminations(
     known = index.select(
         "hash",
         "width",
+        "kind",
         "item_id",
         F.col("n_words").alias("item_words"),
         F.col("pos").alias("at"),
         F.col("slots").alias("item_slots"),
     )
-    met = hits.join(known, ["hash", "width"])
+    met = hits.join(known, ["hash", "width", "kind"])
     pairs = F.transform(
         F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
         lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc")),
     )
     groups = met.withColumn("pairs", pairs).groupBy(
-        "doc_id", "text_hash", "item_id", "item_words", "width", (F.col("pos") - F.col("at")).alias("offset")
+        "doc_id", "text_hash", "item_id", "item_words", "width", "kind", (F.col("pos") - F.col("at")).alias("offset")
     )
     aligned = groups.agg(
         F.array_sort(F.collect_set("at")).alias("at"),

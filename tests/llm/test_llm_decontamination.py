@@ -46,6 +46,16 @@ def test_reparameterised_items_are_found(spark):
     assert got[0].share == 1.0
 
 
+def test_other_capitals_are_found(spark):
+    other = ITEM.replace("60", "85").replace("3", "7").replace("Anna Smith", "Bob")
+    title, long = "Who Wrote The Book About Élan And Über Alles", prose(9, 40)
+    texts = [f"{prose(1)}\n{t}\n{prose(2)}" for t in (ITEM.upper(), ITEM.title(), other.upper(), ITEM.lower())]
+    texts += [title.lower(), title.upper(), long.upper(), prose(3).upper()]
+    got = verdicts(spark, texts, [(5, ITEM), (6, title), (7, long.title())])
+    assert [got[k].items for k in range(8)] == [[5], [5], [5], [5], [6], [6], [7], []]
+    assert [got[k].changed for k in (0, 2)] == [False, True]
+
+
 def test_short_items_and_partial_passages(spark):
     short, long = "what is the capital here", prose(9, 60)
     parts = long.split()
