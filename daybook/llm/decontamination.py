@@ -35,11 +35,13 @@ from daybook.llm.words import (
 )
 from daybook.scratch import settle
 
-# Words of a template window, and the least of them that are no placeholders.
+# Words of a template window, and the least of them that are no placeholders; with
+# fewer, the reading in small letters takes the values themselves for the window.
 WINDOW = 8
 LEAST_LITERAL = 0.5
 
-# Shortest window that stands for an item with fewer words than a window.
+# Shortest window of placeholders that stands for an item with fewer words than a
+# window; still shorter items are found by their values.
 SHORTEST = 4
 
 # A document is contaminated by a run of so many words, or this share of an item.
@@ -57,11 +59,14 @@ UNITS = (
     "degrees mph kmh"
 ).split()
 
-WINDOWS = "hash long, pos int, width int, kind int, n_words int, slots array<bigint>"
+WINDOWS = "hash long, pos int, width int, kind int, n_words int, bare boolean, slots array<bigint>"
 
 # Readings of a text: with names as placeholders, and in small letters without names.
 NAMED, FOLDED = 0, 1
 
+# Seed of the hashes of values, apart from those of templates.
+VERBATIM = 1000
+
 _WORD = np.zeros(256, bool)
 _WORD[0x30:0x3A] = _WORD[0x41:0x5B] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
 _DIGIT = np.zeros(256, bool)
@@ -96,13 +101,32 @@ class Templates:
         self.kind, self.words, self.values, self.slot, self.bounds = kind, words, values, slot, bounds
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, hash) of the windows inside one text with enough literal words."""
+        """(first word, hash) of the windows inside one text.
+
+        Windows with too few literal words are left out of the reading with names; in
+        the other their hash is that of their values, so only verbatim copies have it.
+        """
         hashes = window_hashes(self.words, width, width)
-        slots = np.r_[0, np.cumsum(self.slot)]
-        enough = (slots[width:] - slots[:-width])[: len(hashes)] <= width * (1 - LEAST_LITERAL)
-        at = np.flatnonzero(inside_one_text(self.bounds, width) & enough)
+        inside = inside_one_text(self.bounds, width)
+        dense = self._filled(width) > width * (1 - LEAST_LITERAL)
+        if width < SHORTEST:
+            dense[:] = True
+        if self.kind == NAMED:
+            inside &= ~dense
+        elif (inside & dense).any():
+            hashes = np.where(dense, window_hashes(self.values, width, VERBATIM + width), hashes)
+        at = np.flatnonzero(inside)
         return at, hashes[at]
 
+    def bare(self, at: np.ndarray, width: int) -> np.ndarray:
+        """Whether a window has no literal word at all."""
+        return self._filled(width)[at] == width
+
+    def _filled(self, width: int) -> np.ndarray:
+        """Placeholders of every window."""
+        slots = np.r_[0, np.cumsum(self.slot)]
+        return (slots[width:] - slots[:-width])[: max(0, len(self.slot) - width + 1)]
+
     def slots(self, at: np.ndarray, width: int) -> pa.Array:
         """The values in the slots of each window."""
         where = np.flatnonzero(self.slot)
@@ -178,6 +202,7 @@ def _rows(templates: Templates, at: np.ndarray, hashes: np.ndarray, width: int,
         pa.array(np.full(len(at), width), pa.int32()),
         pa.array(np.full(len(at), templates.kind), pa.int32()),
         pa.array(sizes[text], pa.int32()),
+        pa.array(templates.bare(at, width)),
         templates.slots(at, width),
     ]
     return pa.RecordBatch.from_arrays(columns, [*names, *(c.split()[0] for c in WINDOWS.split(", "))])
@@ -187,7 +212,8 @@ def index_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "te
     """All template windows of a benchmark's items, written as a table.
 
     An item with fewer words than a window is one window of all its words, from four
-    words on; shorter and null items cannot be found.
+    words on. Shorter ones are found by their values, and null items, or items without
+    words, cannot be found.
     """
     ready(items.sparkSession)
 
@@ -195,7 +221,7 @@ def index_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "te
         for batch in batches:
             for templates in readings(batch.column("text")):
                 sizes = np.diff(templates.bounds)
-                for width in range(SHORTEST, WINDOW + 1):
+                for width in range(1 if templates.kind == FOLDED else SHORTEST, WINDOW + 1):
                     at, hashes = templates.windows(width)
                     own = sizes[np.searchsorted(templates.bounds, at, "right") - 1]
                     fit = (own == width) if width < WINDOW else np.ones(len(at), bool)
@@ -284,7 +310,9 @@ def contaminations(
     """(doc_id, text_hash, item_id, words, share, changed) of contaminated documents.
 
     One row for each item found in a document by a run of 13 template words or by 0.8
-    of the item's words, in either reading; ``words`` is the longest run, ``share`` the part of the item
+    of the item's words, in either reading. Where placeholders leave too few words, their
+    values must stand as they are, and numbers alone count beside words only, or where
+    they are the whole item; ``words`` is the longest run, ``share`` the part of the item
     found, ``changed`` whether slots hold other values. ``text_hash`` is Spark's
     ``xxhash64`` of the text, which tells rows with equal or null ids apart.
     """
@@ -311,7 +339,11 @@ def contaminations(
     aligned = groups.agg(
         F.array_sort(F.collect_set("at")).alias("at"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        F.bool_and("bare").alias("bare"),
     )
+    # Numbers alone run alike in many texts, so without any word the item must be whole.
+    whole = _covered(F.col("at"), F.col("width")) == F.col("item_words")
+    aligned = aligned.filter(~F.col("bare") | whole)
     one_way = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
     other_way = F.size(F.array_distinct(F.transform("pairs", lambda p: p["doc"])))
     consistent = aligned.filter((F.size("pairs") == one_way) & (F.size("pairs") == other_way))

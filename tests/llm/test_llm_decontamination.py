@@ -56,6 +56,21 @@ def test_other_capitals_are_found(spark):
     assert [got[k].changed for k in (0, 2)] == [False, True]
 
 
+def test_verbatim_copies_of_dense_items_are_found(spark):
+    sums = "Compute 12 + 30 * 45 - 7 + 9 * 16"
+    table = " ".join(f"{k * k} km {k + 3}" for k in range(20))
+    names = "Teams: Ann Lee, Bob Ray, Cid Poe, Dan Fox, Eve Kay, Flo Day, Gus Orr"
+    mixed = f"{prose(50, 7)} {' '.join(str(k * 7) for k in range(20))} {prose(51, 7)}"
+    bench = [sums, table, names, mixed, "Sum 12 13"]
+    texts = [f"{prose(k)}. {t}\n{prose(k + 99)}" for k, t in enumerate(bench)]
+    other = [sums.replace("12", "13"), table.replace("9", "8"), names.replace("Ann", "Joe Joe"), "Sum 12 14"]
+    texts += [f"{prose(k)}. {t}\n{prose(k + 99)}" for k, t in enumerate(other)]
+    got = verdicts(spark, texts, list(enumerate(bench)))
+    assert [got[k].items for k in range(5)] == [[0], [1], [2], [3], [4]]
+    assert [got[k].share for k in range(5)] == [1.0] * 5
+    assert [got[k].items for k in (5, 6, 8)] == [[], [], []]
+
+
 def test_short_items_and_partial_passages(spark):
     short, long = "what is the capital here", prose(9, 60)
     parts = long.split()
