@@ -5,7 +5,9 @@ placeholders, so a question keeps its template when its values are changed. As n
 are told by capitals, which a copy may not keep, every text is read a second time in
 small letters and without names. Windows of templates are joined by hash. Windows that meet at the same offset belong to one
 alignment, and an alignment counts only if its slots are consistent: the same value
-in the item must always be the same value in the document, and the other way round.
+in the item must always be the same value in the document. Of the others only long
+passages with the same values count. An item's share is taken over the union of its
+alignments in a document.
 
 Every window of every document is hashed where the document is read. Only the window
 hashes of the benchmark travel to the tasks, in blocks of bounded size, and only
@@ -48,6 +50,9 @@ SHORTEST = 4
 RUN = 13
 SHARE = 0.8
 
+# A run of so many words with the same values counts, whatever stands behind it.
+SAME_RUN = 50
+
 # Window hashes of the benchmark that tasks hold at a time.
 BLOCK_WINDOWS = 1 << 20
 
@@ -313,7 +318,8 @@ def contaminations(
     of the item's words, in either reading. Where placeholders leave too few words, their
     values must stand as they are, and numbers alone count beside words only, or where
     they are the whole item; ``words`` is the longest run, ``share`` the part of the item
-    found, ``changed`` whether slots hold other values. ``text_hash`` is Spark's
+    found at all its places together, ``changed`` whether slots of the place with the
+    longest run hold other values. ``text_hash`` is Spark's
     ``xxhash64`` of the text, which tells rows with equal or null ids apart.
     """
     ready(docs.sparkSession)
@@ -336,25 +342,38 @@ def contaminations(
     groups = met.withColumn("pairs", pairs).groupBy(
         "doc_id", "text_hash", "item_id", "item_words", "width", "kind", (F.col("pos") - F.col("at")).alias("offset")
     )
+    same = F.forall("pairs", lambda p: p["item"] == p["doc"])
     aligned = groups.agg(
         F.array_sort(F.collect_set("at")).alias("at"),
+        F.array_sort(F.collect_set(F.when(same, F.col("at")))).alias("same"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
         F.bool_and("bare").alias("bare"),
     )
     # Numbers alone run alike in many texts, so without any word the item must be whole.
     whole = _covered(F.col("at"), F.col("width")) == F.col("item_words")
     aligned = aligned.filter(~F.col("bare") | whole)
-    one_way = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
-    other_way = F.size(F.array_distinct(F.transform("pairs", lambda p: p["doc"])))
-    consistent = aligned.filter((F.size("pairs") == one_way) & (F.size("pairs") == other_way))
     width = F.col("width")
-    scored = consistent.select(
+    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
+    as_it_is = _longest_run(F.col("same"), width) >= SAME_RUN
+    aligned = aligned.withColumn("consistent", consistent).filter(F.col("consistent") | as_it_is)
+    counted = F.when(F.col("consistent"), F.col("at")).otherwise(F.col("same"))
+    aligned = aligned.withColumn("at", counted).withColumn("words", _longest_run(F.col("at"), width))
+    alignment = F.struct("words", (_covered(F.col("at"), width) / F.col("item_words")).alias("part"), "changed")
+    changed = F.col("consistent") & F.exists("pairs", lambda p: p["item"] != p["doc"])
+    united = aligned.withColumn("changed", changed).groupBy(
+        "doc_id", "text_hash", "item_id", "item_words", "width", "kind"
+    )
+    united = united.agg(
+        F.max_by(alignment, F.struct("words", alignment["part"], ~F.col("changed"))).alias("best"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("at")))).alias("at"),
+    )
+    scored = united.select(
         "doc_id",
         "text_hash",
         "item_id",
-        _longest_run(F.col("at"), width).alias("words"),
+        "best.words",
         (_covered(F.col("at"), width) / F.col("item_words")).alias("share"),
-        F.exists("pairs", lambda p: p["item"] != p["doc"]).alias("changed"),
+        "best.changed",
     )
     scored = scored.filter((F.col("words") >= RUN) | (F.col("share") >= SHARE))
     best = F.max_by(F.struct("words", "share", "changed"), F.struct("words", "share", ~F.col("changed")))

@@ -71,6 +71,22 @@ def test_verbatim_copies_of_dense_items_are_found(spark):
     assert [got[k].items for k in (5, 6, 8)] == [[], [], []]
 
 
+def test_equal_values_insertions_and_long_passages(spark):
+    sums = "if 3 boys and 5 girls share the cakes how many cakes are left for the 3 boys then"
+    split = prose(9, 24).split()
+    first, last = prose(11, 45), prose(12, 20)
+    long = f"{first} after 3 hours {prose(13, 6)} and those 3 hours {last}"
+    texts = [
+        sums.replace("3", "4").replace("5", "4"),
+        " ".join([*split[:12], "inserted", *split[12:]]),
+        f"{prose(1)} {long.replace('those 3', 'those 4')} {prose(2)}",
+    ]
+    got = verdicts(spark, texts, [(1, sums), (2, " ".join(split)), (3, long)])
+    assert [got[k].items for k in range(3)] == [[1], [2], [3]]
+    assert [got[k].changed for k in range(3)] == [True, False, False]
+    assert got[1].share == 1.0 and got[2].words >= 50 and got[2].share < 1
+
+
 def test_short_items_and_partial_passages(spark):
     short, long = "what is the capital here", prose(9, 60)
     parts = long.split()
