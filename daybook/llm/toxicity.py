@@ -1,7 +1,9 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
 Texts are folded first: lower case, letters of other scripts that look like Latin
-ones, and digits and signs that stand for letters before a letter. Terms are whole
+ones, and digits and signs that stand for letters before a letter. Where signs or
+digits touch letters, the other readings are tried too: as separators, as letters at
+the end of a word, or as they are; the heaviest reading counts. Terms are whole
 words or word beginnings, so that inflected and compound forms match. Their weights
 are learned from labelled rows. The matched weights of a text, less what stands in
 exception phrases, are divided by the root of its length and turned into a
@@ -12,8 +14,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import ahocorasick
 import numpy as np
@@ -58,16 +63,68 @@ LOOK_ALIKES = str.maketrans(
 FULL_WIDTH = {0xFF41 + k: 0x61 + k for k in range(26)}
 STAND_INS = str.maketrans("0134578@$!", "oieastbasi")
 STAND_IN = re.compile(r"(?<![0-9@$!])[0134578@$!]+(?=[^\W\d_])")
+STAND_IN_BEHIND = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?![0-9@$!])")
+SIGNS = "@$!"
 GAP = re.compile(r"[\W_]+")
 
+# Runs of letters, digits and signs, and the places that make several readings of one.
+CHUNK = re.compile(r"(?:[^\W_]|[@$!])+")
+SEVERAL = re.compile(r"[0134578@$!](?:(?<=[^\W\d_].)|(?=[^\W\d_]))")
+
 
 def fold(text: str | None) -> str:
     """A text's words between single blanks, written in plain small letters."""
+    return _folded(_small(text))
+
+
+def _small(text: str | None) -> str:
+    """A text in small letters, those of other scripts that look Latin made Latin."""
     text = (text or "").lower()
-    if not text.isascii():
-        text = text.translate(LOOK_ALIKES).translate(FULL_WIDTH)
-    text = STAND_IN.sub(lambda m: m[0].translate(STAND_INS), text)
-    return f" {GAP.sub(' ', text).strip()} "
+    return text if text.isascii() else text.translate(LOOK_ALIKES).translate(FULL_WIDTH)
+
+
+def _folded(small: str) -> str:
+    small = STAND_IN.sub(_letters, small)
+    return f" {GAP.sub(' ', small).strip()} "
+
+
+def _letters(found: re.Match) -> str:
+    return found[0].translate(STAND_INS)
+
+
+@lru_cache(1 << 14)
+def forms(chunk: str) -> tuple[str, ...]:
+    """The readings of a run of letters, digits and signs, each as words between blanks.
+
+    First that of ``fold``; then with every choice of the signs that occur taken as
+    separators and the other stand-ins as letters, before letters only or behind them
+    too; last with all signs as separators and digits as they are.
+    """
+    found = [_folded(chunk)]
+    signs = [x for x in SIGNS if x in chunk]
+    for n in range(len(signs) + 1):
+        for apart in combinations(signs, n):
+            parted = chunk.translate({ord(x): " " for x in apart})
+            found += [_folded(parted), _folded(STAND_IN_BEHIND.sub(_letters, STAND_IN.sub(_letters, parted)))]
+    found.append(f" {GAP.sub(' ', chunk).strip()} ")
+    return tuple(dict.fromkeys(found))
+
+
+def ambiguous(small: str) -> set[str]:
+    """The chunks of a text in small letters that have several readings."""
+    if not SEVERAL.search(small):
+        return set()
+    return {c for c in CHUNK.findall(small) if SEVERAL.search(c) and len(forms(c)) > 1}
+
+
+def all_terms(text: str | None) -> set[str]:
+    """The terms a text holds in any reading."""
+    small = _small(text)
+    terms = terms_of(_folded(small))
+    for chunk in ambiguous(small):
+        for form in forms(chunk)[1:]:
+            terms |= terms_of(form)
+    return terms
 
 
 def terms_of(folded: str) -> set[str]:
@@ -100,7 +157,14 @@ def strength(folded: str, machine) -> tuple[float, int, int]:
     words = folded.count(" ") - 1 if folded.strip() else 0
     if not len(machine) or not words:
         return 0.0, 0, words
+    weights, _ = _found(folded, machine)
+    return math.fsum(weights.values()), len(weights), words
+
+
+def _found(folded: str, machine) -> tuple[dict[int, float], set[int]]:
+    """Weights by where their words start, and the starts of those in exception phrases."""
     weights: dict[int, float] = {}
+    spared: set[int] = set()
     harmless: list[tuple[int, int]] = []
     for end, (length, weight) in machine.iter(folded):
         start = end - length + 1
@@ -111,7 +175,60 @@ def strength(folded: str, machine) -> tuple[float, int, int]:
     for start, end in harmless:
         for at in [x for x in weights if start <= x < end]:
             del weights[at]
-    return math.fsum(weights.values()), len(weights), words
+            spared.add(at)
+    return weights, spared
+
+
+def strength_of(text: str | None, machine, exceptions: tuple[str, ...] = EXCEPTIONS) -> tuple[float, int, int]:
+    """(matched weight, matched words, words) of a text over all its readings.
+
+    Of a run of letters, digits and signs the heaviest reading counts, or the heaviest
+    of those in which an exception phrase holds a term of it. Words are those of ``fold``.
+    """
+    small = _small(text)
+    folded = _folded(small)
+    plain = strength(folded, machine)
+    harmless = {w for phrase in exceptions for w in phrase.split()}
+    doubtful = {
+        c
+        for c in ambiguous(small)
+        if any(_touches(form, machine, harmless) for form in forms(c)[1:])
+    }
+    if not doubtful:
+        return plain
+    chunks = CHUNK.findall(small)
+    read = [forms(c) if c in doubtful else (_folded(c),) for c in chunks]
+    best: dict[int, tuple[bool, float, int]] = {}
+    for k in range(max(map(len, read))):
+        line, begins, owners = [" "], [], []
+        length = 1
+        for at, options in enumerate(read):
+            words = options[min(k, len(options) - 1)][1:]
+            if words.strip():
+                begins.append(length)
+                owners.append(at)
+                line.append(words)
+                length += len(words)
+        weights, spared = _found("".join(line), machine)
+        sums: dict[int, list] = {}
+        for start in [*weights, *spared]:
+            owner = owners[bisect_right(begins, start + 1) - 1]
+            entry = sums.setdefault(owner, [False, [], 0])
+            if start in spared:
+                entry[0] = True
+            else:
+                entry[1].append(weights[start])
+                entry[2] += 1
+        for owner, (spares, found, hits) in sums.items():
+            best[owner] = max(best.get(owner, (False, 0.0, 0)), (spares, math.fsum(found), hits))
+    return math.fsum(w for _, w, _ in best.values()), sum(n for _, _, n in best.values()), plain[2]
+
+
+def _touches(form: str, machine, harmless: set[str]) -> bool:
+    """Whether a reading holds a term, or a word of an exception phrase."""
+    if len(machine) and next(machine.iter(form), None) is not None:
+        return True
+    return not harmless.isdisjoint(form.split())
 
 
 def feature(weight: float, words: int) -> float:
@@ -188,7 +305,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             rows = []
             for text in batch.column("text"):
-                weight, hits, words = strength(fold(text.as_py()), machine)
+                weight, hits, words = strength_of(text.as_py(), machine, model.exceptions)
                 p = _logistic(model.bias + model.slope * feature(weight, words))
                 rows.append((p, int(p >= 0.5), hits, words))
             columns = list(zip(*rows, strict=True)) or [()] * 4
@@ -211,7 +328,7 @@ def _term_rows(only: set[str] | None):
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column("text"):
-                terms = terms_of(fold(text.as_py()))
+                terms = all_terms(text.as_py())
                 counts.update(terms if only is None else terms & only)
         arrays = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, ["term", "n"])
@@ -225,7 +342,7 @@ def _features(lexicon: dict[str, float], exceptions: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(lexicon, exceptions)
         for batch in batches:
-            found = [strength(fold(t.as_py()), machine) for t in batch.column("text")]
+            found = [strength_of(t.as_py(), machine, exceptions) for t in batch.column("text")]
             x = pa.array([feature(weight, words) for weight, _, words in found], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), x], ["toxic", "x"])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from llm_tables import documents, odd_rows
 
-from daybook.llm.toxicity import Model, automaton, fold, learn, score, strength
+from daybook.llm.toxicity import Model, all_terms, automaton, fold, learn, score, strength, strength_of
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +47,20 @@ def test_matching_counts_words_once_and_spares_exceptions():
     assert strength(" a ", automaton({}, ())) == (0.0, 0, 1)
 
 
+def test_signs_before_and_behind_words_are_read_both_ways():
+    terms = (" loser ", " idiot ", " trash", " scum ", " ass ", " dumbass ", " l0l ")
+    machine = automaton(dict.fromkeys(terms, 2.0))
+    for text in ("@loser", "@l0ser", "you!idiot", "Wow!Trash", "Wow!tr@sh", "$scum", "$cum", "a$$", "dumb4$$", "idiot!", "l0l"):
+        assert strength_of(text, machine)[:2] == (2.0, 1), text
+    assert strength_of("scum!idiot @friend! word$$$ 100", machine) == (4.0, 2, 4)
+    assert strength_of("the tr@sh can! @trash can, trash @can and trash bin!", machine)[:2] == (0.0, 0)
+    assert strength_of("scum!trash can", machine)[:2] == (2.0, 1)
+    assert strength_of("__a$$__ you", machine) == (2.0, 1, 2)
+    assert " loser " in all_terms("@loser") and " ass " in all_terms("a$$") and " friend " in all_terms("@friend")
+    assert strength_of(None, machine) == strength_of("!!", machine) == (0.0, 0, 0)
+    assert strength_of("a$$", automaton({}, ()), ()) == (0.0, 0, 1)
+
+
 def test_longer_texts_score_lower(spark):
     model = Model({" scum ": 5.0}, -3.0, 2.0)
     docs = documents(spark, [(1, "scum"), (2, "scum " + "word " * 2000), (3, "word")])
