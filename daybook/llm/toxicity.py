@@ -33,10 +33,13 @@ from daybook.scratch import settle
 # Labelled rows of a class that the lexicon and the curve learn from.
 ROWS_PER_CLASS = 10_000
 
-# A term's least log-odds, and the least share and number of toxic rows that hold it.
+# A term's least log-odds and the least number of toxic rows that hold it. If it stands
+# in a smaller share of them than COMMON, it needs evidence: chance spreads a term so
+# unevenly with probability e ** -evidence at most.
 LEAST_WEIGHT = 2.5
-LEAST_SHARE = 0.01
 LEAST_ROWS = 3
+COMMON = 0.01
+LEAST_EVIDENCE = math.log(10_000)
 
 # Lengths of word beginnings that may become terms.
 BEGINNINGS = (4, 5, 6)
@@ -256,8 +259,12 @@ def learn(
 
     Learns from about ``rows_per_class`` rows of each class, chosen by a hash of the
     id, or from all if there are fewer. An id with several labels counts as toxic if
-    one of them says so. Null ids, labels and texts do not teach; without toxic rows
-    the lexicon is empty and every score is the bias.
+    one of them says so. A term enters the lexicon if at least three toxic rows hold
+    it and its log-odds are 2.5 or more; one that stands in less than 1% of the toxic
+    rows also must be so unevenly spread over the classes that chance would do it in
+    one of 10,000 cases at most. Null ids,
+    labels and texts do not teach; without toxic rows the lexicon is empty and every
+    score is the bias.
     """
     ready(docs.sparkSession)
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
@@ -273,17 +280,16 @@ def learn(
     rows = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = rows.get(1, 0), rows.get(0, 0)
 
-    least = max(LEAST_ROWS, LEAST_SHARE * toxic)
+    # Rows that a term needs even if no clean row holds it: fewer cannot enter.
+    alone = (n for n in range(LEAST_ROWS, toxic + 1) if _weight(n, 0, toxic, clean) is not None)
+    least = next(alone, toxic + 1)
     held = sample.filter("toxic = 1").select("text").mapInArrow(_term_rows(None), "term string, n long")
     held = held.groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     positive = dict(tuple(r) for r in held.collect())
     also = sample.filter("toxic = 0").select("text").mapInArrow(_term_rows(set(positive)), "term string, n long")
     negative = dict(tuple(r) for r in also.groupBy("term").agg(F.sum("n").alias("n")).collect())
-    lexicon = {}
-    for term, n in positive.items():
-        odds = math.log((n + 0.5) / (toxic + 1)) - math.log((negative.get(term, 0) + 0.5) / (clean + 1))
-        if odds >= LEAST_WEIGHT:
-            lexicon[term] = odds
+    weights = {term: _weight(n, negative.get(term, 0), toxic, clean) for term, n in positive.items()}
+    lexicon = {term: weight for term, weight in weights.items() if weight is not None}
 
     scored = sample.mapInArrow(_features(lexicon, exceptions), "toxic int, x double")
     points = [tuple(r) for r in scored.collect()]
@@ -317,6 +323,24 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, "doc_id long, score double, predicted int, hits long, n_words long")
 
 
+def _weight(n: int, others: int, toxic: int, clean: int) -> float | None:
+    """A term's log-odds from the toxic and clean rows that hold it, or None if not clear.
+
+    Evidence is the Chernoff bound of the binomial tail: rows times the divergence of
+    the toxic share among the term's rows from that among all rows.
+    """
+    odds = math.log((n + 0.5) / (toxic + 1)) - math.log((others + 0.5) / (clean + 1))
+    if odds < LEAST_WEIGHT:
+        return None
+    if n >= COMMON * toxic:
+        return odds
+    rows, share = n + others, (toxic + 0.5) / (toxic + clean + 1)
+    evidence = n * math.log(n / rows / share)
+    if others:
+        evidence += others * math.log(others / rows / (1 - share))
+    return odds if evidence >= LEAST_EVIDENCE else None
+
+
 def _logistic(x: float) -> float:
     return 1 / (1 + math.exp(-x)) if x >= 0 else math.exp(x) / (1 + math.exp(x))
 

@@ -77,6 +77,19 @@ def test_odd_rows(spark, small):
     assert by_id[3].score == by_id[4].score < 0.5 and by_id[3].n_words == 0
 
 
+def test_rare_but_clear_terms_enter_the_lexicon(spark):
+    vocabulary = [f"vile{chr(97 + k // 26)}{chr(97 + k % 26)}zz" for k in range(200)]
+    toxic = [(k, f"you {vocabulary[k % 200]} and {vocabulary[(k * 7 + 3) % 200]} there") for k in range(6000)]
+    clean = [(k, f"word{k % 900} and some{k % 700} there, you") for k in range(6000, 12_000)]
+    clean += [(k, f"{vocabulary[0]} word") for k in range(12_000, 12_600)]
+    rows = [(k, 0, int(k < 6000)) for k, _ in toxic + clean]
+    model = learn(documents(spark, toxic + clean), spark.createDataFrame(rows, "doc_id long, quality int, toxic int"))
+    assert all(f" {word} " in model.lexicon for word in vocabulary[1:])
+    assert not [t for t in model.lexicon if "vile" not in t] and f" {vocabulary[0]} " not in model.lexicon
+    got = {r.doc_id: r for r in score(documents(spark, toxic[1:400] + clean[:400]), model).collect()}
+    assert sum(r.predicted == (k < 6000) for k, r in got.items()) / len(got) >= 0.99
+
+
 def test_labels_that_teach_nothing(spark):
     docs = documents(spark, [(1, "scum"), (None, "x"), (2, None)])
     kind = "doc_id long, quality int, toxic int"
