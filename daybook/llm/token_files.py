@@ -39,8 +39,8 @@ END_ID = 1
 SHARD_IDS = 1 << 20
 FILE_BYTES = 64 << 20
 
-# Re-Pair rounds, rules of a round, and how often a pair must occur to become a rule.
-ROUNDS = 4
+# Rules of a Re-Pair round, and how often a pair must occur to become a rule; rounds
+# go on until none does.
 ROUND_RULES = 4000
 LEAST_COUNT = 24
 
@@ -190,17 +190,14 @@ def compress(ids: np.ndarray) -> bytes:
     """A shard's ids as a grammar. Documents end with ``END_ID``; no rule crosses that."""
     ids = ids.astype(np.uint32)
     first_rule = int(ids.max(initial=END_ID)) + 1
-    closed = np.zeros(first_rule + ROUNDS * ROUND_RULES, bool)
+    closed = np.zeros(first_rule, bool)
     closed[END_ID] = True
     rules = np.zeros((0, 2), np.uint32)
     sequence = ids
-    for _ in range(ROUNDS):
-        pairs = _frequent(sequence, closed)
-        if not len(pairs):
-            break
-        fresh = first_rule + len(rules)
-        sequence = _replaced(sequence, closed, pairs, fresh)
-        closed[fresh : fresh + len(pairs)] = closed[pairs[:, 1]]
+    # The most frequent pair is replaced at least once a round, so rounds end.
+    while len(pairs := _frequent(sequence, closed)):
+        sequence, pairs = _replaced(sequence, closed, pairs, first_rule + len(rules))
+        closed = np.concatenate([closed, closed[pairs[:, 1]]])
         rules = np.concatenate([rules, pairs])
     lengths = np.ones(first_rule + len(rules), np.int64)
     for k, (a, b) in enumerate(rules.tolist()):
@@ -230,8 +227,10 @@ def _frequent(sequence: np.ndarray, closed: np.ndarray) -> np.ndarray:
     return np.stack([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
 
 
-def _replaced(sequence: np.ndarray, closed: np.ndarray, pairs: np.ndarray, fresh: int) -> np.ndarray:
-    """The sequence with the pairs replaced where the more frequent neighbours leave room."""
+def _replaced(
+    sequence: np.ndarray, closed: np.ndarray, pairs: np.ndarray, fresh: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence, pairs used), pairs replaced where the more frequent neighbours leave room."""
     bits = np.uint32(12)
     slots = np.full(1 << 20, -1, np.int16)
     # Where two pairs share a slot, the more frequent has it in this round.
@@ -242,17 +241,24 @@ def _replaced(sequence: np.ndarray, closed: np.ndarray, pairs: np.ndarray, fresh
     rank = rank[at].astype(np.int64)
     real = (pairs[rank, 0] == left[at]) & (pairs[rank, 1] == right[at])
     at, rank = at[real], rank[real]
-    # A run of overlapping hits is settled by rank; of equal neighbours the first wins.
+    # In a run of one symbol every second hit counts.
+    alike = np.r_[False, (at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])][: len(at)]
+    begins = np.maximum.accumulate(np.where(alike, 0, np.arange(len(at))))
+    every_second = (np.arange(len(at)) - begins) % 2 == 0
+    at, rank = at[every_second], rank[every_second]
+    # A run of overlapping hits is settled by rank.
     before = np.r_[False, at[1:] == at[:-1] + 1][: len(at)]
     after = np.r_[before[1:], False][: len(at)]
     wins = ~before | (rank < np.r_[0, rank[:-1]][: len(at)])
     wins &= ~after | (rank <= np.r_[rank[1:], 0][: len(at)])
     at, rank = at[wins], rank[wins]
+    used = np.zeros(len(pairs), bool)
+    used[rank] = True
     out = sequence.copy()
-    out[at] = fresh + rank
+    out[at] = fresh + (np.cumsum(used) - 1)[rank]
     keep = np.ones(len(sequence), bool)
     keep[at + 1] = False
-    return out[keep]
+    return out[keep], pairs[used]
 
 
 class Shard:

@@ -86,6 +86,17 @@ def test_rules_stay_inside_documents_and_save_space():
     assert ends <= set(shard.ends.tolist())
 
 
+def test_long_repeats_become_one_rule():
+    rng = np.random.default_rng(5)
+    passage = rng.integers(5, 30_000, 300)
+    copies = [np.r_[rng.integers(5, 30_000, 40), passage, 1] for _ in range(60)]
+    same = np.r_[np.full(100_000, 7), 1]
+    for ids, longest, symbols in ((np.concatenate(copies), 300, 60 * 42 + 60), (same, 1 << 11, 60)):
+        shard = Shard(compress(ids))
+        assert np.array_equal(shard.ids(), ids)
+        assert shard.lengths.max() >= longest and len(shard.sequence) <= symbols
+
+
 def expected(rows):
     """(doc_id, start, n_tokens, crc) in file order; the hash of the text breaks ties."""
     out, start = [], 0
