@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from daybook.llm import toxicity
 from daybook.llm.decontamination import judged
 from daybook.llm.fingerprints import compare_with_next
+from daybook.llm.hard_negatives import hard_negatives
 from daybook.llm.language_id import held_out, identify, learn_profiles
 from daybook.llm.licenses import scan_licenses
 from daybook.llm.mixing import mixture
@@ -173,3 +174,36 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold items of the benchmark, values changed or not."""
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector's label is wrong by one."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), "vec_id % 100 = 0")
+
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH rounded AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+           list_inner_product(a.vector, r.vector)::BIGINT AS score
+    FROM rounded a JOIN rounded r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), windows AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+    FROM positives p JOIN scored s
+      ON p.anchor_id = s.anchor_id AND NOT s.same
+     AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 5
+"""
