@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from daybook.llm.hard_negatives import hard_negatives
 from daybook.llm.language_id import held_out, identify, learn_profiles
 from daybook.llm.licenses import scan_licenses
 from daybook.llm.mixing import mixture
+from daybook.llm.periodic_runs import periodic_runs
 from daybook.llm.simhash import near_duplicates
 from daybook.llm.substring_dedup import repeated_passages
 from daybook.llm.token_counts import recount, with_trees
@@ -207,3 +210,39 @@ WITH rounded AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 5
 """
+
+
+def _periodic_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Which words of every tenth document, by a hash of its id, stand in its words' places."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    places = np.arange(n)
+    places[a:] = a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))
+    return places
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents, a tenth of which get a periodic tail."""
+    found = periodic_runs(table(spark, sf_dir, "documents"), rewrite=_periodic_tail)
+    # Runs are in the order of start and period, so the first of equal exponents stays.
+    best = F.expr(
+        """aggregate(runs, CAST(NULL AS struct<start:bigint,length:bigint,period:bigint>), (best, r) ->
+               CASE WHEN best IS NULL OR best.length * r.period < r.length * best.period THEN r ELSE best END)"""
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat_ws("", F.transform(lines, lambda line: F.concat(line, F.lit("\n"))))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 DIV best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
