@@ -17,6 +17,7 @@ from daybook.llm.hard_negatives import hard_negatives
 from daybook.llm.language_id import held_out, identify, learn_profiles
 from daybook.llm.licenses import scan_licenses
 from daybook.llm.mixing import mixture
+from daybook.llm.ngram_join import ngram_components
 from daybook.llm.periodic_runs import periodic_runs
 from daybook.llm.simhash import near_duplicates
 from daybook.llm.substring_dedup import repeated_passages
@@ -246,3 +247,38 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"),
         F.sha2("kept", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by a Jaccard similarity of 0.8 or more of their five-word shingles."""
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_ngram_join"] = r"""
+WITH RECURSIVE tokens AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 5
+        THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+    FROM tokens
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+    WHERE 100 * met >= 80 * (x.n + y.n - met)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM tokens
+    UNION
+    SELECT doc_id, b FROM reached JOIN links ON other = a
+)
+SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM tokens t LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON t.doc_id = r.doc_id
+"""
