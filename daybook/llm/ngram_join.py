@@ -15,7 +15,7 @@ takes no further part. Equal sets are one class with one set.
 
 Sets that share a prefix n-gram are not paired with one another. In each round the first
 few of them by a hash are centres, and the others that do not belong to a centre's
-component yet are compared with it. Then the centres go, and the n-grams whose remaining
+component yet are compared with it, where what follows the n-gram in both is enough. Then the centres go, and the n-grams whose remaining
 sets are one component go with them, until none is left: every pair that meets was either
 compared or connected by other links.
 """
@@ -56,7 +56,7 @@ HASH_BITS = 58
 ENTRIES = "bucket int, batch_id long, payload binary"
 REPLIES = "batch_id long, bucket int, common binary"
 SETS = "doc_id long, n_shingles long, digest binary, stored binary"
-PREFIXES = "token long, node long, n long, m long"
+PREFIXES = "token long, node long, n long, rest long"
 LINKS = "a long, b long"
 
 
@@ -238,7 +238,8 @@ def _components(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
                 # N-grams that only this set holds come first in the order and are not stored.
                 length = size + (-part * size) // whole + 1 - (size - len(stored))
                 tokens = stored[: max(0, length)]
-                columns = [tokens, *(np.full(len(tokens), x, np.int64) for x in (node, size, len(stored)))]
+                rest = len(stored) - np.arange(len(tokens))
+                columns = [tokens, np.full(len(tokens), node), np.full(len(tokens), size), rest]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     spark = classes.sparkSession
@@ -246,18 +247,22 @@ def _components(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
     entries = _unsettled(entries.withColumn("component", F.col("node")))
     members = spark.createDataFrame([], "node long, component long")
     centres = CENTRES
+    stored = classes.select("node", "n", "stored")
     while not entries.isEmpty():
+        # Only sets that may still meet others move on.
+        stored = settle(stored.join(entries.select("node").distinct(), "node", "left_semi"), "stored")
         order = Window.partitionBy("token").orderBy(F.xxhash64("node"), "node")
         chosen = entries.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= centres)
         chosen = settle(chosen.drop("place"), "centres")
-        met = chosen.select("token", *(F.col(c).alias(f"centre_{c}") for c in ("node", "n", "m", "component")))
-        shorter, longer = F.least("n", "centre_n"), F.greatest("n", "centre_n")
-        pairs = entries.join(met, "token").filter(
-            (F.col("component") != F.col("centre_component")) & (shorter * whole >= longer * part)
-        )
-        # Where both are centres of an n-gram they would meet twice.
-        pairs = pairs.select("centre_node", "node", "m", "component", "centre_component").distinct()
-        links = _linked(settle(pairs, "pairs"), classes, share)
+        met = chosen.select("token", *(F.col(c).alias(f"centre_{c}") for c in ("node", "n", "rest", "component")))
+        # At the first n-gram that two sets share, they share no more than what follows it in
+        # either; and the longer must not outgrow the overlap.
+        least = (whole + part) * F.least("rest", "centre_rest") >= part * (F.col("n") + F.col("centre_n"))
+        sized = whole * F.least("n", "centre_n") >= part * F.greatest("n", "centre_n")
+        apart = F.col("component") != F.col("centre_component")
+        pairs = entries.join(met, "token").filter(apart & least & sized)
+        pairs = pairs.groupBy("centre_node", "node", "component", "centre_component").agg(F.max("rest").alias("m"))
+        links = _linked(settle(pairs, "pairs"), stored, share)
         rest = entries.join(chosen.select("token", "node"), ["token", "node"], "left_anti")
         links = settle(links, "links")
         if not links.isEmpty():
@@ -276,12 +281,12 @@ def _components(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
 
 def _unsettled(entries: DataFrame) -> DataFrame:
     """The entries of n-grams that several components hold."""
-    entries = settle(entries.select("token", "node", "n", "m", "component"), "entries")
+    entries = entries.select("token", "node", "n", "rest", "component")
     spread = entries.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return settle(entries.join(spread.filter("low < high").select("token"), "token", "left_semi"), "entries")
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+def _linked(pairs: DataFrame, stored: DataFrame, share: tuple[int, int]) -> DataFrame:
     """(a, b): the components of the pairs that link."""
     sizes = pairs.groupBy("centre_node").agg(F.ceil(F.sum("m") / TRIE_TOKENS).alias("parts"))
     dealt = pairs.join(sizes, "centre_node").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
@@ -289,7 +294,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> Dat
     own = dealt.select("centre_node", "part", F.col("centre_component").alias("component")).distinct()
     rows = dealt.select("centre_node", "part", "component", "node", F.lit(False).alias("query"))
     rows = rows.unionByName(own.withColumns({"node": F.col("centre_node"), "query": F.lit(True)}))
-    rows = rows.join(classes.select("node", "n", "stored"), "node")
+    rows = rows.join(stored, "node")
 
     def walk(table: pa.Table) -> pa.Table:
         part = {c: table.column(c).to_pylist() for c in ("query", "component", "n", "stored")}
