@@ -39,11 +39,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def settled_path(spark: SparkSession, label: str) -> str:
+    """A scratch path for files that are written by other means and deleted like settled tables."""
+    path = scratch_path(spark, label)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet and continue from the written files."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = settled_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
