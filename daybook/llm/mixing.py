@@ -12,6 +12,8 @@ first words of the one that would exceed it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,8 +62,9 @@ def mixture(
 
     ``taken`` words are those of ``copies`` whole documents and of the first ``part``
     words. The words a source gives add up to its target, rounded. Size counts words;
-    a null text has none. Sources without words have target 0. Rows with equal ids
-    are ordered by size; reruns agree. An empty table gives an empty result.
+    a null text has none. Sources without words have target 0. Rows with equal ids, or
+    without one, are ordered by size, then by a hash of the text; reruns agree. An empty
+    table gives an empty result; other columns are ignored, whatever their names.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     sized = docs.select(
@@ -69,8 +72,9 @@ def mixture(
         F.col(source_col).alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         _place(F.col(id_col), seed).alias("place"),
+        F.xxhash64(F.col(text_col)).alias("hash"),
     )
-    sized = settle(sized.withColumn("bin", _bin(F.col("place"))), "sized")
+    sized = settle(_numbered(sized.withColumn("bin", _bin(F.col("place")))), "sized")
     return _dealt(sized, _sources(sized, weights, epochs)).select(
         "doc_id", "source", "size", "source_size", "target", "taken", "copies", "part"
     )
@@ -83,25 +87,30 @@ def mixed_documents(
 
     A part of a document keeps its first words, joined by one space; ``n_chars``
     follows where there is such a column. Rows that the mixture does not take go, and
-    so do rows without words, of which there is nothing to take.
+    so do rows without words, of which there is nothing to take. Each source gives as
+    many words as in ``mixture``, also where rows share an id, have none, or are repeated:
+    of rows with equal ids, sizes and texts any may be the one that is taken. An empty
+    table gives an empty result, and columns may have any names.
     """
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     place = _place(F.col("doc_id"), seed)
     rows = docs.select(
-        F.struct(*docs.columns).alias("doc"), "source", size.alias("size"), place.alias("place")
+        F.struct(*docs.columns).alias("doc"),
+        "source",
+        size.alias("size"),
+        place.alias("place"),
+        F.xxhash64("text").alias("hash"),
     ).withColumn("bin", _bin(F.col("place")))
-    ids = rows.select("source", "size", "place", "bin")
-    sized = settle(ids, "sized")
+    sized = settle(rows.select("source", "size", "place", "bin"), "sized")
     sources = _sources(sized, weights, epochs)
     of = sources.select(F.col("source").alias("of"), "whole", "edge")
-    at_edge = _edge(sized, sources).groupBy("source", "place", "size").agg(F.max("extra").alias("at_edge"))
-    at_edge = at_edge.select(
-        F.col("source").alias("e_source"), F.col("place").alias("e_place"), F.col("size").alias("e_size"), "at_edge"
-    )
-    same = F.col("source").eqNullSafe(F.col("e_source")) & (F.col("place") == F.col("e_place"))
-    rows = rows.join(of, F.col("source").eqNullSafe(F.col("of")), "left")
-    rows = rows.join(at_edge, same & (F.col("size") == F.col("e_size")), "left")
-    more = _extra("size", "bin", "edge", F.coalesce("at_edge", F.lit(0)))
+    rows = rows.join(of, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    inner = rows.filter("bin <> edge").withColumn("extra", _extra("size", "bin", "edge"))
+    # Only documents of the bins in which rests end are written, to have numbers of their own.
+    edge = settle(_numbered(rows.filter("bin = edge")), "edge")
+    extras = _edge(edge.drop("doc", "whole", "edge"), sources).select("row", "extra")
+    rows = inner.unionByName(edge.join(extras, "row").select(*inner.columns))
+    more = F.col("extra")
     full = (more == F.col("size")) & (F.col("size") > 0)
     copies = (F.col("whole") + F.when(full, 1).otherwise(0)).cast("int")
     # A row for each copy, marked -1, and one with the number of words of a part.
@@ -149,29 +158,51 @@ def _sources(sized: DataFrame, weights: tuple, epochs: int) -> DataFrame:
     return settle(joined, "sources")
 
 
-def _edge(sized: DataFrame, sources: DataFrame) -> DataFrame:
-    """Rows of the bin a source's rest ends in, with the words each gives beyond whole copies."""
-    of = sources.select(F.col("source").alias("of"), "edge", "below", "rest")
-    rows = sized.join(of, F.col("of").eqNullSafe(F.col("source")) & (F.col("bin") == F.col("edge")))
-    before = Window.partitionBy("source", "bin").orderBy("place", "size")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("rest") - F.col("below") - F.coalesce(F.sum("size").over(before), F.lit(0))
-    extra = F.least(F.greatest(left, F.lit(0)), F.col("size"))
-    return rows.withColumn("extra", extra).drop("of", "edge", "below", "rest")
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with a number of their own, once they are written, and the task that wrote them."""
+    return rows.withColumn("row", F.monotonically_increasing_id()).withColumn("task", F.spark_partition_id())
 
 
-def _extra(size: str, bin_: str, edge: str, at_edge: Column) -> Column:
+def _edge(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows of the bin a source's rest ends in, with the words each gives beyond whole copies.
+
+    In the order of place, size, text and number. Groups of equal rows are summed first:
+    those before the one in which the rest ends give all words, those behind it none, and
+    only that one is looked into, so no group, however large, is sorted.
+    """
+    of = sources.select(F.col("source").alias("of"), "edge", (F.col("rest") - F.col("below")).alias("left"))
+    rows = rows.join(of, F.col("of").eqNullSafe(F.col("source")) & (F.col("bin") == F.col("edge")))
+    rows = settle(rows.select("source", "size", "place", "hash", "task", "row", "left"), "ends")
+    decided = []
+    for level in (["place", "size"], ["hash"], ["task"], ["row"]):
+        groups = rows.groupBy("source", *level).agg(F.sum("size").alias("words"))
+        before = Window.partitionBy("source").orderBy(*level).rowsBetween(Window.unboundedPreceding, -1)
+        groups = groups.withColumn("below", F.coalesce(F.sum("words").over(before), F.lit(0))).alias("groups")
+        same = F.col("rows.source").eqNullSafe(F.col("groups.source"))
+        for name in level:
+            same &= F.col(f"rows.{name}") == F.col(f"groups.{name}")
+        rows = rows.alias("rows").join(groups, same).select("rows.*", "words", "below")
+        left = F.col("left") - F.col("below")
+        extra = F.when(left >= F.col("words"), F.col("size")).when(left <= 0, F.lit(0))
+        if level == ["row"]:
+            extra = F.coalesce(extra, left)
+        rows = settle(rows.withColumns({"extra": extra, "left": left}).drop("words", "below"), "ends")
+        decided.append(rows.filter("extra IS NOT NULL"))
+        rows = rows.filter("extra IS NULL").drop("extra")
+    return reduce(DataFrame.unionByName, decided).select("row", "extra")
+
+
+def _extra(size: str, bin_: str, edge: str) -> Column:
     """Words beyond whole copies: all of a row before the edge bin, none of one behind it."""
-    before, behind = F.col(bin_) < F.col(edge), F.col(bin_) > F.col(edge)
-    return F.when(before, F.col(size)).when(behind, F.lit(0)).otherwise(at_edge)
+    return F.when(F.col(bin_) < F.col(edge), F.col(size)).otherwise(F.lit(0))
 
 
 def _dealt(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Every row with its copies, its part and the words taken."""
     of = sources.withColumnRenamed("source", "of")
     rows = sized.join(of, F.col("of").eqNullSafe(F.col("source")))
-    inner = rows.filter("bin <> edge").withColumn("extra", _extra("size", "bin", "edge", F.lit(0)))
-    edge = _edge(sized, sources).join(of, F.col("of").eqNullSafe(F.col("source")))
+    inner = rows.filter("bin <> edge").withColumn("extra", _extra("size", "bin", "edge"))
+    edge = rows.filter("bin = edge").join(_edge(sized, sources), "row")
     rows = inner.unionByName(edge.select(*inner.columns))
     full = (F.col("extra") == F.col("size")) & (F.col("size") > 0)
     return rows.withColumns(

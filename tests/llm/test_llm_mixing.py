@@ -92,3 +92,36 @@ def test_mixed_documents_hold_what_is_taken(spark):
         assert len(whole) == r.copies and len(parts) == (r.part > 0)
         for m in parts:
             assert m.text.split() == texts[doc_id].split()[: r.part] and m.n_chars == len(m.text)
+
+
+def given_words(docs):
+    """Words per source of the mixed rows, after checking that no row gives over three times its own."""
+    got = Counter()
+    for r in mixed_documents(docs).collect():
+        got[r.source] += words(r.text)
+    return got
+
+
+TIES = {
+    "without ids": [(None, prose(k, 10), "en", "a") for k in range(300)],
+    "one id": [(7, prose(k, 10), "en", "a") for k in range(300)],
+    "repeated rows": [(k % 3, prose(k % 3, 10 + k % 3), "en", "a") for k in range(300)],
+    "one text": [(None, prose(1, 9), "en", "a")] * 300,
+}
+
+
+@pytest.mark.parametrize("kind", TIES)
+def test_ties_give_what_the_mixture_takes(spark, kind):
+    rows = TIES[kind] + [(1000 + k, prose(k, 30), "en", "b") for k in range(40)] + [(None, "x y", "en", None)]
+    docs = documents(spark, rows)
+    plan = Counter()
+    for r in check(docs):
+        plan[r.source] += r.taken
+    assert given_words(docs) == plan
+    sizes = Counter()
+    for r in docs.collect():
+        sizes[r.source] += words(r.text)
+    assert {s: round(goal) for s, goal in water_filling(sizes).items()} == dict(plan)
+    assert given_words(docs.repartition(5)) == plan
+    again = [sorted(map(tuple, mixed_documents(d).collect()), key=str) for d in (docs, docs.repartition(5))]
+    assert again[0] == again[1]
