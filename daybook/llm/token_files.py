@@ -32,7 +32,7 @@ from daybook.llm.words import (
     word_bounds,
     word_hashes,
 )
-from daybook.scratch import scratch_path, settle
+from daybook.scratch import settle, settled_path
 
 # The id behind every document, ids of a shard, and bytes of text of a file.
 END_ID = 1
@@ -400,6 +400,6 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the token files of ``docs`` to the shared folder and read them back."""
     spark = docs.sparkSession
-    path = scratch_path(spark, "tokens")
+    path = settled_path(spark, "tokens")
     write_tokens(docs, path, tokenizer)
     return read_tokens(spark, path)

@@ -186,3 +186,16 @@ def test_count_query_equals_counting_anew(spark, sf):
         own = got[r.doc_id]
         assert (own.n_tokens, own.n_tokens_edited) == (length(r.text), length(text))
         assert own.edited_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_nothing_settled_stays_behind(spark):
+    """The token files of the shared folder go with what was settled."""
+    from pathlib import Path
+
+    from daybook.scratch import forget_settled, scratch_folder
+
+    forget_settled(spark)
+    before = set(Path(scratch_folder(spark)).glob("*"))
+    assert packed(documents(spark, [(1, "one two")]), WORD_TOKENIZER).count() == 1
+    forget_settled(spark)
+    assert set(Path(scratch_folder(spark)).glob("*")) == before
