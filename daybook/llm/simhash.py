@@ -50,7 +50,8 @@ def near_duplicates(
     Fingerprints of word shingles link at ``max_bits`` or fewer differing bits, and
     component_id is the smallest id reachable over links, the row's own included.
     A text without words, or null, has fingerprint zero, which links like any other.
-    Rows with equal ids are rows of one document. A row without an id takes the
+    Rows with equal ids are rows of one document, which links all their fingerprints. A
+    row without an id takes the
     component of the rows with its fingerprint, or null if none of them has an id.
     An empty table gives an empty result; other columns are ignored.
     """
@@ -58,7 +59,7 @@ def near_duplicates(
     prints = settle(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = prints.groupBy("print").agg(F.min("doc_id").alias("node"))
     nodes = settle(nodes.filter("node IS NOT NULL"), "nodes")
-    groups = connected(_links(nodes, max_bits))
+    groups = connected(_links(nodes, max_bits).unionByName(_bridges(prints, nodes)))
     known = nodes.join(groups, "node", "left").select(
         "print", F.coalesce("component", "node").alias("component_id")
     )
@@ -67,6 +68,17 @@ def near_duplicates(
     )
 
 
+def _bridges(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): the nodes of fingerprints that rows of one id have, linked to the least of them."""
+    several = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("print").alias("low"), F.max("print").alias("high")
+    )
+    several = settle(several.filter("low <> high").select("doc_id"), "several")
+    held = prints.join(several, "doc_id").join(nodes, "print").select("doc_id", "node").distinct()
+    least = held.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return held.join(least, "doc_id").filter("a < node").select("a", F.col("node").alias("b"))
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(doc_id, print): a 64-bit SimHash of each text's word shingles, as a long."""
 
@@ -131,7 +143,8 @@ def _variants(max_bits: int):
 def _links(nodes: DataFrame, max_bits: int) -> DataFrame:
     """(a, b): links between nodes that connect what is linked at all."""
     n = partitions(nodes.sparkSession)
-    rows = nodes.select(F.explode(_variants(max_bits)).alias("key"), "print", "node")
+    # A row becomes one for each bit, so rows are dealt out before.
+    rows = nodes.repartition(n, "print").select(F.explode(_variants(max_bits)).alias("key"), "print", "node")
     crowded = rows.groupBy("key").agg(F.count("*").alias("size")).filter(f"size > {GROUP_LIMIT}")
     crowded = settle(crowded.select("key", F.ceil(F.col("size") / GROUP_LIMIT).alias("chunks")), "crowded")
     if crowded.isEmpty():

@@ -84,6 +84,14 @@ def test_odd_rows(spark):
     check(spark, odd_rows(), clashes=True)
 
 
+def test_an_id_with_several_texts_links_them(spark):
+    texts = [prose(k, 60) for k in range(6)]
+    rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (9, texts[1])]
+    assert {r.component_id for r in check(spark, rows)} == {1}
+    more = [(30, texts[2]), (30, texts[3]), (30, texts[4]), (31, texts[4]), (29, texts[3]), (None, texts[3]), (40, texts[5])]
+    assert len({r.component_id for r in check(spark, rows + more)}) == 3
+
+
 def test_empty_table(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
 
