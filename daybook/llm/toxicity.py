@@ -33,12 +33,10 @@ from daybook.scratch import settle
 # Labelled rows of a class that the lexicon and the curve learn from.
 ROWS_PER_CLASS = 10_000
 
-# A term's least log-odds and the least number of toxic rows that hold it. If it stands
-# in a smaller share of them than COMMON, it needs evidence: chance spreads a term so
-# unevenly with probability e ** -evidence at most.
+# A term's least log-odds, the least number of toxic rows that hold it, and the least
+# evidence: chance spreads a term so unevenly with probability e ** -evidence at most.
 LEAST_WEIGHT = 2.5
 LEAST_ROWS = 3
-COMMON = 0.01
 LEAST_EVIDENCE = math.log(10_000)
 
 # Lengths of word beginnings that may become terms.
@@ -260,10 +258,8 @@ def learn(
     Learns from about ``rows_per_class`` rows of each class, chosen by a hash of the
     id, or from all if there are fewer. An id with several labels counts as toxic if
     one of them says so. A term enters the lexicon if at least three toxic rows hold
-    it and its log-odds are 2.5 or more; one that stands in less than 1% of the toxic
-    rows also must be so unevenly spread over the classes that chance would do it in
-    one of 10,000 cases at most. Null ids,
-    labels and texts do not teach; without toxic rows the lexicon is empty and every
+    it, its log-odds are 2.5 or more, and it is so unevenly spread over the classes that
+    chance would do it in one of 10,000 cases at most. Null ids, labels and texts do not teach; without toxic rows the lexicon is empty and every
     score is the bias.
     """
     ready(docs.sparkSession)
@@ -274,7 +270,7 @@ def learn(
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     cut = F.when(F.col("toxic") == 1, rows_per_class * (1 << 20) // max(sizes.get(1, 0), 1))
     cut = cut.otherwise(rows_per_class * (1 << 20) // max(sizes.get(0, 0), 1))
-    chosen = F.broadcast(marked.filter(place < cut))
+    chosen = settle(marked.filter(place < cut), "chosen")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sample = settle(texts.filter("text IS NOT NULL").join(chosen, "doc_id").select("toxic", "text"), "sample")
     rows = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -332,8 +328,6 @@ def _weight(n: int, others: int, toxic: int, clean: int) -> float | None:
     odds = math.log((n + 0.5) / (toxic + 1)) - math.log((others + 0.5) / (clean + 1))
     if odds < LEAST_WEIGHT:
         return None
-    if n >= COMMON * toxic:
-        return odds
     rows, share = n + others, (toxic + 0.5) / (toxic + clean + 1)
     evidence = n * math.log(n / rows / share)
     if others:
