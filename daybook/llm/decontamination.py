@@ -50,8 +50,9 @@ SHORTEST = 4
 RUN = 13
 SHARE = 0.8
 
-# A run of so many words with the same values counts, whatever stands behind it.
-SAME_RUN = 50
+# A run of so many words with the same values counts, whatever stands behind it: the
+# shortest that does not take a question with one other value for a copy.
+SAME_RUN = 18
 
 # Window hashes of the benchmark that tasks hold at a time.
 BLOCK_WINDOWS = 1 << 20
