@@ -44,8 +44,11 @@ FILE_BYTES = 64 << 20
 ROUND_RULES = 4000
 LEAST_COUNT = 24
 
+# Bits of the hash by which pairs are counted and found again.
+PAIR_BITS = 18
+
 # Words whose ids a worker remembers, slots of the last ones, and words that one call encodes.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 SLOTS = 1 << 20
 ENCODED_AT_ONCE = 1000
 
@@ -195,8 +198,12 @@ def compress(ids: np.ndarray) -> bytes:
     rules = np.zeros((0, 2), np.uint32)
     sequence = ids
     # The most frequent pair is replaced at least once a round, so rounds end.
-    while len(pairs := _frequent(sequence, closed)):
-        sequence, pairs = _replaced(sequence, closed, pairs, first_rule + len(rules))
+    while len(at := _candidates(sequence, closed)):
+        left, right = sequence[at], sequence[at + 1]
+        pairs = _frequent(left, right)
+        if not len(pairs):
+            break
+        sequence, pairs = _replaced(sequence, at, left, right, pairs, first_rule + len(rules))
         closed = np.concatenate([closed, closed[pairs[:, 1]]])
         rules = np.concatenate([rules, pairs])
     lengths = np.ones(first_rule + len(rules), np.int64)
@@ -210,14 +217,20 @@ def compress(ids: np.ndarray) -> bytes:
 
 def _hashed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     mixed = (left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))
-    return (mixed ^ (mixed >> np.uint32(15))) * np.uint32(739982445)
+    return ((mixed ^ (mixed >> np.uint32(15))) * np.uint32(739982445)) >> np.uint32(32 - PAIR_BITS)
 
 
-def _frequent(sequence: np.ndarray, closed: np.ndarray) -> np.ndarray:
-    """The most frequent pairs inside documents, the most frequent first."""
+def _candidates(sequence: np.ndarray, closed: np.ndarray) -> np.ndarray:
+    """Where pairs inside documents stand that may be frequent, counted by hash without sorting."""
     left, right = sequence[:-1], sequence[1:]
-    inside = ~closed[left]
-    left, right = left[inside], right[inside]
+    places = _hashed(left, right).astype(np.intp)
+    often = np.bincount(places, minlength=1 << PAIR_BITS) >= LEAST_COUNT
+    at = np.flatnonzero(often.take(places))
+    return at[~closed.take(sequence.take(at))]
+
+
+def _frequent(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The most frequent of some pairs, the most frequent first."""
     ranked = np.sort(left.astype(np.uint64) << np.uint64(32) | right)
     first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]][: len(ranked)])
     counts = np.diff(np.r_[first, len(ranked)])
@@ -228,19 +241,17 @@ def _frequent(sequence: np.ndarray, closed: np.ndarray) -> np.ndarray:
 
 
 def _replaced(
-    sequence: np.ndarray, closed: np.ndarray, pairs: np.ndarray, fresh: int
+    sequence: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, pairs: np.ndarray, fresh: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, pairs used), pairs replaced where the more frequent neighbours leave room."""
-    bits = np.uint32(12)
-    slots = np.full(1 << 20, -1, np.int16)
+    slots = np.full(1 << PAIR_BITS, -1, np.int16)
     # Where two pairs share a slot, the more frequent has it in this round.
-    slots[(_hashed(pairs[::-1, 0], pairs[::-1, 1]) >> bits).astype(np.int64)] = np.arange(len(pairs))[::-1]
-    left, right = sequence[:-1], sequence[1:]
-    rank = slots[(_hashed(left, right) >> bits).astype(np.int64)]
-    at = np.flatnonzero((rank >= 0) & ~closed[left])
-    rank = rank[at].astype(np.int64)
-    real = (pairs[rank, 0] == left[at]) & (pairs[rank, 1] == right[at])
-    at, rank = at[real], rank[real]
+    slots[_hashed(pairs[::-1, 0], pairs[::-1, 1])] = np.arange(len(pairs))[::-1]
+    rank = slots[_hashed(left, right)]
+    some = np.flatnonzero(rank >= 0)
+    rank = rank[some].astype(np.int64)
+    real = (pairs[rank, 0] == left[some]) & (pairs[rank, 1] == right[some])
+    at, rank = at[some[real]], rank[real]
     # In a run of one symbol every second hit counts.
     alike = np.r_[False, (at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])][: len(at)]
     begins = np.maximum.accumulate(np.where(alike, 0, np.arange(len(at))))
