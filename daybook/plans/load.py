@@ -16,9 +16,10 @@ from daybook.plans.manifests import append_manifest, load_manifest, run_name
 from daybook.plans.staging import typed_bars
 from daybook.schemas import BAR_NUMBERS, LOAD_LEDGER, RAW
 from daybook.scratch import settle, settled_inside
-from daybook.sources.ledger import append_ledger, path_exists, read_ledger, within_history
+from daybook.sources.ledger import append_ledger, latest_entries, path_exists, read_ledger, within_history
 from daybook.sources.lines import as_payload, numbered, object_digests, scan_lines
 from daybook.sources.listing import list_files, objects_of, paths_of, stage_summary
+from daybook.sources.tags import Tagger, object_tags, split_by_tag, store_tags
 
 # Fixed value: days a load history is kept where that behaviour is asked for.
 EXPIRING_HISTORY_DAYS = 64
@@ -57,20 +58,32 @@ def load_new_files(
     now: datetime.datetime,
     history_days: int | None = None,
     files: DataFrame | None = None,
+    tags: Tagger = store_tags,
 ) -> dict[str, int]:
     """Append the lines of new or changed objects; no such objects is a success.
 
-    Everything under the stage is digested by content, at whatever depth it lies, and
-    objects whose path and digest the ledger knows are left out. Only the files of the
-    others are read again, to be written once and numbered from there. Raw rows carry a
-    load id, and the ledger entries that make them visible come last, so a failed load
-    adds nothing. ``files`` is the listing, where the caller has it already.
+    Everything under the stage is looked at, at whatever depth it lies. Objects whose path
+    and content the ledger knows are left out: by the tag that the store has of the
+    content, without opening them, or by a digest of the content where there is no tag or
+    another one. Only the files of the others are read again, to be written once and
+    numbered from there. Raw rows carry a load id, and the ledger entries that make them
+    visible come last, so a failed load adds nothing. A known content under a new tag is
+    entered without rows, so it is read for its tag once. ``files`` is the listing, where
+    the caller has it already.
     """
     files = settle(list_files(spark, stage), "listed") if files is None else files
     if files.isEmpty():
         return {"files_processed": 0, "rows_loaded": 0}
     known = settle(within_history(read_ledger(spark, ledger, LOAD_LEDGER), now, history_days), "ledger")
-    fresh = settle(files_to_load(object_digests(scan_lines(spark, stage)), known), "fresh")
+    tagged = settle(object_tags(files, tags(spark, stage, files)), "tags")
+    same, suspects = split_by_tag(tagged, known, ["source_file", "tag"])
+    # A stage without tags is scanned by its root, which needs no list of paths.
+    paths = paths_of(files, suspects) if not same.isEmpty() else None
+    if paths == []:
+        return {"files_processed": 0, "rows_loaded": 0}
+    digests = settle(object_digests(scan_lines(spark, stage, paths=paths)), "digests")
+    fresh = settle(files_to_load(digests, known), "fresh")
+    _enter_tags(digests.join(tagged.filter("tag IS NOT NULL"), "source_file"), known, ledger)
     paths = paths_of(files, fresh)
     if not paths:
         return {"files_processed": 0, "rows_loaded": 0}
@@ -81,13 +94,23 @@ def load_new_files(
         "payload", "source_file", "file_row_number", loaded_at, F.lit(load_id).alias("load_id")
     ).write.mode("append").partitionBy("load_id").parquet(raw)
     # The digests are those of the lines that were loaded, not of an earlier look.
-    entries = object_digests(lines).join(objects_of(files), "source_file")
+    entries = object_digests(lines).join(objects_of(files), "source_file").join(tagged, "source_file")
     entries = settle(entries.select("*", F.lit(load_id).alias("load_id"), loaded_at), "entries")
     append_ledger(entries, ledger, LOAD_LEDGER)
     totals = entries.agg(F.count("*").alias("files"), F.sum("row_count").alias("rows")).first()
     return {"files_processed": totals["files"], "rows_loaded": totals["rows"]}
 
 
+def _enter_tags(seen: DataFrame, known: DataFrame, ledger: str) -> None:
+    """Remember new tags of contents that were loaded before, each with its load and no rows."""
+    known = known.filter("row_count > 0").select("source_file", "digest", "bytes", "modified_at", "load_id", "loaded_at")
+    newest = latest_entries(known, ["source_file", "digest"], "loaded_at")
+    entries = seen.drop("row_count").join(newest, ["source_file", "digest"]).withColumn("row_count", F.lit(0))
+    entries = settle(entries, "tag-entries")
+    if not entries.isEmpty():
+        append_ledger(entries, ledger, LOAD_LEDGER)
+
+
 def load(
     spark: SparkSession,
     stage: str,
@@ -97,6 +120,7 @@ def load(
     dry_run: bool = False,
     history_days: int | None = None,
     manifests: str | None = None,
+    tags: Tagger = store_tags,
 ) -> dict:
     """A load with its check: rows before, measure after, manifest and verdict.
 
@@ -109,7 +133,7 @@ def load(
         before = _rows_recorded(spark, ledger)
         loaded = {"files_processed": 0, "rows_loaded": 0}
         if not dry_run:
-            loaded = load_new_files(spark, stage, raw, ledger, now, history_days, files)
+            loaded = load_new_files(spark, stage, raw, ledger, now, history_days, files, tags)
         after = table_measure(typed_bars(read_raw(spark, raw, ledger)))
         manifest = load_manifest(before, after, loaded, staged, run_name(now), dry_run)
         record = manifest.first()

@@ -129,6 +129,7 @@ LOAD_LEDGER = T.StructType(
         T.StructField("modified_at", T.TimestampType()),
         T.StructField("load_id", T.StringType()),
         T.StructField("loaded_at", T.TimestampNTZType()),
+        T.StructField("tag", T.StringType()),
     ]
 )
 
@@ -139,5 +140,7 @@ PUBLISH_LEDGER = T.StructType(
         T.StructField("local_bytes", T.LongType()),
         T.StructField("local_modified_at", T.TimestampType()),
         T.StructField("published_at", T.TimestampNTZType()),
+        T.StructField("local_tag", T.StringType()),
+        T.StructField("stage_tag", T.StringType()),
     ]
 )
