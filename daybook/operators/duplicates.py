@@ -31,8 +31,13 @@ def duplicate_key_files(loads: DataFrame) -> DataFrame:
 
 def duplicate_files(loads: DataFrame) -> DataFrame:
     """Per file: duplicated keys, keys that changed, surplus rows, and their days."""
+    return files_of_keys(duplicate_key_files(loads))
+
+
+def files_of_keys(key_files: DataFrame) -> DataFrame:
+    """:func:`duplicate_files` from what :func:`duplicate_key_files` gives."""
     return (
-        duplicate_key_files(loads)
+        key_files
         .groupBy("source_file")
         .agg(
             F.count("*").alias("dup_keys"),
@@ -46,13 +51,18 @@ def duplicate_files(loads: DataFrame) -> DataFrame:
 
 def classify_duplicates(loads: DataFrame) -> DataFrame:
     """One row with eleven measures, split by whether anything in a file changed."""
+    return classify_files(duplicate_files(loads))
+
+
+def classify_files(files: DataFrame) -> DataFrame:
+    """:func:`classify_duplicates` from what :func:`duplicate_files` gives."""
     revised = F.col("changed_keys") > 0
     reloaded = F.col("changed_keys") == 0
 
     def total(column: str, when: Column) -> Column:
         return F.coalesce(F.sum(F.when(when, F.col(column)).otherwise(0)), F.lit(0))
 
-    return duplicate_files(loads).agg(
+    return files.agg(
         F.count_if(reloaded).alias("reloaded_files"),
         F.count_if(revised).alias("revised_files"),
         total("dup_keys", reloaded).alias("reloaded_keys"),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from daybook.functions.bars import bar_fingerprint, utc_literal
 from daybook.operators.duplicates import classify_duplicates, verdict
 from daybook.operators.measures import table_measure
+from daybook.plans.kept import KeptMeasure
 from daybook.plans.manifests import append_manifest, load_manifest, run_name
 from daybook.plans.staging import typed_bars
 from daybook.schemas import BAR_NUMBERS, LOAD_LEDGER, RAW
@@ -30,13 +31,17 @@ def files_to_load(staged: DataFrame, ledger: DataFrame) -> DataFrame:
     return staged.join(ledger.select("source_file", "digest"), ["source_file", "digest"], "left_anti")
 
 
-def read_raw(spark: SparkSession, raw: str, ledger: str) -> DataFrame:
-    """The raw table, without rows of a load that never reached the ledger."""
+def read_raw(spark: SparkSession, raw: str, ledger: str, load_ids: list[str] | None = None) -> DataFrame:
+    """The raw table, without rows of a load that never reached the ledger, or some loads of it.
+
+    Loads are folders, so only those that are asked for are read.
+    """
     if not path_exists(spark, raw):
         return spark.createDataFrame([], RAW)
     schema = T.StructType([*RAW.fields, T.StructField("load_id", T.StringType())])
     committed = read_ledger(spark, ledger, LOAD_LEDGER).select("load_id").distinct()
     rows = spark.read.schema(schema).parquet(raw)
+    rows = rows if load_ids is None else rows.filter(F.col("load_id").isin(load_ids))
     return rows.join(committed, "load_id", "left_semi").select(*RAW.names)
 
 
@@ -124,8 +129,11 @@ def load(
 ) -> dict:
     """A load with its check: rows before, measure after, manifest and verdict.
 
-    Duplicates are classified only when rows and keys differ. The verdict is
-    ``STOP`` when a file came in twice unchanged, ``WARN`` on a revision.
+    The measure and the repeated keys are kept in a folder beside the ledger and added to,
+    so of the raw table only the new load's own rows are read. A dry run adds nothing, and
+    counts anew if a load has not been added yet. Duplicates are classified only when
+    rows and keys differ. The verdict is ``STOP`` when a file came in twice unchanged,
+    ``WARN`` on a revision.
     """
     with settled_inside(spark):
         files = settle(list_files(spark, stage), "listed")
@@ -134,18 +142,29 @@ def load(
         loaded = {"files_processed": 0, "rows_loaded": 0}
         if not dry_run:
             loaded = load_new_files(spark, stage, raw, ledger, now, history_days, files, tags)
-        after = table_measure(typed_bars(read_raw(spark, raw, ledger)))
+        kept = kept_measure(spark, raw, ledger)
+        if not dry_run:
+            kept.take_up()
+        known = not kept.missing()
+        after = kept.measure() if known else table_measure(typed_bars(read_raw(spark, raw, ledger)))
         manifest = load_manifest(before, after, loaded, staged, run_name(now), dry_run)
         record = manifest.first()
         if manifests:
             append_manifest(spark.createDataFrame([record], manifest.schema), f"{manifests}/load")
         result = record.asDict() | {"verdict": "OK"}
         if result["rows_after"] != result["distinct_keys_after"]:
-            summary = verdict(classify_duplicates(loads_of(read_raw(spark, raw, ledger))))
-            result |= summary.first().asDict()
+            summary = kept.classified() if known else classify_duplicates(loads_of(read_raw(spark, raw, ledger)))
+            result |= verdict(summary).first().asDict()
         return result
 
 
+def kept_measure(spark: SparkSession, raw: str, ledger: str) -> KeptMeasure:
+    """The measure of a raw table that is kept beside its ledger."""
+    return KeptMeasure(
+        spark, lambda load_ids: loads_of(read_raw(spark, raw, ledger, load_ids)), ledger, f"{ledger}-measure"
+    )
+
+
 def _rows_recorded(spark: SparkSession, ledger: str) -> int:
     """Rows of the raw table before a load, from its ledger instead of a scan."""
     rows = read_ledger(spark, ledger, LOAD_LEDGER).agg(F.sum("row_count").alias("rows"))

@@ -144,3 +144,22 @@ PUBLISH_LEDGER = T.StructType(
         T.StructField("stage_tag", T.StringType()),
     ]
 )
+
+# The kept measure of the raw table: what each take-up of loads added.
+MEASURE_LEDGER = T.StructType(
+    [
+        T.StructField("take_up", T.StringType()),
+        T.StructField("load_ids", T.ArrayType(T.StringType())),
+        T.StructField("rows", T.LongType()),
+        T.StructField("new_keys", T.LongType()),
+        T.StructField("new_tickers", T.LongType()),
+        T.StructField("first_day", T.DateType()),
+        T.StructField("last_day", T.DateType()),
+    ]
+)
+
+KEPT_BARS = "ticker string, source_file string, bar_hash long, n long, take_up string, date date"
+KEPT_TICKERS = "ticker string, take_up string"
+KEPT_REPEATS = (
+    "ticker string, trade_date date, source_file string, loads long, distinct_bars long, take int, take_up string"
+)
