@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.words import (
     LOWER,
+    give_back,
     inside_one_text,
     mix,
     pieces,
@@ -270,6 +271,7 @@ def _hits(docs: DataFrame, index: DataFrame, id_col: str, text_col: str) -> Data
                         if real.any():
                             names = ["doc_id", "text_hash"]
                             yield _rows(templates, at[real], own[real], width, keys, names)
+            give_back()
 
         made = rows.mapInArrow(run, f"doc_id long, text_hash long, {WINDOWS}")
         found = made if found is None else found.unionByName(made)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.words import ready
+from daybook.llm.words import give_back, ready
 from daybook.scratch import settle
 
 # N-grams of a profile, and labelled rows of a language that profiles learn from.
@@ -93,6 +93,7 @@ def identify(
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             arrays = [batch.column("doc_id"), *arrays]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score", "margin"])
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, margin double")
@@ -116,6 +117,7 @@ def keep_recognised(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([known(x.as_py()) for x in batch.column("text")], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.components import connected
-from daybook.llm.words import LOWER, partitions, pieces, ready, text_bytes, word_bounds
+from daybook.llm.words import LOWER, give_back, partitions, pieces, ready, text_bytes, word_bounds
 from daybook.scratch import settle
 
 BITS = 64
@@ -88,6 +88,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
                 values = [_fingerprint(*one, shingle) for one in _lowered(piece.column("text"))]
                 prints = pa.array(np.array(values, np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), prints], ["doc_id", "print"])
+        give_back()
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return picked.mapInArrow(run, "doc_id long, print long")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from daybook.llm.words import (
     LOWER,
     SPACE,
+    give_back,
     partitions,
     pieces,
     ready,
@@ -354,6 +355,8 @@ def write_tokens(
                     held, size, shard = [], 0, shard + 1
         if held:
             yield _shard_row(part, shard, held)
+        held.clear()
+        give_back()
 
     rows.mapInArrow(run, SHARDS).write.parquet(path)
 
@@ -406,6 +409,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = pa.array(row.column("base")[0].as_py() + ends - lengths, pa.int64())
             arrays = [row.column("doc_ids").flatten(), starts, pa.array(lengths, pa.int64())]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(own, pa.binary())], names)
+    give_back()
 
 
 def packed(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -7,6 +7,7 @@ which for UTF-8 is the same as a run of such characters.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -71,6 +72,17 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def give_back() -> None:
+    """Return memory that a task no longer uses to the machine.
+
+    Workers stay for later tasks of any kind, and would hold the largest need of all.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts in a row, offsets of each); a null counts as empty."""
     texts = texts.fill_null("") if texts.null_count else texts
