@@ -116,6 +116,16 @@ class KeptMeasure:
         current = repeats.join(newest, [*KEY, "take"], "left_semi")
         return classify_files(files_of_keys(current.select("source_file", *KEY, "loads", "distinct_bars")))
 
+    def holders(self, keys: DataFrame) -> DataFrame:
+        """Files of the loads taken up that hold any of ``keys``, none of which is null.
+
+        Reads the kept bars of the days of ``keys`` only.
+        """
+        days = among_days(keys, "trade_date")
+        bars = self._read("bars", KEPT_BARS).filter(days if days is not None else F.lit(False))
+        bars = bars.select("ticker", F.col("date").alias("trade_date"), "source_file")
+        return bars.join(keys.select(*KEY), KEY, "left_semi").select("source_file").distinct()
+
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

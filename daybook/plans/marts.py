@@ -10,12 +10,8 @@ from daybook.operators.series import ROWS_PER_SLICE, SERIES_ORDER, session_measu
 from daybook.schemas import DIM_TICKERS, FCT_DAILY_PRICES
 
 
-def fct_daily_prices(stg: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """What happened per ticker and session, with measures against its neighbours.
-
-    ``stg`` should be a table: it is scanned once for series lengths, once for
-    the windows.
-    """
+def measured_bars(stg: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """The columns of the fact table and the lineage that orders a series."""
     given = [c for c in FCT_DAILY_PRICES if c in stg.columns]
     lineage = [c for c in SERIES_ORDER if c not in given]
     measured = session_measures(stg.select(*given, *lineage), rows_per_slice)
@@ -24,7 +20,16 @@ def fct_daily_prices(stg: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Da
             "daily_return_pct": percent_change(F.col("close"), F.col("prior_close")),
             "dollar_volume": dollar_volume(F.col("vwap"), F.col("close"), F.col("volume")),
         }
-    ).select(*FCT_DAILY_PRICES)
+    ).select(*FCT_DAILY_PRICES, *lineage)
+
+
+def fct_daily_prices(stg: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """What happened per ticker and session, with measures against its neighbours.
+
+    ``stg`` should be a table: it is scanned once for series lengths, once for
+    the windows.
+    """
+    return measured_bars(stg, rows_per_slice).select(*FCT_DAILY_PRICES)
 
 
 def traded_by_ticker(stg: DataFrame) -> DataFrame:

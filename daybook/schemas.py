@@ -163,3 +163,22 @@ KEPT_TICKERS = "ticker string, take_up string"
 KEPT_REPEATS = (
     "ticker string, trade_date date, source_file string, loads long, distinct_bars long, take int, take_up string"
 )
+
+# The rolling fact table: its months with the lineage that orders a series, the rows of every
+# ticker and month, and what each change wrote.
+ROLLING_FACT = (
+    "price_key string, ticker string, trade_date date, open double, high double, low double, close double, "
+    "volume double, vwap double, transaction_count long, prior_close double, daily_return_pct double, "
+    "moving_avg_20d double, high_52w double, low_52w double, dollar_volume double, loaded_at timestamp_ntz, "
+    "source_file string, file_row_number long, take string, month int"
+)
+ROLLING_COUNTS = "ticker string, rows long, take string, month int"
+ROLLING_LEDGER = T.StructType(
+    [
+        T.StructField("take", T.StringType()),
+        T.StructField("number", T.IntegerType()),
+        T.StructField("months", T.ArrayType(T.IntegerType())),
+        T.StructField("held", T.ArrayType(T.IntegerType())),
+        T.StructField("load_ids", T.ArrayType(T.StringType())),
+    ]
+)
