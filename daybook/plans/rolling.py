@@ -82,7 +82,7 @@ class RollingFact:
 
     def read(self) -> DataFrame:
         """The fact table as of the last change that was completed."""
-        return self._read("rows", ROLLING_FACT).select(*FCT_DAILY_PRICES)
+        return self._read("rows", ROLLING_FACT, self._current()).select(*FCT_DAILY_PRICES)
 
     def missing(self, ledger: str) -> list[str]:
         """Committed loads that the fact table does not cover yet."""
@@ -95,7 +95,7 @@ class RollingFact:
         """Make the whole table from a staging table."""
         with settled_inside(self.spark):
             rows = self._measured(settle(stg.select(*BARS), "series"))
-            return self._commit([], list(self._current()), rows, load_ids)
+            return self._commit([], self._current(), rows, load_ids)
 
     def refresh(self, keys: DataFrame, stg: DataFrame, load_ids: Iterable[str] = ()) -> dict[str, list[int]]:
         """Put the rows that ``stg`` holds of ``keys`` in place of those held so far.
@@ -109,19 +109,24 @@ class RollingFact:
         with settled_inside(self.spark):
             changed = keys.select(*KEY).distinct().withColumn("month", month_of(F.col("trade_date")))
             changed = settle(changed, "changed-keys")
-            counts = settle(self._read("counts", ROLLING_COUNTS), "month-counts")
+            current = self._current()
+            counts = self._read("counts", ROLLING_COUNTS, current)
             ranges = settle(reaches(changed, counts), "reaches")
-            held = counts.alias("rows").join(ranges.alias("ranges"), null_safe_on("rows", "ranges", ["ticker"]))
-            to_read = _months(held.filter("month BETWEEN read_from AND until"))
-            to_write = set(_months(held.filter("month BETWEEN first AND until"))) | set(_months(changed))
-
-            earlier = self._read("rows", ROLLING_FACT, to_read).select(*BARS, "month")
+            held = _of_tickers(counts, ranges, "read_from", "inner")
+            months = held.select("month", (F.col("month") >= F.col("first")).alias("home"))
+            months = months.unionByName(changed.select("month", F.lit(None).cast("boolean").alias("home")))
+            # As many rows as the calendar has months, three times at most.
+            found = months.distinct().collect()
+            to_read = {r.month for r in found if r.home is not None}
+            to_write = {r.month for r in found if r.home is not False}
+
+            earlier = self._read("rows", ROLLING_FACT, current, to_read).select(*BARS, "month")
             earlier = _of_tickers(earlier, ranges, "read_from", "left_semi").drop("month")
             earlier = null_safe_filter(earlier, changed, list(KEY), "left_anti")
             added = null_safe_filter(stg.select(*BARS), changed, list(KEY), "left_semi")
             series = settle(earlier.unionByName(added), "series")
             fresh = _of_tickers(self._measured(series), ranges, "first", "left_semi")
-            carried = self._read("rows", ROLLING_FACT, sorted(to_write))
+            carried = self._read("rows", ROLLING_FACT, current, to_write)
             carried = _of_tickers(carried, ranges, "first", "left_anti")
             return self._commit(to_read, to_write, carried.unionByName(fresh), load_ids)
 
@@ -153,14 +158,15 @@ class RollingFact:
     ) -> dict[str, list[int]]:
         """Write the rows of ``months``, and of other months that have rows, as one take."""
         take, number = uuid.uuid4().hex, self._lines().count()
+        folder = f"{self.root}/rows/take={take}"
         # Written before it is ranged, as the sampling would compute the windows again.
         rows = settle(rows, "rolled")
         order = ("month", "ticker", *SERIES_ORDER)
         ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        ranged.write.partitionBy("month").parquet(f"{self.root}/rows/take={take}")
-        counts = settle(rows.groupBy("ticker", "month").agg(F.count("*").alias("rows")), "new-counts")
-        counts.repartitionByRange("month", "ticker").write.partitionBy("month").parquet(f"{self.root}/counts/take={take}")
-        held = _months(counts)
+        ranged.write.partitionBy("month").parquet(folder)
+        counts = rows.groupBy("ticker", "month").agg(F.count("*").alias("rows"))
+        counts.hint("rebalance", F.col("month")).write.partitionBy("month").parquet(f"{self.root}/counts/take={take}")
+        held = sorted(int(name.split("=")[1]) for name in self._names(folder) if name.startswith("month="))
         written = sorted({*months, *held})
         line = [(take, number, written, held, list(load_ids))]
         append_ledger(self.spark.createDataFrame(line, ROLLING_LEDGER), f"{self.root}/ledger", ROLLING_LEDGER)
@@ -178,10 +184,11 @@ class RollingFact:
         newest = months.groupBy("month").agg(F.max_by(state, "number").alias("state"))
         return {r.month: r.state.take for r in newest.filter("state.held").collect()}
 
-    def _read(self, kind: str, schema: str, months: list[int] | None = None) -> DataFrame:
+    def _read(
+        self, kind: str, schema: str, current: dict[int, str], months: set[int] | None = None
+    ) -> DataFrame:
         """The current rows of some or all months, from their own folders and no others."""
-        current = self._current()
-        due = sorted(current if months is None else set(months) & set(current))
+        due = sorted(current if months is None else months & set(current))
         base = f"{self.root}/{kind}"
         if not due:
             return self.spark.createDataFrame([], schema).drop("take")
@@ -198,16 +205,15 @@ class RollingFact:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _months(rows: DataFrame) -> list[int]:
-    """Distinct months; as many as the calendar has."""
-    return sorted(r.month for r in rows.select("month").distinct().collect())
-
-
 def _of_tickers(rows: DataFrame, ranges: DataFrame, start: str, how: str) -> DataFrame:
-    """Rows that lie, or with an anti join do not, in the months of their ticker's range."""
+    """Rows that lie, or with an anti join do not, in the months of their ticker's range.
+
+    An inner join puts the first of these months beside them.
+    """
     inside = F.col("rows.month").between(F.col(f"ranges.{start}"), F.col("ranges.until"))
     on = null_safe_on("rows", "ranges", ["ticker"]) & inside
-    return rows.alias("rows").join(ranges.alias("ranges"), on, how)
+    joined = rows.alias("rows").join(ranges.alias("ranges"), on, how)
+    return joined.select("rows.*", "ranges.first") if how == "inner" else joined
 
 
 @dataclass
