@@ -1,4 +1,4 @@
-"""Command line: ``python -m daybook ingest|publish|load|build|freshness``.
+"""Command line: ``python -m daybook ingest|publish|load|build|roll|freshness``.
 
 Exit codes say whether a run did its work: 1 when a ticker failed, when an object
 could not be published, when a file was loaded twice unchanged, or when a check ended
@@ -21,6 +21,7 @@ from daybook.plans.build import build
 from daybook.plans.ingest import BACKFILL_DAYS, DAILY_DAYS, ingest
 from daybook.plans.load import load, read_raw
 from daybook.plans.publish import PREFIX, publish
+from daybook.plans.rolling import RawTable, RollingFact, roll_loads
 from daybook.scratch import forget_settled
 from daybook.session import build_session
 from daybook.sources.reference import read_reference, read_universe, universe_override
@@ -64,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
     make.add_argument("--reference", required=True, help="CSV of ticker, company and sector")
     make.add_argument("--as-of", type=datetime.date.fromisoformat, help="day to judge lateness by")
 
+    steps.add_parser("roll", help="carry the rolling fact table forward by the new loads")
     steps.add_parser("freshness", help="age of the newest load")
     return top
 
@@ -110,6 +112,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         counts = [n.status for n in nodes]
         record = {status: counts.count(status) for status in ("pass", "warn", "error", "skip")}
         failed = record["error"] > 0
+    elif args.step == "roll":
+        months = roll_loads(RawTable(spark, raw, loaded), RollingFact(spark, f"{home}/rolling"))
+        record, failed = {f"months_{what}": len(which) for what, which in months.items()}, False
     else:
         age = source_freshness(read_raw(spark, raw, loaded), utc_ntz(F.current_timestamp())).first()
         record, failed = age.asDict(), age.status == "error"

@@ -33,6 +33,8 @@ def test_steps_as_commands(spark, tmp_path, capsys):
     code, record = command("build", "--reference", str(tmp_path / "reference.csv"), "--as-of", "2024-03-08")
     assert (code, record) == (0, {"pass": 29, "warn": 0, "error": 0, "skip": 0})
     assert command("freshness")[0] == 0
+    assert command("roll") == (0, {"months_read": 0, "months_written": 1})
+    assert command("roll") == (0, {"months_read": 0, "months_written": 0}), "no load since"
 
     house = Warehouse(spark, root=f"{home}/tables")
     rows = reports.marts_query(house.table("fct_daily_prices"), house.table("dim_tickers"))
