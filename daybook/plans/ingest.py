@@ -20,6 +20,7 @@ from daybook.plans.manifests import (
 )
 from daybook.schemas import LANDED_FIELDS
 from daybook.scratch import settle, settled_inside
+from daybook.sources.commits import DaysChanged, newest_snapshot
 from daybook.sources.ledger import path_exists
 from daybook.sources.day_files import among_days, read_day_lines, write_days
 from daybook.sources.responses import (
@@ -34,6 +35,9 @@ from daybook.sources.responses import (
 DAILY_DAYS = 7
 BACKFILL_DAYS = 730
 
+# How often a run merges its rows anew because others committed the same days.
+ATTEMPTS = 5
+
 
 def market_date(utc: datetime.datetime) -> datetime.date:
     """Which trading day a UTC instant falls on."""
@@ -58,21 +62,33 @@ def usable_rows(rows: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def upsert_days(spark: SparkSession, root: str, rows: DataFrame) -> dict[str, int]:
-    """Merge received rows into the day partitions and rewrite the changed days."""
+    """Merge received rows into the day partitions and replace the changed days at once.
+
+    Where another run commits one of these days in between, the rows are merged anew with
+    what it wrote.
+    """
     days = rows.select("trade_date").distinct()
     touched = among_days(days, "trade_date")
     if touched is None:
         return {"dates_touched": 0, "dates_rewritten": 0}
-    if path_exists(spark, root):
-        old = read_day_lines(spark, root, touched).join(days, "trade_date", "left_semi")
-    else:
-        old = rows.select(*LANDED_FIELDS).limit(0)
-    # Settled, because the partitions it was read from are about to be replaced.
-    merged = settle(merge_days(old, rows), "merged-days")
-    counts = merge_counts(merged, rows).first()
-    if counts["dates_rewritten"]:
-        changed = merged.filter("changed").select("trade_date").distinct()
-        write_days(merged.join(changed, "trade_date", "left_semi"), root)
+    read = [r.day for r in days.select(F.col("trade_date").cast("string").alias("day")).collect() if r.day]
+    for attempt in range(ATTEMPTS):
+        base = newest_snapshot(spark, root)
+        if path_exists(spark, root):
+            old = read_day_lines(spark, root, touched).join(days, "trade_date", "left_semi")
+        else:
+            old = rows.select(*LANDED_FIELDS).limit(0)
+        # Settled, because the files it was read from may be replaced.
+        merged = settle(merge_days(old, rows), "merged-days")
+        counts = merge_counts(merged, rows).first()
+        try:
+            if counts["dates_rewritten"]:
+                changed = merged.filter("changed").select("trade_date").distinct()
+                write_days(merged.join(changed, "trade_date", "left_semi"), root, base=base, read=read)
+            break
+        except DaysChanged:
+            if attempt == ATTEMPTS - 1:
+                raise
     return {k: int(counts[k] or 0) for k in ("dates_touched", "dates_rewritten")}
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schemas import COUNTS, LANDED_FIELDS
+from daybook.sources.commits import Snapshot, commit_days, drop_version, new_version, newest_snapshot
 from daybook.sources.lines import scan_lines
 
 TEXTS = ("ticker", "trade_date", "ingested_at_utc")
@@ -13,6 +16,9 @@ TEXTS = ("ticker", "trade_date", "ingested_at_utc")
 # A day is one file until it outgrows this many rows, then several.
 ROWS_PER_FILE = 1_000_000
 
+# Fixed value: what Spark names the folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 # Whole doubles below this are written as JSON integers, like any serializer does.
 EXACT_INTEGER = 1e15
 
@@ -76,20 +82,42 @@ def among_days(days: DataFrame, column: str) -> Column | None:
     return F.col("date").isin([r.day for r in days if r.day is not None])
 
 
-def write_days(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Replace the day partitions that ``rows`` covers, leaving all others alone.
+def write_days(
+    rows: DataFrame,
+    root: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    base: Snapshot | None = None,
+    read: Iterable[str] = (),
+) -> Snapshot:
+    """Replace the days that ``rows`` covers all at once, leaving all others alone.
 
     Rows are ranged by (date, ticker), which keeps a day's lines sorted, and a
-    day that holds very many rows is cut over several tasks and files.
+    day that holds very many rows is cut over several tasks and files. They are added
+    under a new version, and one commit record makes them count together; a run that
+    dies before has changed nothing. ``base`` is the snapshot the rows were made from and
+    ``read`` the days it was read for; ``DaysChanged`` is raised where another run has
+    committed one of these days since.
     """
+    spark = rows.sparkSession
+    base, version = base or newest_snapshot(spark, root), new_version()
+    day = F.coalesce(F.col("trade_date").cast("string"), F.lit(NO_DAY))
+    days = [r.day for r in rows.select(day.alias("day")).distinct().collect()]
+    if not days:
+        return base
     lines = rows.select(F.col("trade_date").alias("date"), "ticker", json_line().alias("value"))
-    (
-        lines.repartitionByRange("date", "ticker")
-        .sortWithinPartitions("date", "ticker")
-        .select("value", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("date")
-        .text(root)
-    )
+    try:
+        (
+            lines.repartitionByRange("date", "ticker")
+            .sortWithinPartitions("date", "ticker")
+            .select("value", "date")
+            .write.mode("append")
+            .option("mapreduce.output.basename", f"part-{version}")
+            .option("maxRecordsPerFile", rows_per_file)
+            .partitionBy("date")
+            .text(root)
+        )
+        return commit_days(spark, root, base, version, days, read)
+    except Exception:
+        if newest_snapshot(spark, root).days.get(days[0]) != version:
+            drop_version(spark, root, version, days)
+        raise

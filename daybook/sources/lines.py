@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook.scratch import settle
+from daybook.sources.commits import newest_snapshot
 
 
 # What identifies one piece of a file that one task reads.
@@ -50,8 +51,10 @@ def scan_lines(
     All files below ``root`` are read, at whatever depth, or only ``paths`` of them. A
     condition ``where`` is for roots that hold ``date`` directories and nothing else:
     these become a partition column, and the condition prunes before the listing is
-    scanned.
+    scanned. Where the root has commit records, only files of the newest are read.
     """
+    # Looked up before the files are listed, so none that it names is missing there.
+    snapshot = newest_snapshot(spark, root) if paths is None else None
     reader = spark.read if where is not None else spark.read.option("recursiveFileLookup", True)
     lines = reader.text(root if paths is None else paths)
     lines = lines.filter(F.col("value").rlike(WHITE.replace("[", "[^", 1)))
@@ -59,6 +62,8 @@ def scan_lines(
         lines = lines.filter(where)
     kept = [c for c in lines.columns if c != "value"]
     path = plain_path(F.col("_metadata.file_path"))
+    if snapshot and snapshot.number:
+        lines = lines.filter(snapshot.counts(path))
     return lines.select(
         "value",
         *kept,

@@ -5,14 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.sources.commits import newest_snapshot
 from daybook.sources.lines import day_of_object, relative_object
 
+
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(source_file, path, bytes, modified_at) of every data file under ``root``."""
+    """(source_file, path, bytes, modified_at) of every data file under ``root``.
+
+    Where the root has commit records, these are the files of the newest one.
+    """
+    snapshot = newest_snapshot(spark, root)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(
+    files = reader.load(root)
+    if snapshot.number:
+        files = files.filter(snapshot.counts(F.col("path")))
+    return files.select(
         relative_object(F.col("path"), root).alias("source_file"),
         "path",
         F.col("length").alias("bytes"),
