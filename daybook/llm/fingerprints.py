@@ -13,22 +13,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.words import mix, partitions, ready, text_volume, word_hashes
+from daybook.scratch import settle
 
 BINS = 128
 
 # Phrases in a dictionary before it starts anew, which bounds the memory of a long text.
 DICTIONARY = 1 << 18
 
-# Bytes of text between two boundaries of the order of documents.
+# Bytes of text in a range of the order of documents.
 RANGE_BYTES = 64 << 20
 
-LEAST = np.iinfo(np.int64).min
-
-
 class Parse:
     """An LZ78 parse that can be copied and goes on from where it stands."""
 
@@ -93,11 +92,16 @@ def signature_of(fingerprint: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(fingerprint), ">u2")
 
 
-RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double"
+# Rows of a walked range: its first document, its last, and results.
+HEAD, INNER, TAIL = 0, 1, 2
+ENDS = "kind int, part int, text string"
+
+# Results as they are kept, with hashes in bytes.
+KEPT = (
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
 )
-KINDS = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+KINDS = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
 
 
 def fingerprint_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -121,94 +125,101 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Documents follow each other by descending id, after the last the first again. The
     edited text has the last third of the code points replaced by the first as many
     of the next document. A null text is empty; null ids come last, and rows with
-    equal ids by descending hash of the text. A single row is its own next.
-
-    Documents are cut into ranges of ids, each sorted and walked by one task; of every
-    other range a task only sees the first document of the one behind it.
+    equal ids by descending hash of the text. A single row is its own next, and an empty
+    table gives an empty result. Other columns are ignored, whatever their names.
+
+    Texts are shuffled once, into ranges of id, hash and row, so that many rows without
+    an id, with one id, or even of one text are cut over several tasks. A task walks its
+    range and lays out the first and the last document of it, whose neighbours are in
+    other ranges; these, one pair a range, meet in a second step. ``docs`` should come
+    from files or a settled table, as its rows are numbered in the order they are read.
     """
     spark = ready(docs.sparkSession)
-    count = max(4 * partitions(spark), text_volume(docs, text_col) // RANGE_BYTES)
+    count = max(partitions(spark), text_volume(docs, text_col) // RANGE_BYTES)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(F.col(text_col)).alias("hash"),
+        F.monotonically_increasing_id().alias("row"),
         F.col(text_col).alias("text"),
     )
-    steps = [k / count for k in range(1, count)]
-    cuts = np.unique(np.array(rows.approxQuantile("doc_id", steps, 0.25 / count), np.float64))
-
-    def range_of(ids: pa.Array) -> np.ndarray:
-        values = ids.fill_null(LEAST).to_numpy()
-        found = len(cuts) - np.searchsorted(cuts, values.astype(np.float64), "right")
-        return np.where(ids.is_null().to_numpy(zero_copy_only=False), len(cuts) + 1, found)
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = [pa.array(range_of(batch.column("doc_id")), pa.int64()), *batch.columns]
-            yield pa.RecordBatch.from_arrays(arrays, ["part", *batch.schema.names])
-
-    heads = rows.select("doc_id", "hash").mapInArrow(numbered, "part long, doc_id long, hash long")
-    heads = heads.groupBy("part").agg(F.max(F.struct("doc_id", "hash")).alias("head")).collect()
-    heads = sorted((r["part"], tuple(r["head"])) for r in heads)
-    # The head of a range also goes, as a guest, to the range before it.
-    guest_in = {head: heads[k - 1][0] for k, (_, head) in enumerate(heads)}
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = range_of(batch.column("doc_id"))
-            keys = zip(batch.column("doc_id").to_pylist(), batch.column("hash").to_pylist(), strict=True)
-            guests = [(k, guest_in[key]) for k, key in enumerate(keys) if key in guest_in]
-            own = [pa.array(parts, pa.int64()), pa.array([False] * batch.num_rows), *batch.columns]
-            names = ["part", "guest", *batch.schema.names]
-            yield pa.RecordBatch.from_arrays(own, names)
-            if guests:
-                taken = batch.take(pa.array([k for k, _ in guests]))
-                more = [pa.array([p for _, p in guests], pa.int64()), pa.array([True] * len(guests))]
-                yield pa.RecordBatch.from_arrays([*more, *taken.columns], names)
-
-    kinds = "part long, guest boolean, doc_id long, hash long, text string"
-    order = ["part", "guest", F.col("doc_id").desc_nulls_last(), F.col("hash").desc()]
-    walked = rows.mapInArrow(dealt, kinds).repartition(partitions(spark), "part")
-    return walked.sortWithinPartitions(*order).mapInArrow(_walk, RESULT)
+    order = [F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), F.col("row")]
+    ranged = rows.repartitionByRange(count, *order).sortWithinPartitions(*order)
+    walked = settle(ranged.select("doc_id", "text").mapInArrow(_walk, f"{ENDS}, {KEPT}"), "walked")
+    inner = walked.filter(F.col("kind") == INNER).select(*_names(KEPT))
+
+    heads = walked.filter(F.col("kind") == HEAD).select("part", F.col("text").alias("next_text"))
+    tails = walked.filter(F.col("kind") == TAIL).select("part", "doc_id", "text")
+    # One narrow row for each range with rows in it: what follows it, the last by the first.
+    turns = Window.orderBy("part")
+    first = F.min("part").over(turns.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    turn = tails.select("part", F.coalesce(F.lead("part").over(turns), first).alias("following"))
+    heads = heads.withColumnRenamed("part", "following")
+    pairs = tails.join(turn, "part").join(heads, "following").select("doc_id", "text", "next_text")
+    outer = pairs.mapInArrow(_meet, KEPT)
+    digest, prints = [F.lower(F.hex("edited_sha256")).alias("edited_sha256")], ("fingerprint", "edited_fingerprint")
+    shown = [*digest, *[F.lower(F.hex(c)).alias(c) for c in prints]]
+    return inner.unionByName(outer).select("doc_id", "n_chars", *shown, "near_edited", "near_next")
 
 
 class Held:
     """A document whose next has not come yet."""
 
-    def __init__(self, part: int, doc_id: int | None, text: str):
-        self.part, self.doc_id, self.text = part, doc_id, text
+    def __init__(self, doc_id: int | None, text: str):
+        self.doc_id, self.text = doc_id, text
         kept = len(text) - len(text) // 3
         self.cut = Parse().feed(text[:kept])
         self.signature = self.cut.copy().feed(text[kept:]).signature()
 
-    def row(self, following: Held) -> tuple:
+    def row(self, next_text: str, next_signature: np.ndarray) -> tuple:
         third = len(self.text) // 3
-        replaced = following.text[:third]
+        replaced = next_text[:third]
         edited = self.text[: len(self.text) - third] + replaced
         other = self.cut.feed(replaced).signature()
         return (
             self.doc_id,
             len(self.text),
-            hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-            self.signature.tobytes().hex(),
-            other.tobytes().hex(),
+            hashlib.sha256(edited.encode("utf-8", "surrogatepass")).digest(),
+            self.signature.tobytes(),
+            other.tobytes(),
             likeness(self.signature, other),
-            likeness(self.signature, following.signature),
+            likeness(self.signature, next_signature),
         )
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _batch(rows: list[tuple], kinds: tuple, schema: str) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, _names(schema))
+
+
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Result rows of sorted ranges, each document against the next one."""
-    held = None
+    """Result rows of a sorted range, each document against the next one, and its two ends."""
+    part, held = TaskContext.get().partitionId(), None
+    nothing = (None,) * (len(KINDS) - 1)
+    for batch in batches:
+        rows = []
+        for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+            now = Held(doc_id.as_py(), text.as_py() or "")
+            if held is None:
+                rows.append((HEAD, part, now.text, now.doc_id, *nothing))
+            else:
+                rows.append((INNER, part, None, *held.row(now.text, now.signature)))
+            held = now
+        yield _batch(rows, (pa.int32(), pa.int32(), pa.string(), *KINDS), f"{ENDS}, {KEPT}")
+    if held is not None:
+        end = [(TAIL, part, held.text, held.doc_id, *nothing)]
+        yield _batch(end, (pa.int32(), pa.int32(), pa.string(), *KINDS), f"{ENDS}, {KEPT}")
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Result rows of documents that stand beside their next ones."""
     for batch in batches:
         rows = []
-        columns = [batch.column(c) for c in ("part", "guest", "doc_id", "text")]
-        for part, guest, doc_id, text in zip(*columns, strict=True):
-            if held is None and guest.as_py():
-                continue
-            now = Held(part.as_py(), doc_id.as_py(), text.as_py() or "")
-            if held is not None:
-                rows.append(held.row(now))
-            held = None if guest.as_py() else now
-        columns = list(zip(*rows, strict=True)) or [()] * len(KINDS)
-        arrays = [pa.array(c, k) for c, k in zip(columns, KINDS, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in RESULT.split(", ")])
+        for doc_id, text, following in zip(*batch.columns, strict=True):
+            signature = Parse().feed(following.as_py()).signature()
+            rows.append(Held(doc_id.as_py(), text.as_py()).row(following.as_py(), signature))
+        yield _batch(rows, KINDS, KEPT)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from daybook.llm import fingerprints
 from daybook.llm.fingerprints import Parse, compare_with_next, fingerprint_texts, likeness, signature_of
 from daybook.llm.words import mix, word_hashes
+from daybook.scratch import settle
 
 
 def phrases(text):
@@ -68,6 +69,39 @@ def test_odd_rows(spark):
     check(spark, odd_rows(), clashes=True)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_id_are_cut_over_ranges(spark, monkeypatch, doc_id):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 2000)
+    rows = [(doc_id, prose(k % 40, 20)) for k in range(400)] + [(doc_id, "the same words")] * 400 + [(3, "x"), (9, "y")]
+    written = []
+
+    def watched(df, label):
+        table = settle(df, label)
+        written.append(table)
+        return table
+
+    monkeypatch.setattr(fingerprints, "settle", watched)
+    check(spark, rows)
+    sizes = [r["count"] for r in written[0].filter(f"kind <> {fingerprints.TAIL}").groupBy("part").count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) >= 8 and max(sizes) < len(rows) / 3
+
+
+def test_no_range_goes_through_the_driver(spark, monkeypatch):
+    docs, seen = documents(spark, [(k, prose(k, 30)) for k in range(50)]), []
+    collect = type(docs).collect
+
+    def watched(df):
+        rows = collect(df)
+        seen.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", watched)
+    for name in ("toLocalIterator", "approxQuantile"):
+        monkeypatch.setattr(type(docs), name, lambda *a, **k: pytest.fail("rows go to the driver"))
+    compare_with_next(docs)
+    assert seen == [1]
+
+
 def test_equal_texts_have_equal_fingerprints(spark):
     got = fingerprint_texts(documents(spark, [(1, "same text"), (2, "same text"), (3, None), (4, "")])).collect()
     prints = {r.doc_id: r.fingerprint for r in got}
