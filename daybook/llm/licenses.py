@@ -13,7 +13,9 @@ others never leave the first pass with more than their licence words.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from itertools import product
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,14 +53,83 @@ TEMPLATES = (
     ("cc0", "dedicated to the public domain under cc0 1 0 universal", "cc0 1 0 universal"),
     ("reserved", "copyright all rights reserved", "all rights reserved"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software released into the public domain"),
+    ("apache-2.0", "licensed under the apache license 2 0", "apache license 2 0"),
+    ("apache-2.0", "released under the apache 2 0 license", "apache 2 0 license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
+    ("isc", "released under the isc license", "isc license"),
+    ("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    ("zlib", "in no event will the authors be held liable for any damages arising from the use of this software", "will the authors be held liable for any damages"),
+    ("bsl-1.0", "distributed under the boost software license version 1 0", "boost software license"),
+    ("bsd", "released under the bsd license", "bsd license"),
+    ("gfdl", "under the terms of the gnu free documentation license", "gnu free documentation license"),
+    ("ofl", "licensed under the sil open font license version 1 1", "open font license"),
+    ("odbl", "made available under the open database license", "open database license"),
 )
 
+# How the conditions of a Creative Commons licence are written.
+CONDITIONS = {
+    "nc": ("noncommercial", "non commercial"),
+    "nd": ("noderivatives", "noderivs", "no derivatives", "no derivs"),
+    "sa": ("sharealike", "share alike"),
+}
+VARIANTS = (("nc",), ("nd",), ("sa",), ("nc", "nd"), ("nc", "sa"))
+
+# Identifiers of the SPDX list, and their labels.
+IDENTIFIERS = {
+    "mit": "mit",
+    "apache 2 0": "apache-2.0",
+    "gpl 2 0": "gpl",
+    "gpl 3 0": "gpl",
+    "lgpl 2 1": "lgpl",
+    "lgpl 3 0": "lgpl",
+    "agpl 3 0": "agpl",
+    "bsd 2 clause": "bsd",
+    "bsd 3 clause": "bsd",
+    "mpl 2 0": "mpl-2.0",
+    "isc": "isc",
+    "epl 1 0": "epl",
+    "epl 2 0": "epl",
+    "zlib": "zlib",
+    "bsl 1 0": "bsl-1.0",
+    "unlicense": "unlicense",
+    "cc0 1 0": "cc0",
+    "cc by 4 0": "cc-by",
+    "cc by sa 4 0": "cc-by-sa",
+    "cc by nc 4 0": "cc-by-nc",
+}
+
+# Phrases that begin with the same so many words, from so many on, let a file in by these.
+GATE_WORDS, GATE_SHARED = 3, 4
+
+
+def _variants() -> list[tuple[str, str, str]]:
+    """The notices of Creative Commons licences with conditions, however these are written."""
+    found = []
+    for conditions in VARIANTS:
+        short = " ".join(conditions)
+        label = "cc-by-" + "-".join(conditions)
+        for written in product(*[CONDITIONS[c] for c in conditions]):
+            key = f"creative commons attribution {' '.join(written)}"
+            found.append((label, f"licensed under a {key} 4 0 international license", key))
+        found.append((label, f"this work is licensed under cc by {short}", f"cc by {short}"))
+    return found
+
+
+def _tagged() -> list[tuple[str, str, str]]:
+    """The lines that name a licence by its SPDX identifier."""
+    lines = {f"spdx license identifier {name}": label for name, label in IDENTIFIERS.items()}
+    return [(label, line, line) for line, label in lines.items()]
+
+
+# What is looked for: the notices above, all variants, and all identifiers.
+KNOWN = (*TEMPLATES, *_variants(), *_tagged())
+
 
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    templates: tuple = TEMPLATES,
+    templates: tuple = KNOWN,
     base: dict[str, str] = BASE,
 ) -> DataFrame:
     """Licence labels of every row.
@@ -70,6 +141,9 @@ def scan_licenses(
     score (share of the best matched template's words that stand in place; 1 with a
     base phrase, 0 with nothing) and templates (matched ones, by number, with starts).
 
+    Where a matched key phrase is part of a longer one that matched around it, as that of
+    CC BY in CC BY-SA, the longer alone gives a label and a share.
+
     A null or empty text has no words and no labels. Rows that share an id, or have
     none, are scanned each on its own. Notices need not be whole, but the key phrase
     must be. An empty table gives an empty result; other columns are ignored.
@@ -86,7 +160,7 @@ def scan_licenses(
         F.size("words").cast("long").alias("n_words"),
         F.array_intersect("words", known).alias("present"),
     )
-    likely = reduce(or_, [_has_all(p) for p in dict.fromkeys(phrases)])
+    likely = reduce(or_, [_has_all(gate) for gate in _gates(phrases)])
     scanned = scanned.withColumn("words", F.when(likely, F.col("words")))
     scanned = settle(scanned, "scanned")
     likely = scanned.filter("words IS NOT NULL")
@@ -105,9 +179,11 @@ def scan_licenses(
         F.array_compact(F.array(*labels)).alias("own"),
     )
     nothing = F.array().cast("array<string>")
+    parts = _parts_of_longer(matched, templates).withColumn("part", F.lit(True))
+    matched = matched.join(parts, ["row", "template", "start"], "left")
     per_row = matched.groupBy("row").agg(
-        F.max("share").alias("share"),
-        F.collect_set("label").alias("more"),
+        F.max(F.when(F.col("part").isNull(), F.col("share"))).alias("share"),
+        F.collect_set(F.when(F.col("part").isNull(), F.col("label"))).alias("more"),
         F.array_sort(F.collect_set(F.struct("template", F.col("start").alias("first_word")))).alias("templates"),
     )
     result = scanned.select("row", "doc_id", "n_words").join(found, "row", "left").join(per_row, "row", "left")
@@ -135,6 +211,43 @@ def _lowered(text: Column) -> Column:
     return F.when(odd, F.translate(text, CAPITALS, SMALL)).otherwise(F.lower(text))
 
 
+def _gates(phrases: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """Sets of words one of which a file with any of the phrases has in full.
+
+    A phrase's own words, or the first of them where many phrases begin alike, without
+    those that hold all words of another set.
+    """
+    begins = Counter(p[:GATE_WORDS] for p in dict.fromkeys(phrases))
+    heads = [p[:GATE_WORDS] if begins[p[:GATE_WORDS]] >= GATE_SHARED else p for p in phrases]
+    sets = {frozenset(p): p for p in heads}
+    return [p for own, p in sets.items() if not any(other < own for other in sets)]
+
+
+def _key_place(notice: list[str], key: list[str]) -> int:
+    """Where the key phrase begins in its notice."""
+    return next(i for i in range(len(notice)) if notice[i : i + len(key)] == key)
+
+
+def _parts_of_longer(matched: DataFrame, templates: tuple) -> DataFrame:
+    """(row, template, start) of matches whose key phrase is part of a longer one in place.
+
+    Which key phrases hold which others, and where, is known from the templates; a match
+    then names the matches that it makes parts, so matches are not compared in pairs.
+    """
+    split = [(label, notice.split(), key.split()) for label, notice, key in templates]
+    held = []
+    for long, (label, notice, key) in enumerate(split):
+        for short, (other, its_notice, its_key) in enumerate(split):
+            if label == other or len(its_key) >= len(key):
+                continue
+            offsets = [k for k in range(len(key)) if key[k : k + len(its_key)] == its_key]
+            move = _key_place(notice, key) - _key_place(its_notice, its_key)
+            held += [(long, short, move + k) for k in offsets]
+    held = matched.sparkSession.createDataFrame(held, "template int, short int, move int")
+    named = matched.join(held, "template").select("row", F.col("short").alias("template"), (F.col("start") + F.col("move")).alias("start"))
+    return named.distinct()
+
+
 def _has_all(phrase: tuple[str, ...]) -> Column:
     """Whether a file has all words of a phrase."""
     return reduce(and_, [F.array_contains("present", w) for w in dict.fromkeys(phrase)])
@@ -155,7 +268,7 @@ def _matches(scanned: DataFrame, likely: DataFrame, templates: tuple) -> DataFra
     postings, key_words = [], []
     for number, (label, notice, key) in enumerate(templates):
         notice, key = notice.split(), key.split()
-        at = next(i for i in range(len(notice)) if notice[i : i + len(key)] == key)
+        at = _key_place(notice, key)
         for i, word in enumerate(notice):
             is_key = at <= i < at + len(key)
             postings.append((number, label, i, word, is_key))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
 from llm_tables import documents, odd_rows, prose
 
-from daybook.llm.licenses import BASE, TEMPLATES, scan_licenses
+from daybook.llm.licenses import BASE, KNOWN, TEMPLATES, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -86,6 +87,51 @@ def test_several_notices_in_one_long_text(spark):
         assert {tuple(t) for t in got[k].templates or []} == want
 
 
+def labels_by_reading(text):
+    """Labels from every place of every key phrase that is not inside a longer one of another label."""
+    words = lowered_words(text)
+    found = [(at, at + len(key.split()), label) for label, _, key in KNOWN for at in places(words, key)]
+    inside = lambda a, b: b[0] <= a[0] and a[1] <= b[1] and b[1] - b[0] > a[1] - a[0] and a[2] != b[2]
+    own = {label for phrase, label in BASE.items() if places(words, phrase)}
+    return ",".join(sorted(own | {a[2] for a in found if not any(inside(a, b) for b in found)}))
+
+
+VARIANTS = {
+    "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0": "cc-by-nc-nd",
+    "Creative Commons Attribution-ShareAlike 3.0": "cc-by-sa",
+    "a Creative Commons Attribution 4.0 licence": "cc-by",
+    "Creative Commons Attribution Non-Commercial Share Alike": "cc-by-nc-sa",
+    "Apache License 2.0": "apache-2.0",
+    "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+    "// SPDX-License-Identifier: GPL-2.0-only": "gpl",
+    "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa",
+    "the Eclipse Public License 2.0": "epl",
+    "identifier license spdx mit": "",
+    "creative attribution commons": "",
+}
+
+
+def test_variants_and_identifiers(spark):
+    got = check(documents(spark, list(enumerate(VARIANTS))))
+    assert [got[k].labels for k in range(len(VARIANTS))] == list(VARIANTS.values())
+
+
+def test_every_variant_and_identifier_is_found(spark):
+    got = check(documents(spark, [(k, f"{prose(k)} {notice.upper()} {prose(k + 9)}") for k, (_, notice, _) in enumerate(KNOWN)]))
+    for k, (label, _, _) in enumerate(KNOWN):
+        assert label in got[k].labels.split(",") and (k, 200) in [tuple(t) for t in got[k].templates]
+
+
+def test_labels_against_reading(spark):
+    """Key phrases and their pieces in random order, so that longer ones hold shorter ones or not."""
+    rng = random.Random(11)
+    pieces = [key for _, _, key in KNOWN] + [w for _, _, key in KNOWN for w in key.split()[:3]] + ["and", "4.0"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 12))) for _ in range(300)]
+    texts += [f"{a} {b}" for a in VARIANTS for b in VARIANTS]
+    got = check(documents(spark, list(enumerate(texts))))
+    assert [got[k].labels for k in range(len(texts))] == [labels_by_reading(t) for t in texts]
+
+
 def test_odd_rows(spark):
     check(documents(spark, odd_rows(), clashes=True))
     assert scan_licenses(documents(spark, [])).collect() == []
