@@ -68,6 +68,47 @@ def test_profiles_equal_brute_force(spark, found, sf):
     assert [r.gram for r in got] == [g for _, g in best]
 
 
+def brute_nearest(text, profiles, size):
+    """Language, score and lead by ranking every n-gram and looking each up in every profile."""
+    counts = {code(g): n for g, n in brute_grams(text or "").items()}
+    ranked = sorted(counts, key=lambda g: (-counts[g], g))[:size]
+    if not ranked:
+        return "und", 0.0, 0.0
+    scores = {}
+    for lang, profile in profiles.items():
+        off = sum(abs(profile[g] - k) if g in profile else size for k, g in enumerate(ranked))
+        scores[lang] = 1 - off / (size * len(ranked))
+    best, *others = sorted(scores, key=lambda lang: (-scores[lang], lang))
+    return best, scores[best], scores[best] - max((scores[x] for x in others), default=0.0)
+
+
+def check_identify(docs, learned, size):
+    profiles = {}
+    for lang, gram, rank in learned.collect():
+        profiles.setdefault(lang, {})[gram] = rank
+    key = lambda r: (str(r[0]), r[1], str(r[2:]))
+    got = sorted((tuple(r) for r in identify(docs, learned, size=size).collect()), key=key)
+    texts = docs.select("doc_id", "text").collect()
+    want = sorted(((r.doc_id, *brute_nearest(r.text, profiles, size)) for r in texts), key=key)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    for one, other in zip(got, want, strict=True):
+        assert one[2:] == pytest.approx(other[2:], abs=1e-12)
+
+
+def test_nearest_language_equals_brute_force(spark, found, sf):
+    check_identify(spark.read.parquet(f"{sf}/documents.parquet"), found[1], language_id.PROFILE)
+    check_identify(documents(spark, odd_rows(), clashes=True), found[1], language_id.PROFILE)
+
+
+@pytest.mark.parametrize("size", [3, 20])
+def test_short_profiles_and_ties_equal_brute_force(spark, size):
+    """Two languages that learned the same text tie everywhere; the first by name wins."""
+    rows = [(k, text, lang, "s") for k, (text, lang) in enumerate(
+        (text, lang) for text in ("abc abd", "cab dab", "xyz é") for lang in ("b", "a", "c") if (text, lang) != ("xyz é", "a"))]
+    docs = documents(spark, rows)
+    check_identify(docs, learn_profiles(docs, size=size), size)
+
+
 def test_odd_rows(spark, found):
     docs = documents(spark, odd_rows(), clashes=True)
     got = identify(docs, found[1]).collect()
